@@ -135,7 +135,7 @@ def dash_filter_matches(t: Tables):
 
 def latest_runs(t: Tables):
     """One row per run and table, the newest event of the pair."""
-    runs = keep_latest(t.pipeline_events, ["run_id", "table_id"], ["start_time", "event_id"], tie_break=[])
+    runs = keep_latest(t.run_events, ["run_id", "table_id"], ["start_time", "event_id"], tie_break=[])
     return runs.selectExpr(
         "run_id", "table_id", "'Silver' layer", "start_time", "start_time + interval 5 minutes end_time",
         "status", "number_of_records", "if(status = 'FAILED', 'failed ''here''', null) error_message",

@@ -37,8 +37,7 @@ def quoted_text_roundtrip(t: Tables):
     body = F.translate("text", "\n\r", "  ").alias("body")
     path = f"{t.scratch}/texts.csv"
     write_csv(t.documents.select("doc_id", "lang", body), path)
-    return read_csv(t.spark, path, "doc_id bigint, lang string, body string",
-                    ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+    return read_csv(t.spark, path, "doc_id bigint, lang string, body string")
 
 
 @query("empty_input_guard", f"{_ORDERS_SQL}")

@@ -29,7 +29,8 @@ _WINDOW = """
            month(tpep_pickup_datetime) pickup_month_number, monthname(tpep_pickup_datetime) pickup_month_name
     {_WINDOW}""")
 def rolling_two_months(t: Tables):
-    return trips.rolling_window(trips.with_calendar(t.trips)).select(
+    table = trips.load_trips(t.spark, t.trips, f"{t.scratch}/trips")
+    return trips.rolling_window(table).select(
         "VendorID", "tpep_pickup_datetime", "PULocationID", "DOLocationID", "fare_amount", "cutoff_date",
         "pickup_month_number", "pickup_month_name")
 

@@ -100,7 +100,7 @@ VIEWS = {
                l_extendedprice + l_quantity total_amount
         from {lineitem}""",
     # --- control
-    "pipeline_events": """
+    "run_events": """
         select cast(year(ts) * 10000 + month(ts) * 100 + day(ts) as bigint) run_id,
                cast(user_id % 13 + 1 as int) table_id, event_id, ts start_time,
                case event_type when 'error' then 'FAILED' when 'view' then 'INPROGRESS' else 'SUCCESS' end status,
@@ -165,8 +165,8 @@ EXPECTED = {
         from gw_transactions t join payment_gateway_logs g on t.txn_id = g.txn_id
         group by all""",
     "x_encounters_summary": """
-        select *, cast(case when days = 0 then 1 else days end as bigint) actual_stay_days from (
-          select *, date_diff('day', cast(admission_datetime as date), cast(discharge_datetime as date)) days
+        select *, cast(case when stay = 0 then 1 else stay end as bigint) actual_stay_days from (
+          select *, date_diff('day', cast(admission_datetime as date), cast(discharge_datetime as date)) stay
           from encounters) e""",
     "x_physicians_directory": """
         select distinct p.provider_id, p.full_name, count(e.encounter_id) over (partition by p.provider_id)
@@ -192,5 +192,5 @@ EXPECTED = {
     "x_latest_runs": """
         select * from (select *, row_number() over (
                  partition by run_id, table_id order by start_time desc, event_id desc) rn
-          from pipeline_events) ranked where rn = 1""",
+          from run_events) ranked where rn = 1""",
 }

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tierflow import fixed_values as fx
 from tierflow.control.audit import Audit
@@ -34,7 +34,7 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType | None = None
     if schema is None:
         df = spark.read.option("mergeSchema", "true").parquet(path)
     else:
-        df = spark.read.schema(schema.add(BATCH, "bigint")).parquet(path)
+        df = spark.read.schema(StructType(schema.fields + [StructField(BATCH, LongType())])).parquet(path)
     return df.withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
 

@@ -32,10 +32,11 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> int:
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = True) -> int:
-    """Quoted text with a header row in every part file."""
-    return write_counted(
-        df, lambda w: w.mode("overwrite").csv(path, header=True, quoteAll=quote_all, escape="\\")
-    )["rows"]
+    """Quoted text with a header row in every part file. Blanks around a text are part of it."""
+    return write_counted(df, lambda w: w.mode("overwrite").csv(
+        path, header=True, quoteAll=quote_all, escape="\\",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    ))["rows"]
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> int:

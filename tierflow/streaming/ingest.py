@@ -63,9 +63,11 @@ def parse_with_rescue(line: Column, schema: T.StructType) -> tuple[Column, Colum
 
 def json_rows(lines: DataFrame, schema: T.StructType, lineage: bool = True) -> DataFrame:
     """Rows of JSON lines with rescue and lineage columns; blank lines are no rows."""
-    typed, rescued = parse_with_rescue(F.col("value"), schema)
-    base = lines.filter(F.trim("value") != "")
-    extra = [F.current_timestamp().alias("ingested_at"), F.col("_metadata.file_path").alias("source_file")]
+    # named apart from the fields of the documents, which may be called ``value`` too
+    base = lines.filter(F.trim("value") != "").select(
+        F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_file"))
+    typed, rescued = parse_with_rescue(F.col("_line"), schema)
+    extra = [F.current_timestamp().alias("ingested_at"), F.col("_file").alias("source_file")]
     return base.select(
         *[typed.getField(f.name).alias(f.name) for f in schema.fields],
         rescued.alias(RESCUED), *(extra if lineage else []),

@@ -51,7 +51,7 @@ def compare(spark, con, folder, name):
 
 def main():
     folder, wanted = sys.argv[1], sys.argv[2:]
-    spark = build_session("local[8]", spark__sql__shuffle__partitions="8")
+    spark = build_session("local[8]", spark__sql__shuffle__partitions="8", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for name in BASE_TABLES:
