@@ -56,3 +56,10 @@ def test_only_needed_columns_are_read(spark):
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string,value:double>" in plan
     plan = QUERIES["bounded_slice"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(o_orderdate" in plan and "LessThanOrEqual(o_orderdate" in plan
+
+
+def test_declared_schemas_are_those_of_the_files(spark):
+    from tierflow.catalog.views import SCHEMAS
+    for name, ddl in SCHEMAS.items():
+        declared = spark.read.schema(ddl).parquet(f"{FOLDER}/{name}.parquet")
+        assert declared.dtypes == spark.read.parquet(f"{FOLDER}/{name}.parquet").dtypes, name

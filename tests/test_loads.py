@@ -9,6 +9,7 @@ from tierflow.control.audit import Audit, run_report, run_status, runs_newest_fi
 from tierflow.control.registry import TableSpec
 from tierflow.control.watermarks import Watermarks
 from tierflow.operators import slices
+from tierflow.sinks.records import Records
 from tierflow.sinks.snapshot import Snapshot
 
 SCHEMA = "k int, at int, v string"
@@ -159,7 +160,7 @@ def test_an_interrupted_table_fails_its_run(spark):
 def test_registry_gives_ordered_specs(spark):
     got = registry.specs(registry.seed_registry(spark), registry.seed_parameters(spark), "SQLServer")
     assert [s.table_name for s in got] == ["customers", "accounts", "transactions", "branches"]
-    assert got[3] == TableSpec(4, "branches", "FULL", "branch_code", None, "sqlserver")
+    assert got[3] == TableSpec(4, "branches", "FULL", "branch_code", None, "sqlserver", "banking", "branches")
     assert got[0].keys == ["customer_id"] and got[0].incremental and not got[3].incremental
     inactive = registry.seed_registry(spark).withColumn("active_flag", F.lit(False))
     assert registry.active_tables(inactive, "blob").count() == 0
@@ -185,3 +186,24 @@ def test_gold_is_published_by_registered_name(spark, scratch):
     assert Snapshot(spark, f"{scratch}/gold/risk_customer_summary").read().count() == 3
     with pytest.raises(ValueError):
         loads.publish_gold("unknown", builders, f"{scratch}/gold", spark, audit, 1, 12)
+
+
+def test_control_rows_are_replaced_by_key(spark, scratch, rows):
+    table = Records(spark, f"{scratch}/r", "a int, b string, note string, at timestamp", ["a", "b"])
+    assert table.read().count() == 0 and table.get(1, "x") is None
+    table.put({"a": 1, "b": "x", "note": "first\nline \"quoted\"", "at": datetime(2024, 1, 1, 0, 0, 0, 123456)})
+    table.put({"a": 2, "b": "x", "note": None, "at": None})
+    table.put({"a": 2, "b": "x", "note": "ü", "at": None})
+    assert rows(table.read()) == [(1, "x", "first\nline \"quoted\"", datetime(2024, 1, 1, 0, 0, 0, 123456)), (2, "x", "ü", None)]
+    assert table.get(2, "x")["note"] == "ü"
+
+
+def test_specs_from_text():
+    got = registry.spec_from_text(
+        "{'table_id': '1', 'table_name': 'customers', 'source_system': 'sqlserver', 'source_schema': 'banking', "
+        "'source_table': 'customers', 'source_path': ''}",
+        "{'load_type': 'MERGE', 'primary_key': 'customer_id', 'watermark_column': 'updated_at'}")
+    assert got == TableSpec(1, "customers", "MERGE", "customer_id", "updated_at", "sqlserver", "banking", "customers")
+    for metadata in ("", "{'table_name': 'x'}"):
+        with pytest.raises(ValueError):
+            registry.spec_from_text(metadata, "{}")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.catalog.views import BASE_TABLES, EXPECTED, VIEWS
+from tierflow.catalog.views import EXPECTED, SCHEMAS, VIEWS
 from tierflow.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,8 +25,8 @@ class Tables:
         self.folder = str(folder).rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in BASE_TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name in SCHEMAS:
+            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
         if name in VIEWS:
             return self.sql(VIEWS[name])
         raise AttributeError(name)

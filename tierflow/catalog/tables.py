@@ -91,6 +91,31 @@ def replaced_view(t: Tables):
     return catalog.replace_view(_orders(t), name).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
 
 
+@query("named_tables", """
+    select o_orderkey, o_orderstatus from orders where o_orderstatus <> 'P'
+    union all select o_orderkey, o_orderstatus from orders where o_orderstatus = 'P'
+    union all select l_orderkey, l_linestatus from lineitem""")
+def named_tables(t: Tables):
+    """Create if absent (twice), replace, append, and scan by name."""
+    name = f"orders_{uuid.uuid4().hex}"
+    keyed = t.orders.select("o_orderkey", "o_orderstatus")
+    catalog.create_if_absent(keyed.limit(0), name, f"{t.scratch}/named")
+    catalog.create_if_absent(keyed, name, f"{t.scratch}/named")
+    catalog.replace_table(keyed, name, f"{t.scratch}/replaced")
+    catalog.append_table(t.lineitem.selectExpr("l_orderkey o_orderkey", "l_linestatus o_orderstatus"), name)
+    return t.spark.table(name)
+
+
+@query("overwritten_merged_schema", """
+    select c_custkey, cast(null as double) c_acctbal, c_name from customer""")
+def overwritten_merged_schema(t: Tables):
+    """An overwrite that keeps a column the new rows do not have."""
+    table = Snapshot(t.spark, f"{t.scratch}/customers")
+    table.overwrite(t.customer.select("c_custkey", "c_acctbal"))
+    table.overwrite(t.customer.select("c_custkey", "c_name"), merge_schema=True)
+    return table.read()
+
+
 @query("append_new_columns", """
     select o_orderkey, o_custkey, cast(null as varchar) o_orderstatus from orders
     union all select o_orderkey, o_custkey, o_orderstatus from orders""")

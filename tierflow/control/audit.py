@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tierflow import fixed_values as fx
 from tierflow.control.registry import required
-from tierflow.sinks.snapshot import Snapshot
+from tierflow.sinks.records import Records
 
 SCHEMA = (
     "run_id bigint, table_id int, layer string, start_time timestamp, end_time timestamp, "
@@ -26,15 +26,14 @@ class Audit:
     """Rows are written as data, so error texts need no quoting."""
 
     def __init__(self, spark: SparkSession, path: str, clock: Callable[[], datetime] = utc_now):
-        self.spark = spark
         self.clock = clock
-        self.table = Snapshot(spark, path, keys=["run_id", "table_id"])
+        self.rows = Records(spark, path, SCHEMA, ["run_id", "table_id"])
 
     def read(self) -> DataFrame:
-        return self.table.read() if self.table.exists() else self.spark.createDataFrame([], SCHEMA)
+        return self.rows.read()
 
-    def _put(self, *row: object) -> None:
-        self.table.upsert(self.spark.createDataFrame([row], SCHEMA))
+    def _put(self, *values: object) -> None:
+        self.rows.put(dict(zip(self.rows.schema.names, values)))
 
     def run(self, run_id: int, table_id: int, layer: str, job: Callable[[], int]) -> int:
         """Mark the start, run the job, record its outcome. A failure is recorded and raised again."""

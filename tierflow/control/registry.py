@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from tierflow import fixed_values as fx
 
 REGISTRY_SCHEMA = (
     "table_id int, table_name string, source_system string, source_schema string, "
-    "source_table string, target_layer string, load_order int"
+    "source_table string, target_layer string, load_order int, source_path string"
 )
 PARAMETER_SCHEMA = "table_id int, parameter_name string, parameter_value string"
 PARAMETERS = ("load_type", "primary_key", "watermark_column")
@@ -27,6 +28,9 @@ class TableSpec:
     primary_key: str | None = None
     watermark_column: str | None = None
     source_system: str | None = None
+    source_schema: str | None = None
+    source_table: str | None = None
+    source_path: str | None = None
 
     @property
     def keys(self) -> list[str]:
@@ -52,9 +56,23 @@ def required(**values: object) -> None:
         raise ValueError(f"missing: {', '.join(missing)}")
 
 
-def seed_registry(spark: SparkSession) -> DataFrame:
-    """The banking tables with their layers; all active."""
-    return spark.createDataFrame(fx.REGISTRY_ROWS, REGISTRY_SCHEMA).withColumn("active_flag", F.lit(True))
+def spec_from_text(metadata: str, parameters: str) -> TableSpec:
+    """A spec from the two dictionaries a caller passes as text, with single or double quotes."""
+    required(table_metadata=metadata, table_parameters=parameters)
+    table, settings = ast.literal_eval(metadata), ast.literal_eval(parameters)
+    required(table_id=table.get("table_id"), table_name=table.get("table_name"))
+    text = {k: (None if v in ("", None) else str(v)) for k, v in {**table, **settings}.items()}
+    return TableSpec(
+        int(table["table_id"]), text["table_name"], text.get("load_type") or "",
+        *[text.get(k) for k in ("primary_key", "watermark_column", "source_system", "source_schema",
+                                "source_table", "source_path")],
+    )
+
+
+def seed_registry(spark: SparkSession, landing: str = "") -> DataFrame:
+    """The banking tables with their layers; all active. Files land below ``landing``."""
+    rows = [(*r, f"{landing.rstrip('/')}/{r[1]}" if r[2] == "blob" else None) for r in fx.REGISTRY_ROWS]
+    return spark.createDataFrame(rows, REGISTRY_SCHEMA).withColumn("active_flag", F.lit(True))
 
 
 def seed_parameters(spark: SparkSession) -> DataFrame:
@@ -92,6 +110,6 @@ def specs(registry: DataFrame, parameters: DataFrame, source_system: str) -> lis
     rows = active_tables(registry, source_system).join(wide, "table_id", "left").orderBy("load_order", "table_id")
     return [
         TableSpec(r["table_id"], r["table_name"], r["load_type"], r["primary_key"], r["watermark_column"],
-                  r["source_system"])
+                  r["source_system"], r["source_schema"], r["source_table"], r["source_path"])
         for r in rows.collect()
     ]

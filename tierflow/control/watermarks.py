@@ -8,35 +8,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow import fixed_values as fx
-from tierflow.sinks.snapshot import Snapshot
+from tierflow.sinks.records import Records
 
 SCHEMA = "table_id int, last_watermark_value string, last_updated_at timestamp, last_run_id bigint"
 
 
 class Watermarks:
     def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.table = Snapshot(spark, path, keys=["table_id"])
+        self.rows = Records(spark, path, SCHEMA, ["table_id"])
 
     def read(self) -> DataFrame:
-        return self.table.read() if self.table.exists() else self.spark.createDataFrame([], SCHEMA)
+        return self.rows.read()
 
     def seed(self, table_ids: list[int], now: datetime, value: str = fx.FIRST_WATERMARK) -> None:
-        self._put([(t, value, now, None) for t in table_ids])
+        for table_id in table_ids:
+            self._put(table_id, value, now, None)
 
     def get(self, table_id: int) -> str | None:
-        row = self.read().filter(F.col("table_id") == table_id).select("last_watermark_value").first()
-        return row[0] if row else None
+        row = self.rows.get(table_id)
+        return row["last_watermark_value"] if row else None
 
     def advance(self, table_id: int, value: str | None, now: datetime, run_id: int) -> bool:
         """Nothing happens when the slice was empty and has no largest value."""
         if value is None:
             return False
-        self._put([(table_id, value, now, run_id)])
+        self._put(table_id, value, now, run_id)
         return True
 
-    def _put(self, rows: list[tuple]) -> None:
-        self.table.upsert(self.spark.createDataFrame(rows, SCHEMA))
+    def _put(self, table_id: int, value: str, now: datetime, run_id: int | None) -> None:
+        self.rows.put({"table_id": table_id, "last_watermark_value": value, "last_updated_at": now,
+                       "last_run_id": run_id})
 
 
 def set_last_value(control: DataFrame, schema: str, table: str, value: str) -> DataFrame:

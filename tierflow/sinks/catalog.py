@@ -21,21 +21,26 @@ def create_external(spark: SparkSession, name: str, columns: str, path: str, par
     return spark.table(name)
 
 
-def create_if_absent(df: DataFrame, name: str) -> bool:
+def _writer(df: DataFrame, mode: str, path: str | None):
+    writer = df.write.format("parquet").mode(mode)
+    return writer if path is None else writer.option("path", path)
+
+
+def create_if_absent(df: DataFrame, name: str, path: str | None = None) -> bool:
     """Write the table only when it does not exist; True when it was written."""
     if df.sparkSession.catalog.tableExists(name):
         return False
-    df.write.format("parquet").mode("ignore").saveAsTable(name)
+    _writer(df, "ignore", path).saveAsTable(name)
     return True
 
 
-def replace_table(df: DataFrame, name: str) -> None:
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Create or replace from a query that does not read the same table."""
-    df.write.format("parquet").mode("overwrite").saveAsTable(name)
+    _writer(df, "overwrite", path).saveAsTable(name)
 
 
 def append_table(df: DataFrame, name: str) -> None:
-    df.write.format("parquet").mode("append").saveAsTable(name)
+    _writer(df, "append", None).saveAsTable(name)
 
 
 def replace_view(df: DataFrame, name: str) -> DataFrame:

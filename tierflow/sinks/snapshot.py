@@ -137,9 +137,13 @@ class Snapshot:
         size = self._fs.getContentSummary(self._new_path(path)).getLength()
         return size <= self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
-    def overwrite(self, df: DataFrame, run_id: object = None, **metrics: Column) -> dict:
-        """Replace all rows and the schema."""
+    def overwrite(
+        self, df: DataFrame, run_id: object = None, merge_schema: bool = False, **metrics: Column
+    ) -> dict:
+        """Replace all rows, and the schema too unless ``merge_schema`` keeps its old columns."""
         version, base = self._base(run_id)
+        if merge_schema and base is not None:
+            df = align(df, self._joint_schema(base, df.schema))
         folders, seen = self._write_data(self._bucketed(df, df.schema), **metrics)
         self._publish(version, base, run_id, df.schema, folders)
         return seen
@@ -223,7 +227,9 @@ class Snapshot:
             self._publish(version, base, run_id, schema, folders)
             return seen
 
-        touched = {r[0] for r in staged.select(BUCKET).distinct().collect()}  # at most `buckets` rows
+        touched = {"0"}
+        if self.buckets > 1:  # at most one row per bucket
+            touched = {r[0] for r in staged.select(BUCKET).distinct().collect()}
         target = self._read(base, touched)
         kept, updates = merge_parts(target, fresh, self.keys, preserve, schema)
         if self._small(stage):
