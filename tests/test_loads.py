@@ -207,3 +207,13 @@ def test_specs_from_text():
     for metadata in ("", "{'table_name': 'x'}"):
         with pytest.raises(ValueError):
             registry.spec_from_text(metadata, "{}")
+
+
+def test_old_batches_are_not_read_again(spark, scratch, rows):
+    b = Bench(spark, scratch, APPEND)
+    b.run(1, [(1, 1, "a")])
+    b.run(2, [(1, 1, "a"), (2, 2, "b")])
+    assert loads.batches(spark, b.path) == [1, 2] and b.marks.last_run(3) == 2
+    recent = loads.read_bronze(spark, b.path, since=2)
+    assert rows(recent, "k", "batch_id") == [(2, 2)]
+    assert all("batch_id=2" in f for f in recent.inputFiles())

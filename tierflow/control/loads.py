@@ -28,14 +28,25 @@ def land_bronze(source: DataFrame, path: str, run_id: int, now: datetime) -> int
     return write_counted(stamped, lambda w: w.mode("overwrite").parquet(f"{path}/{BATCH}={run_id}"))["rows"]
 
 
-def read_bronze(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """All batches. With a declared schema no file footers are compared; otherwise the columns of
-    every batch are merged."""
-    if schema is None:
-        df = spark.read.option("mergeSchema", "true").parquet(path)
-    else:
-        df = spark.read.schema(StructType(schema.fields + [StructField(BATCH, LongType())])).parquet(path)
-    return df.withColumn(BATCH, F.col(BATCH).cast("bigint"))
+def batches(spark: SparkSession, path: str) -> list[int]:
+    """Runs that landed a batch, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BATCH}="))
+
+
+def read_bronze(
+    spark: SparkSession, path: str, schema: StructType | None = None, since: int | None = None
+) -> DataFrame:
+    """The batches of run ``since`` and later, or all. Run ids grow, so an incremental load passes
+    the run of its watermark and older folders are not even listed. With a declared schema no file
+    footers are compared; otherwise the columns of these batches are merged."""
+    reader = spark.read.option("basePath", path)
+    reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(
+        StructType(schema.fields + [StructField(BATCH, LongType())]))
+    chosen = [f"{path}/{BATCH}={b}" for b in batches(spark, path) if since is None or b >= since]
+    return reader.parquet(*(chosen or [path])).withColumn(BATCH, F.col(BATCH).cast("bigint"))
 
 
 def new_source_rows(source: DataFrame, spec: TableSpec, watermarks: Watermarks) -> DataFrame:

@@ -28,6 +28,11 @@ class Watermarks:
         row = self.rows.get(table_id)
         return row["last_watermark_value"] if row else None
 
+    def last_run(self, table_id: int) -> int | None:
+        """The run that moved the watermark; older batches hold nothing newer."""
+        row = self.rows.get(table_id)
+        return row["last_run_id"] if row else None
+
     def advance(self, table_id: int, value: str | None, now: datetime, run_id: int) -> bool:
         """Nothing happens when the slice was empty and has no largest value."""
         if value is None:

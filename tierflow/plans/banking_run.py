@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tierflow.control import loads
 from tierflow.control.audit import Audit, run_report
@@ -16,6 +17,7 @@ from tierflow.control.watermarks import Watermarks
 from tierflow.operators.cleanse import Rule, apply_rules
 from tierflow.plans import banking
 from tierflow.sinks.snapshot import Snapshot
+from tierflow.sources.files import text_schema
 from tierflow.sources.jdbc import slice_query
 from tierflow.streaming.ingest import csv_stream, drain
 
@@ -66,17 +68,26 @@ class BankingRun:
         query = slice_query(f"{spec.source_schema}.{spec.source_table}", column, last, quote=self.quote)
         return loads.land_bronze(self.read_query(query), self.bronze_path(spec), self.run_id, self.now)
 
+    def _file_columns(self, spec: TableSpec) -> list[str]:
+        return [r.source or r.target for r in self.file_rules[spec.table_name]]
+
     def _land_files(self, spec: TableSpec) -> int:
-        columns = [r.source or r.target for r in self.file_rules[spec.table_name]]
-        rows = csv_stream(self.spark, spec.source_path, columns).withColumn("insert_timestamp", F.lit(self.now))
-        return drain(rows, self.bronze_path(spec), f"{self.root}/checkpoints/{spec.table_name}")
+        rows = csv_stream(self.spark, spec.source_path, self._file_columns(spec)).withColumns(
+            {"insert_timestamp": F.lit(self.now), loads.BATCH: F.lit(self.run_id).cast("bigint")})
+        return drain(rows, self.bronze_path(spec), f"{self.root}/checkpoints/{spec.table_name}", [loads.BATCH])
 
     def bronze_to_silver(self, spec: TableSpec) -> int:
+        """Only batches since the run that moved the watermark are read; a full load reads the last."""
+        since = self.marks.last_run(spec.table_id) if spec.incremental else None
         if spec.table_name in self.file_rules:
-            raw = self.spark.read.parquet(self.bronze_path(spec))
-            bronze = apply_rules(raw, self.file_rules[spec.table_name])
+            schema = text_schema(self._file_columns(spec)).add(loads.BATCH, LongType())
+            raw = self.spark.read.schema(schema).parquet(self.bronze_path(spec))
+            recent = raw if since is None else raw.filter(F.col(loads.BATCH) >= since)
+            bronze = apply_rules(recent, (*self.file_rules[spec.table_name], Rule(loads.BATCH, "bigint")))
         else:
-            bronze = loads.read_bronze(self.spark, self.bronze_path(spec))
+            if spec.load_type == "FULL":
+                since = max(loads.batches(self.spark, self.bronze_path(spec)))
+            bronze = loads.read_bronze(self.spark, self.bronze_path(spec), since=since)
         return loads.audited_silver(bronze, self.silver(spec), spec, self.marks, self.audit, self.run_id, self.now)
 
     def gold_builders(self, tables: Mapping[str, TableSpec]) -> dict[str, Callable[[], DataFrame]]:

@@ -206,6 +206,11 @@ class Snapshot:
             keyed = keyed.withColumn(k, F.col(k).cast(schema[k].dataType))
         chosen = keep_latest(keyed, self.keys, latest, tie_break)
 
+        if base is None:
+            folders, seen = self._write_data(self._bucketed(chosen, schema))
+            self._publish(version, base, run_id, schema, folders)
+            return {"rows": seen["rows"], "refused": checked.get["refused"]}
+
         # The chosen rows are written once, used three times, and their file size tells the
         # planner whether they can be broadcast to the target or have to be shuffled to it.
         stage = f"{self.path}/stage/{uuid.uuid4().hex}"
@@ -214,7 +219,7 @@ class Snapshot:
             chosen.withColumn(BUCKET, bucket), lambda w: w.mode("error").parquet(stage)
         )["rows"]
         seen = {"rows": staged_rows, "refused": checked.get["refused"]}
-        if staged_rows == 0 and base is not None:
+        if staged_rows == 0:
             self._publish(version, base, run_id, schema, base["folders"])
             return seen
         staged = self.spark.read.schema(
@@ -222,11 +227,6 @@ class Snapshot:
         ).parquet(stage)
         fresh = staged.drop(BUCKET)
 
-        if base is None:
-            folders, _ = self._write_data(self._bucketed(fresh, schema))
-            self._publish(version, base, run_id, schema, folders)
-            return seen
-
         touched = {"0"}
         if self.buckets > 1:  # at most one row per bucket
             touched = {r[0] for r in staged.select(BUCKET).distinct().collect()}

@@ -85,18 +85,23 @@ def json_stream(spark: SparkSession, landing: str, schema: T.StructType, lineage
     return json_rows(reader.text(landing), schema, lineage)
 
 
-def csv_stream(spark: SparkSession, landing: str, columns: Sequence[str]) -> DataFrame:
+def csv_stream(
+    spark: SparkSession, landing: str, columns: Sequence[str], max_files: int | None = None
+) -> DataFrame:
     """Unbounded rows of a folder of CSV files, every column as text."""
-    return spark.readStream.schema(text_schema(columns)).csv(landing, header=True)
+    reader = spark.readStream.schema(text_schema(columns))
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.csv(landing, header=True)
 
 
-def drain(rows: DataFrame, target: str, checkpoint: str) -> int:
+def drain(rows: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = ()) -> int:
     """Append everything that has not been read yet and stop; returns the rows of this run.
 
     The checkpoint makes each input file count once, also when the run is repeated after a failure.
     """
     query = (
-        rows.writeStream.format("parquet").outputMode("append")
+        rows.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
     )
     rows_of_batch: dict[int, int] = {}
