@@ -1,7 +1,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.streaming import ingest
@@ -27,9 +26,9 @@ def test_misfits_are_rescued(spark):
         'plain text',
         "   ",
     ]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, value string")
-    typed, rescued = ingest.parse_with_rescue(F.col("value"), SENSOR)
-    got = df.orderBy("i").select(typed.getField("device_id"), typed.getField("temp"), rescued).collect()
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lines)], "i int, _line string")
+    parsed = ingest.parse_with_rescue(df, SENSOR)
+    got = parsed.orderBy("i").select("device_id", "temp", "_rescued_data").collect()
     assert [tuple(r)[:2] for r in got[:3]] == [("A", 21.5), ("B", None), ("C", None)]
     assert got[0][2] is None
     assert json.loads(got[1][2]) == {"temp": "hot"}

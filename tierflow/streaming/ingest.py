@@ -40,38 +40,39 @@ def stored_schema(spark: SparkSession, landing: str, location: str, sample_ratio
 
 # --- rescue -------------------------------------------------------------------------------
 
-def parse_with_rescue(line: Column, schema: T.StructType) -> tuple[Column, Column]:
-    """Typed struct of a JSON line and the rescued rest as text.
+def parse_with_rescue(lines: DataFrame, schema: T.StructType, line: str = "_line") -> DataFrame:
+    """Add the typed fields of a JSON line and the rescued rest as text.
 
     Rescued are fields the schema does not know and given values that do not fit their type, as a
     JSON object, and a line that is not a JSON object as it stands. A JSON null is not rescued.
+    Each line is parsed once as text values and once as typed values, in steps of their own: the
+    results are used several times and would otherwise be parsed again for each use.
     """
-    raw = F.from_json(line, T.MapType(T.StringType(), T.StringType()))
-    typed = F.when(raw.isNotNull(), F.from_json(line, schema))
-    known = {f.name: typed.getField(f.name) for f in schema.fields}
+    text_values = T.MapType(T.StringType(), T.StringType())
+    parsed = lines.withColumn("_raw", F.from_json(line, text_values))
+    parsed = parsed.withColumn("_typed", F.when(F.col("_raw").isNotNull(), F.from_json(line, schema)))
 
     def lost(name: Column, value: Column) -> Column:
         misfit = F.lit(False)
-        for field, parsed in known.items():
-            misfit = misfit | ((name == field) & parsed.isNull())
-        return value.isNotNull() & (~name.isin(*known) | misfit)
-
-    rest = F.map_filter(raw, lost)
-    rescued = F.when(raw.isNull(), line).when(F.size(rest) > 0, F.to_json(rest))
-    return typed, rescued
+        for field in schema.names:
+            misfit = misfit | ((name == field) & F.col("_typed").getField(field).isNull())
+        return value.isNotNull() & (~name.isin(*schema.names) | misfit)
+
+    parsed = parsed.withColumn("_rest", F.map_filter("_raw", lost))
+    rescued = F.when(F.col("_raw").isNull(), F.col(line)).when(F.size("_rest") > 0, F.to_json("_rest"))
+    return parsed.select(
+        *[c for c in lines.columns],
+        *[F.col("_typed").getField(name).alias(name) for name in schema.names],
+        rescued.alias(RESCUED),
+    )
 
 
 def json_rows(lines: DataFrame, schema: T.StructType, lineage: bool = True) -> DataFrame:
     """Rows of JSON lines with rescue and lineage columns; blank lines are no rows."""
-    # named apart from the fields of the documents, which may be called ``value`` too
     base = lines.filter(F.trim("value") != "").select(
         F.col("value").alias("_line"), F.col("_metadata.file_path").alias("_file"))
-    typed, rescued = parse_with_rescue(F.col("_line"), schema)
     extra = [F.current_timestamp().alias("ingested_at"), F.col("_file").alias("source_file")]
-    return base.select(
-        *[typed.getField(f.name).alias(f.name) for f in schema.fields],
-        rescued.alias(RESCUED), *(extra if lineage else []),
-    )
+    return parse_with_rescue(base, schema).select(*schema.names, RESCUED, *(extra if lineage else []))
 
 
 # --- streams ------------------------------------------------------------------------------
