@@ -71,7 +71,16 @@ def test_merge_keeps_the_first_insert_time_and_the_newest_version(spark, scratch
 
 def test_rows_without_a_watermark_are_counted(spark):
     df = spark.createDataFrame([(1, None), (2, 3)], "k int, at int")
-    assert slices.without_watermark(df, "at") == 1
+    assert slices.bounds(df, "at") == ("3", 1)
+    assert slices.bounds(df, "at", "3") == (None, 1)
+
+
+def test_rows_left_out_are_logged(spark, scratch, caplog):
+    b = Bench(spark, scratch, MERGE)
+    landed = spark.createDataFrame([(1, 5, "a"), (None, 5, "no key"), (3, None, "no watermark")], SCHEMA)
+    loads.land_bronze(landed, b.path, 1, DAY[1])
+    b.silver_load(1)
+    assert "1 rows have no at" in caplog.text and "1 rows without a key" in caplog.text
 
 
 def test_a_late_row_after_the_bound_waits_for_the_next_run(spark, rows):

@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from tierflow.plans import social
-from tierflow.sinks.files import write_csv, write_json_lines, write_partitioned
+from tierflow.sinks.files import insert_jdbc, write_csv, write_json_lines, write_partitioned
 from tierflow.sources import files, jdbc
 
 
@@ -112,3 +112,16 @@ def test_partitioned_write_and_pruned_read(spark, scratch):
     back = spark.read.parquet(f"{scratch}/p").filter("m = 1")
     assert back.count() == 33
     assert "PartitionFilters: [isnotnull(m" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_database_sink_only_inserts():
+    calls = []
+
+    class Frame:
+        class write:  # noqa: N801
+            @staticmethod
+            def jdbc(url, table, mode, properties):
+                calls.append((url, table, mode, properties))
+
+    insert_jdbc(Frame, "jdbc:x", "dbo.users", {"user": "u"})
+    assert calls == [("jdbc:x", "dbo.users", "append", {"user": "u"})]

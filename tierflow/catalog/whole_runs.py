@@ -5,14 +5,16 @@ from __future__ import annotations
 from datetime import datetime
 
 from tierflow.catalog.registry import Tables, query
+from tierflow.catalog.star import dimension
 from tierflow.catalog.hospital import RAW as HOSPITAL_RAW
 from tierflow.control import loads, registry
 from tierflow.control.audit import run_status
 from tierflow.operators.cleanse import Rule
-from tierflow.plans import hospital
+from tierflow.plans import hospital, star
 from tierflow.plans.banking_run import BankingRun
 from tierflow.sinks.files import write_csv
-from tierflow.sources.files import landing_path
+from tierflow.sinks.snapshot import Snapshot
+from tierflow.sources.files import landing_path, read_csv, text_schema
 
 # --- banking: two runs, the second one after the sources have grown -------------------------
 
@@ -106,3 +108,30 @@ def run_hospital_longest_stay(t: Tables):
         hospital.silver_job(t.spark, hospital.SILVER[name], t.scratch, slot, silver, now)
     encounters, patients = (t.spark.read.parquet(f"{silver}/{name}") for name in sources)
     return hospital.longest_stay(hospital.encounters_summary(encounters), patients)
+
+
+# --- star: dimensions and fact from CSV to the published fact -------------------------------
+
+@query("run_star_fact", """
+    select f.date_key, case when f.branch_key in (select s_suppkey from supplier) then f.branch_key else -1 end
+             ::bigint branch_key,
+           case when f.product_key in (select p_partkey from part) then f.product_key else -1 end::bigint product_key,
+           case when f.customer_key in (select c_custkey from customer where c_mktsegment <> 'FURNITURE')
+                then f.customer_key else -1 end customer_key,
+           case when f.account_key in (select o_orderkey from orders where o_orderpriority <> '5-LOW')
+                then f.account_key else -1 end account_key,
+           cast(opening_balance as double) opening_balance, cast(debit_amount as double) debit_amount,
+           cast(credit_amount as double) credit_amount, cast(closing_balance as double) closing_balance,
+           cast(transaction_count as bigint) transaction_count
+    from x_staged_fact f""")
+def run_star_fact(t: Tables):
+    names = {"customer_key": "dim_customer", "account_key": "dim_account", "branch_key": "dim_branch",
+             "product_key": "dim_product"}
+    dimensions = {key: dimension(t, name) for key, name in names.items()}
+    write_csv(t.balance_rows, f"{t.scratch}/fact.csv")
+    raw = read_csv(t.spark, f"{t.scratch}/fact.csv", text_schema([r.target for r in star.FACT_RULES]))
+    staging = Snapshot(t.spark, f"{t.scratch}/stg_balance")
+    staging.overwrite(star.staged_fact(raw))
+    fact = Snapshot(t.spark, f"{t.scratch}/gold_balance")
+    fact.overwrite(star.gold_fact(staging.read(), dimensions))
+    return fact.read()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
@@ -18,6 +19,7 @@ from tierflow.sinks.files import write_counted
 from tierflow.sinks.snapshot import Snapshot
 
 BATCH = "batch_id"
+log = logging.getLogger(__name__)
 
 
 # --- bronze -------------------------------------------------------------------------------
@@ -50,7 +52,8 @@ def read_bronze(
 
 
 def new_source_rows(source: DataFrame, spec: TableSpec, watermarks: Watermarks) -> DataFrame:
-    """Only rows after the watermark for an incremental table, all rows otherwise."""
+    """Only rows after the watermark for an incremental table, all rows otherwise. Rows without a
+    watermark value are after no watermark: they only reach bronze with the first full extract."""
     if not spec.incremental:
         return source
     return slices.after(source, spec.watermark_column, watermarks.get(spec.table_id))
@@ -78,7 +81,10 @@ def _append(silver: Snapshot, rows: DataFrame, spec: TableSpec, token: str) -> i
 
 def _merge(silver: Snapshot, rows: DataFrame, spec: TableSpec, token: str) -> int:
     latest = [c for c in (spec.watermark_column, BATCH) if c and c in rows.columns]
-    return silver.upsert(rows, token, preserve=["insert_timestamp"], latest=latest)["rows"]
+    seen = silver.upsert(rows, token, preserve=["insert_timestamp"], latest=latest)
+    if seen["refused"]:
+        log.warning("%s: %d rows without a key were refused", spec.table_name, seen["refused"])
+    return seen["rows"]
 
 
 STRATEGIES: Mapping[str, Callable[[Snapshot, DataFrame, TableSpec, str], int]] = {
@@ -102,7 +108,9 @@ def load_silver(
     rows = bronze
     if spec.incremental:
         last = watermarks.get(spec.table_id)
-        upper = slices.upper_bound(bronze, spec.watermark_column, last)
+        upper, unplaced = slices.bounds(bronze, spec.watermark_column, last)
+        if unplaced:
+            log.warning("%s: %d rows have no %s and are in no slice", spec.table_name, unplaced, spec.watermark_column)
         if upper is None and silver.exists():
             return 0
         rows = bronze.limit(0) if upper is None else slices.between(bronze, spec.watermark_column, last, upper)

@@ -22,9 +22,12 @@ def between(df: DataFrame, column: str, last: str | None, upper: str) -> DataFra
 
 def upper_bound(df: DataFrame, column: str, last: str | None = None) -> str | None:
     """Largest value after ``last`` as text, fixed before the slice is processed."""
-    return after(df, column, last).agg(F.max(column).cast("string")).first()[0]
+    return bounds(df, column, last)[0]
 
 
-def without_watermark(df: DataFrame, column: str) -> int:
-    """Rows that no slice will ever contain, to be reported."""
-    return df.filter(F.col(column).isNull()).count()
+def bounds(df: DataFrame, column: str, last: str | None = None) -> tuple[str | None, int]:
+    """Upper bound, and the number of rows without a watermark value: no slice will ever contain
+    them. One pass over one column."""
+    newer = F.col(column) if last is None else F.when(F.col(column) > typed(df, column, last), F.col(column))
+    row = df.agg(F.max(newer).cast("string"), F.count_if(F.col(column).isNull())).first()
+    return row[0], row[1]
