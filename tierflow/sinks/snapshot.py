@@ -215,11 +215,13 @@ class Snapshot:
         # planner whether they can be broadcast to the target or have to be shuffled to it.
         stage = f"{self.path}/stage/{uuid.uuid4().hex}"
         bucket = self._bucket_of(schema).cast("string")
-        staged_rows = write_counted(
-            chosen.withColumn(BUCKET, bucket), lambda w: w.mode("error").parquet(stage)
-        )["rows"]
-        seen = {"rows": staged_rows, "refused": checked.get["refused"]}
-        if staged_rows == 0:
+        written = write_counted(
+            chosen.withColumn(BUCKET, bucket), lambda w: w.mode("error").parquet(stage),
+            touched=F.collect_set(BUCKET),  # at most one value per bucket
+        )
+        touched = set(written["touched"])
+        seen = {"rows": written["rows"], "refused": checked.get["refused"]}
+        if not touched:
             self._publish(version, base, run_id, schema, base["folders"])
             return seen
         staged = self.spark.read.schema(
@@ -227,9 +229,6 @@ class Snapshot:
         ).parquet(stage)
         fresh = staged.drop(BUCKET)
 
-        touched = {"0"}
-        if self.buckets > 1:  # at most one row per bucket
-            touched = {r[0] for r in staged.select(BUCKET).distinct().collect()}
         target = self._read(base, touched)
         kept, updates = merge_parts(target, fresh, self.keys, preserve, schema)
         if self._small(stage):
