@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import simhash_golay
+from tierflow.llm import prefix_free, simhash_golay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,9 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
     )
+
+
+@query
+def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = prefix_free.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
