@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import packing, prefix_free, simhash_golay
+from tierflow.llm import decontamination, packing, prefix_free, simhash_golay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,11 @@ def op4_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).drop("ids")
 
 
+@query
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_golay.near_duplicates(table(spark, folder, "documents"))
