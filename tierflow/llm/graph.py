@@ -32,8 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
             "node", F.col("root").alias("before"), F.least("root", "near").alias("root"),
         )
         hooked = staged(hooked, "hooked")
+        if hooked.where("root <> before").isEmpty():
+            return hooked.select("node", "root")
         short = hooked.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        after = staged(hooked.join(short, "root").select("node", "before", F.col("top").alias("root")), "roots")
-        state = after.select("node", "root")
-        if after.where("root <> before").isEmpty():
-            return state
+        state = staged(hooked.join(short, "root").select("node", F.col("top").alias("root")), "roots")

@@ -31,7 +31,7 @@ SEED = 42
 
 #: Runs of one key up to this many fingerprints are compared in one task; larger ones go to ``_midpoints``.
 RUN_LIMIT = 4096
-_SMALL = 64
+_SMALL = 8
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = (np.arange(8, dtype=np.int64) * 256)[None, :]
