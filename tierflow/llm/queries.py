@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontamination, packing, prefix_free, simhash_golay
+from tierflow.llm import decontamination, language_unigram, packing, prefix_free, recurrent_lm, simhash_golay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,16 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_unigram.identify(table(spark, folder, "documents"))
+
+
+@query
+def op8_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return recurrent_lm.score(table(spark, folder, "documents"))
+
+
 @query
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = prefix_free.remove_repeats(table(spark, folder, "documents"))
