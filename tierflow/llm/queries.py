@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontamination, language_unigram, packing, prefix_free, recurrent_lm, simhash_golay
+from tierflow.llm import decontamination, embedding_tiles, language_unigram, packing, prefix_free, recurrent_lm, simhash_golay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,6 +50,28 @@ def op8_recurrent_lm(spark: SparkSession, folder: str) -> DataFrame:
     return recurrent_lm.score(table(spark, folder, "documents"))
 
 
+@query
+def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_tiles.near_duplicates(table(spark, folder, "embeddings"))
+
+
+ORACLES["op9_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), p AS (
+    SELECT a.vec_id AS i, b.vec_id AS j FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+    WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) >= 0.98
+), reached(i, j) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.i, p.j FROM reached r JOIN p ON r.j = p.i
+), c AS (SELECT i, min(j) AS component_id FROM reached GROUP BY i)
+SELECT e.vec_id, (SELECT count(*) FROM p WHERE p.i = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.i = e.vec_id
+"""
+
+
 @query
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = prefix_free.remove_repeats(table(spark, folder, "documents"))
