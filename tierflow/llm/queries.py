@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontamination, embedding_tiles, language_unigram, packing, prefix_free, recurrent_lm, simhash_golay
+from tierflow.llm import decontamination, embedding_tiles, language_unigram, packing, prefix_free, private_terms, recurrent_lm, simhash_golay
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_pii_disclosure(spark: SparkSession, folder: str) -> DataFrame:
+    return private_terms.find(table(spark, folder, "documents")).drop("base")
+
+
 @query
 def op4_cost_balanced_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents")).drop("ids")
