@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontamination, embedding_tiles, language_unigram, packing, prefix_free, private_terms, recurrent_lm, simhash_golay
+from tierflow.llm import decontamination, embedding_tiles, language_unigram, packing, prefix_free, private_terms, quality_nbsvm, recurrent_lm, simhash_golay, toxicity_ftrl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +22,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_toxicity_ftrl(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_ftrl.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op2_quality_nbsvm(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_nbsvm.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op3_pii_disclosure(spark: SparkSession, folder: str) -> DataFrame:
     return private_terms.find(table(spark, folder, "documents")).drop("base")
