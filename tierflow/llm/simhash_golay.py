@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import bytes_of, staged, texts
+from tierflow.llm.common import bytes_of, free_name, staged
 from tierflow.llm.graph import components
 
 # Generator polynomial x^11+x^9+x^7+x^6+x^5+x+1 of the Golay code; segments as
@@ -262,18 +262,19 @@ def links(prints: DataFrame, bits: int = 4, limit: int = RUN_LIMIT) -> DataFrame
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                     bits: int = 4, limit: int = RUN_LIMIT, extra: list[str] | None = None) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``fp`` (signed long), ``component_id``, and ``extra`` columns.
+    """One row per row of ``docs``: ``doc_id``, ``extra`` columns, ``fp`` (signed long), ``component_id`` and ``component_root``.
 
     ``component_id`` is the smallest id reachable over fingerprints within ``bits`` bits, the row's own
     included; rows with a null id never name a component, and a component of only such rows has a null
     ``component_id``. A null or empty text has fingerprint 0, which is linked like any other. Repeated
     rows are all returned. An empty table gives an empty result. Words are runs without ASCII white
-    space, lower-cased in A-Z; texts of any length are read whole.
+    space, lower-cased in A-Z; texts of any length are read whole. ``component_root`` is the
+    smallest fingerprint of the component, and tells those without any id apart. Names in ``extra`` must not
+    be among the others.
     """
     extra = extra or []
-    head = texts(docs, id_col, text_col).columns
     source = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias(head[0]), F.col(f"`{text_col}`").cast("string").alias(head[1]),
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
         *[F.col(f"`{c}`") for c in extra],
     )
     kept = source.select("doc_id", *extra).schema
@@ -292,4 +293,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "fp", "least", F.coalesce("root", "fp").alias("root"),
     )
     named = labelled.join(labelled.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    return rows.join(named.select("fp", "component_id"), "fp").select("doc_id", *extra, "fp", "component_id")
+    member = named.select("fp", "component_id", F.col("root").alias("component_root"))
+    return rows.join(member, "fp").select("doc_id", *extra, "fp", "component_id", "component_root")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each component the row with its smallest id.
+
+    Of several rows with that id one stays, and of a component without any id one row. Columns stay.
+    """
+    row = free_name(docs, "row")
+    keyed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "texts")
+    found = near_duplicates(keyed, id_col, text_col, extra=[row], **options)
+    # Rows whose id is their component's, or that have none, one for each component; fp tells components without ids apart.
+    best = found.groupBy("component_root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("best"))
+    return keyed.join(best.select(F.col(f"best.{row}").alias(row)), row, "left_semi").drop(row)
