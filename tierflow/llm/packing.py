@@ -33,10 +33,17 @@ GROUP_TOKENS = 4_000_000
 #: Cost of a token, and of a pair of tokens: a pair weighs as much as in a model of width 1024.
 LINEAR, QUADRATIC = 1.0, 1.0 / 6144
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 VOCABULARY = "word_bpe_49k.json"
 
 
+def _byte_letters() -> list[str]:
+    """The letter by which byte-level vocabularies write each byte: printable ones as they are, then from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in plain else next(others)) for b in range(256)]
+
+
 class WordIds:
     """Ids of whole texts, tokenised word by word and remembered.
 
@@ -48,15 +55,27 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch
+        self.tokenizer = Tokenizer.from_file(path)
+        self.pieces = self.tokenizer.model.tokenize
+        self.letters = _byte_letters()
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > self.limit:
-            self.known.clear()
-        found = self.encode([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        for word, encoding in zip(words, found):
+        """Words of Latin letters alone are one token sequence of the model; others take the whole tokenizer."""
+        other = []
+        for word in words:
+            if word.isalpha():
+                letters = word.lower().decode()
+            else:
+                text = word.decode("utf-8", "replace")
+                if not text.isalpha() or max(text) > "\xff":
+                    other.append((word, text))
+                    continue
+                letters = "".join(map(self.letters.__getitem__, text.lower().encode()))
+            self.known[word] = np.array([t.id for t in self.pieces(letters)], dtype="<u4").tobytes()
+        found = self.tokenizer.encode_batch([text for _, text in other], add_special_tokens=False)
+        for (word, _), encoding in zip(other, found):
             self.known[word] = np.array(encoding.ids, dtype="<u4").tobytes()
 
     @staticmethod
