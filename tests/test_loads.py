@@ -226,3 +226,22 @@ def test_old_batches_are_not_read_again(spark, scratch, rows):
     recent = loads.read_bronze(spark, b.path, since=2)
     assert rows(recent, "k", "batch_id") == [(2, 2)]
     assert all("batch_id=2" in f for f in recent.inputFiles())
+
+
+def test_late_equal_and_missing_watermarks_reach_silver(spark, scratch, rows, caplog):
+    b = Bench(spark, scratch, MERGE)
+    for run, items in ((1, [(1, 15, "a")]), (2, [(9, 15, "equal"), (2, 3, "older"), (3, None, "none"), (4, 16, "new")]),
+                       (3, [(5, 2, "only late")])):
+        loads.land_bronze(spark.createDataFrame(items, SCHEMA), b.path, run, DAY[run])
+        b.silver_load(run)
+    assert rows(b.silver.read(), "k") == [(1,), (2,), (3,), (4,), (5,)] + [(9,)]
+    assert (b.marks.get(1), b.marks.last_run(1)) == ("16", 3)
+    assert "1 rows have no at and 2 are not after 15" in caplog.text
+    assert b.silver_load(4) == 0
+
+
+def test_rows_at_the_watermark_are_extracted_again_for_a_merge(spark, scratch):
+    df = spark.createDataFrame([(1, 5), (2, 6)], "k int, at int")
+    for spec, n in ((MERGE, 2), (APPEND, 1)):
+        b = Bench(spark, f"{scratch}/{spec.load_type}", spec, seed="5")
+        assert loads.new_source_rows(df, spec, b.marks).count() == n

@@ -162,3 +162,21 @@ def test_catalog_objects(spark, scratch, rows):
     assert rows(view, "id") == [(0,), (2,)]
     catalog.create_schemas(spark, [name + "_s"])
     assert spark.catalog.databaseExists(name + "_s")
+
+
+@pytest.mark.parametrize("before,after", [(4, 8), (8, 4), (1, 8), (8, 1)])
+def test_another_number_of_buckets_loses_and_doubles_nothing(spark, scratch, rows, before, after):
+    Snapshot(spark, f"{scratch}/t", ["k"], before).overwrite(frame(spark, [(i, "a", 0) for i in range(200)]))
+    table = Snapshot(spark, f"{scratch}/t", ["k"], after)
+    table.append(frame(spark, [(200, "a", 0)]))
+    assert table._current()["buckets"] == before
+    table.upsert(frame(spark, [(i, "b", 1) for i in (0, 7, 77, 199, 200, 500)]))
+    assert table._current()["buckets"] == after
+    got = rows(table.read(), "k", "v")
+    assert got == sorted([(i, "b" if i in (0, 7, 77, 199, 200, 500) else "a") for i in [*range(201), 500]], key=repr)
+
+
+def test_other_keys_than_the_recorded_ones_are_refused(spark, scratch):
+    Snapshot(spark, f"{scratch}/t", ["k"], 2).overwrite(frame(spark, [(1, "a", 0)]))
+    with pytest.raises(ValueError):
+        Snapshot(spark, f"{scratch}/t", ["v"], 2).upsert(frame(spark, [(1, "a", 0)]))

@@ -160,6 +160,37 @@ def load_full(t: Tables):
     return silver.read().select("customer_id", "balance", F.to_date("insert_timestamp").alias("loaded"))
 
 
+@query("load_late_rows", """
+    select o_orderkey account_id, case when o_orderkey % 7 = 0 then null else cast(o_orderdate as date) end updated_at,
+           case when o_orderkey % 3 = 1 then '2024-01-02' else '2024-01-01' end loaded
+    from orders""")
+def load_late_rows(t: Tables):
+    """The second batch holds rows before, at and after the watermark, and rows without one."""
+    orders = t.sql("""select o_orderkey account_id, o_custkey customer_id,
+                      case when o_orderkey % 7 = 0 then null else cast(o_orderdate as date) end updated_at from {orders}""")
+    spec = TableSpec(3, "orders", "MERGE", "account_id", "updated_at")
+    silver = Snapshot(t.spark, f"{t.scratch}/silver", spec.keys, 4)
+    marks = Watermarks(t.spark, f"{t.scratch}/watermarks")
+    marks.seed([spec.table_id], datetime(2024, 1, 1))
+    for run, part in ((1, "account_id % 3 <> 1"), (2, "account_id % 3 = 1")):
+        loads.land_bronze(orders.filter(part), f"{t.scratch}/bronze", run, datetime(2024, 1, run))
+        bronze = loads.read_bronze(t.spark, f"{t.scratch}/bronze", since=marks.last_run(spec.table_id))
+        loads.load_silver(bronze, silver, spec, marks, run, datetime(2024, 1, run))
+    return silver.read().select("account_id", "updated_at", F.to_date("insert_timestamp").alias("loaded"))
+
+
+@query("upsert_rebucketed", f"""
+    select coalesce(s.customer_id, c.c_custkey) customer_id, coalesce(s.balance, c.c_acctbal) balance
+    from customer c full join ({_LATEST_SQL}) s on c.c_custkey = s.customer_id""")
+def upsert_rebucketed(t: Tables):
+    """A table opened with other numbers of buckets between merges."""
+    _target(t, buckets=4)
+    for buckets in (8, 1, 4):
+        table = Snapshot(t.spark, f"{t.scratch}/merged", ["customer_id"], buckets)
+        table.upsert(_source(t), latest=["changed", "order_id"], tie_break=[])
+    return table.read().select("customer_id", "balance")
+
+
 @query("watermark_after_load", """
     select 3 table_id, cast(max(o_orderdate) as varchar) last_watermark_value, 3 last_run_id from orders""")
 def watermark_after_load(t: Tables):
@@ -180,10 +211,10 @@ def load_slices(t: Tables):
 
         def land(table: str, rows: DataFrame, slot: str = slot) -> None:
             write_csv(rows.select("o_orderkey", "o_custkey", "o_totalprice"),
-                      f"{t.scratch}/Project2/Orders/{slot}/{table}.csv")
+                      f"{t.scratch}/landing/Orders/{slot}/{table}.csv")
 
         last = loads.bounded_extracts({"Orders": source}, [("Orders", "o_orderdate", last)], land)["Orders"]
-    landed = read_csv(t.spark, f"{t.scratch}/Project2/Orders",
+    landed = read_csv(t.spark, f"{t.scratch}/landing/Orders",
                       "o_orderkey bigint, o_custkey bigint, o_totalprice double", recursive=True)
     return landed.withColumn("slot", slot_of_file(F.col("_metadata.file_path")))
 

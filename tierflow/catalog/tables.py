@@ -25,7 +25,7 @@ def _orders(t: Tables):
 
 @query("dated_csv_roundtrip", f"select *, '{SLOT}' slot from ({_ORDERS_SQL}) o")
 def dated_csv_roundtrip(t: Tables):
-    path = landing_path(t.scratch, "Project2/Orders", SLOT + "/", "Orders")
+    path = landing_path(t.scratch, "landing/Orders", SLOT + "/", "Orders")
     write_csv(_orders(t), path)
     return read_csv(t.spark, path, _ORDERS_DDL).withColumn("slot", slot_of_file(F.col("_metadata.file_path")))
 

@@ -52,19 +52,31 @@ def read_bronze(
 
 
 def new_source_rows(source: DataFrame, spec: TableSpec, watermarks: Watermarks) -> DataFrame:
-    """Only rows after the watermark for an incremental table, all rows otherwise. Rows without a
-    watermark value are after no watermark: they only reach bronze with the first full extract."""
+    """Only rows after the watermark for an incremental table, all rows otherwise. A merged table also
+    gets the rows at the watermark again: some may have come late, and its keys take out the others.
+    Rows without a watermark value are after no watermark: a source extract has no way to find them."""
     if not spec.incremental:
         return source
-    return slices.after(source, spec.watermark_column, watermarks.get(spec.table_id))
+    return slices.after(source, spec.watermark_column, watermarks.get(spec.table_id), spec.load_type == fx.MERGE)
 
 
-def latest_batch(bronze: DataFrame) -> DataFrame:
-    """Rows of the newest batch; the other batch folders are not read."""
-    newest = bronze.select(F.max(BATCH)).scalar()
+def latest_batch(bronze: DataFrame, newest: int | None = None) -> DataFrame:
+    """Rows of the newest batch. With its number from the folder listing no other folder is read."""
+    if newest is None:
+        newest = bronze.select(F.max(BATCH)).scalar()
     return bronze.filter(F.col(BATCH) == newest)
 
 
+def unread_batches(bronze: DataFrame, spec: TableSpec, last_run: int | None, last: str | None) -> DataFrame:
+    """Rows of every batch that silver has not had, whatever their watermark says: some come late, or
+    have none. Of the last batch it had, only rows newer than the watermark: a repeat of that run
+    landed them."""
+    if last_run is None:
+        return bronze
+    newer = slices.newer(bronze, spec.watermark_column, last)
+    return bronze.filter((F.col(BATCH) > last_run) | ((F.col(BATCH) == last_run) & newer))
+
+
 # --- silver -------------------------------------------------------------------------------
 
 def _stamp(df: DataFrame, now: datetime) -> DataFrame:
@@ -93,9 +105,12 @@ STRATEGIES: Mapping[str, Callable[[Snapshot, DataFrame, TableSpec, str], int]] =
 
 
 def load_silver(
-    bronze: DataFrame, silver: Snapshot, spec: TableSpec, watermarks: Watermarks, run_id: int, now: datetime
+    bronze: DataFrame, silver: Snapshot, spec: TableSpec, watermarks: Watermarks, run_id: int, now: datetime,
+    newest: int | None = None,
 ) -> int:
-    """Apply one load. The watermark moves after the data is in place, to a bound fixed before.
+    """Apply one load: the newest batch for a full load (``newest``, if the caller has listed it), all
+    batches silver has not had otherwise. The watermark, and with it the number of the last batch,
+    moves after the data is in place, to a bound fixed before.
 
     A load that stopped between data and watermark is repeated from the version before it: run and
     lower bound together identify it. Once the watermark has moved, the same run builds on its own
@@ -103,29 +118,29 @@ def load_silver(
     """
     spec.check()
     if spec.load_type == fx.FULL:
-        return STRATEGIES[fx.FULL](silver, _stamp(latest_batch(bronze), now), spec, str(run_id))
-    last = upper = None
-    rows = bronze
-    if spec.incremental:
-        last = watermarks.get(spec.table_id)
-        upper, unplaced = slices.bounds(bronze, spec.watermark_column, last)
-        if unplaced:
-            log.warning("%s: %d rows have no %s and are in no slice", spec.table_name, unplaced, spec.watermark_column)
-        if upper is None and silver.exists():
-            return 0
-        rows = bronze.limit(0) if upper is None else slices.between(bronze, spec.watermark_column, last, upper)
-    written = STRATEGIES[spec.load_type](silver, _stamp(rows, now), spec, f"{run_id} after {last}")
-    if spec.incremental:
-        watermarks.advance(spec.table_id, upper, now, run_id)
+        return STRATEGIES[fx.FULL](silver, _stamp(latest_batch(bronze, newest), now), spec, str(run_id))
+    if not spec.incremental:
+        return STRATEGIES[spec.load_type](silver, _stamp(bronze, now), spec, str(run_id))
+    last, last_run = watermarks.get(spec.table_id), watermarks.last_run(spec.table_id)
+    rows = unread_batches(bronze, spec, last_run, last)
+    found = slices.measure(rows, spec.watermark_column, last, BATCH)
+    if found["unplaced"] or found["late"]:
+        log.warning("%s: %d rows have no %s and %d are not after %s; they are loaded with their batch",
+                    spec.table_name, found["unplaced"], spec.watermark_column, found["late"], last)
+    if not found["rows"] and silver.exists():
+        return 0
+    written = STRATEGIES[spec.load_type](silver, _stamp(rows, now), spec, f"{run_id} after {last_run} {last}")
+    if found["rows"]:
+        watermarks.advance(spec.table_id, last if found["upper"] is None else found["upper"], now, found["newest"])
     return written
 
 
 def audited_silver(
     bronze: DataFrame, silver: Snapshot, spec: TableSpec, watermarks: Watermarks, audit: Audit,
-    run_id: int, now: datetime,
+    run_id: int, now: datetime, newest: int | None = None,
 ) -> int:
     return audit.run(run_id, spec.table_id, "Silver",
-                     lambda: load_silver(bronze, silver, spec, watermarks, run_id, now))
+                     lambda: load_silver(bronze, silver, spec, watermarks, run_id, now, newest))
 
 
 def bounded_extracts(

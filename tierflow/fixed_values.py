@@ -77,9 +77,9 @@ WATERMARKED_TABLES = [1, 2, 3, 5, 6]
 
 # source_schema, source_table, folder_name, watermark_column, last_load_value
 HOSPITAL_WATERMARKS = [
-    ("dbo", "Hospitals", "Project2/Hospitals", "Hospital ID", "9900006"),
-    ("dbo", "Physicians", "Project2/Physicians", "Provider ID", "9999"),
-    ("dbo", "Patients", "Project2/Patients", "Master Patient ID", "107386"),
-    ("dbo", "Departments", "Project2/Departments", "DepartmentKey", "64"),
-    ("dbo", "Encounters", "Project2/Encounters", "Patient Admission Datetime", "2021-07-02T14:46:00"),
+    ("dbo", "Hospitals", "landing/Hospitals", "Hospital ID", "9900006"),
+    ("dbo", "Physicians", "landing/Physicians", "Provider ID", "9999"),
+    ("dbo", "Patients", "landing/Patients", "Master Patient ID", "107386"),
+    ("dbo", "Departments", "landing/Departments", "DepartmentKey", "64"),
+    ("dbo", "Encounters", "landing/Encounters", "Patient Admission Datetime", "2021-07-02T14:46:00"),
 ]

@@ -10,9 +10,17 @@ def typed(df: DataFrame, column: str, value: str) -> Column:
     return F.lit(value).cast(df.schema[column].dataType)
 
 
-def after(df: DataFrame, column: str, last: str | None) -> DataFrame:
+def newer(df: DataFrame, column: str, last: str | None, including: bool = False) -> Column:
+    """Whether a row is newer than the watermark, or at it with ``including``; true when there is none yet."""
+    if last is None:
+        return F.lit(True)
+    edge = typed(df, column, last)
+    return F.coalesce(F.col(column) >= edge if including else F.col(column) > edge, F.lit(False))
+
+
+def after(df: DataFrame, column: str, last: str | None, including: bool = False) -> DataFrame:
     """Rows newer than the watermark; all rows when there is none yet."""
-    return df if last is None else df.filter(F.col(column) > typed(df, column, last))
+    return df if last is None else df.filter(newer(df, column, last, including))
 
 
 def between(df: DataFrame, column: str, last: str | None, upper: str) -> DataFrame:
@@ -31,3 +39,14 @@ def bounds(df: DataFrame, column: str, last: str | None = None) -> tuple[str | N
     newer = F.col(column) if last is None else F.when(F.col(column) > typed(df, column, last), F.col(column))
     row = df.agg(F.max(newer).cast("string"), F.count_if(F.col(column).isNull())).first()
     return row[0], row[1]
+
+
+def measure(df: DataFrame, column: str, last: str | None, batch: str) -> dict:
+    """In one pass over two columns: ``rows``, the ``upper`` bound after ``last``, rows without a watermark
+    value (``unplaced``), rows not after ``last`` (``late``), and the ``newest`` batch."""
+    fresh = newer(df, column, last)
+    return df.agg(
+        F.count("*").alias("rows"), F.max(F.when(fresh, F.col(column))).cast("string").alias("upper"),
+        F.count_if(F.col(column).isNull()).alias("unplaced"),
+        F.count_if(F.col(column).isNotNull() & ~fresh).alias("late"), F.max(batch).alias("newest"),
+    ).first().asDict()

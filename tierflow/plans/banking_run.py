@@ -67,7 +67,8 @@ class BankingRun:
     def _land_query(self, spec: TableSpec) -> int:
         last = self.marks.get(spec.table_id) if spec.incremental else None
         column = spec.watermark_column if spec.incremental else None
-        query = slice_query(f"{spec.source_schema}.{spec.source_table}", column, last, quote=self.quote)
+        query = slice_query(f"{spec.source_schema}.{spec.source_table}", column, last, quote=self.quote,
+                            including=spec.load_type == "MERGE")
         return loads.land_bronze(self.read_query(query), self.bronze_path(spec), self.run_id, self.now)
 
     def _file_columns(self, spec: TableSpec) -> list[str]:
@@ -79,8 +80,9 @@ class BankingRun:
         return drain(rows, self.bronze_path(spec), f"{self.root}/checkpoints/{spec.table_name}", [loads.BATCH])
 
     def bronze_to_silver(self, spec: TableSpec) -> int:
-        """Only batches since the run that moved the watermark are read; a full load reads the last."""
+        """Only batches since the last one silver had are read; a full load reads the newest."""
         since = self.marks.last_run(spec.table_id) if spec.incremental else None
+        newest = None
         if spec.table_name in self.file_rules:
             schema = text_schema(self._file_columns(spec)).add(loads.BATCH, LongType())
             raw = self.spark.read.schema(schema).parquet(self.bronze_path(spec))
@@ -88,9 +90,10 @@ class BankingRun:
             bronze = apply_rules(recent, (*self.file_rules[spec.table_name], Rule(loads.BATCH, "bigint")))
         else:
             if spec.load_type == "FULL":
-                since = max(loads.batches(self.spark, self.bronze_path(spec)))
+                since = newest = max(loads.batches(self.spark, self.bronze_path(spec)))
             bronze = loads.read_bronze(self.spark, self.bronze_path(spec), since=since)
-        return loads.audited_silver(bronze, self.silver(spec), spec, self.marks, self.audit, self.run_id, self.now)
+        return loads.audited_silver(bronze, self.silver(spec), spec, self.marks, self.audit, self.run_id,
+                                    self.now, newest)
 
     def gold_builders(self, tables: Mapping[str, TableSpec]) -> dict[str, Callable[[], DataFrame]]:
         def t(name: str) -> DataFrame:

@@ -6,7 +6,9 @@ lists the data folders of that version. The highest version is the current one,
 fails leaves readers on the version before. One writer per table at a time.
 
 A keyed table is split into hash buckets of its key. A merge reads and rewrites only the buckets
-its source touches; all other buckets are carried over by name.
+its source touches; all other buckets are carried over by name. Every version records its keys and
+its number of buckets: appends use the recorded number, a merge that asks for another number
+rewrites the whole table in it, and other keys than the recorded ones are refused.
 """
 
 from __future__ import annotations
@@ -65,9 +67,19 @@ class Snapshot:
             base = self._manifest(current["base"]) if current["base"] else None
         return current["version"] + 1, base
 
+    def _layout(self, base: dict | None) -> int:
+        """Buckets the version has; other keys than its own would look in the wrong ones."""
+        if base is None:
+            return self.buckets
+        if self.keys and base["keys"] and self.keys != base["keys"]:
+            raise ValueError(f"{self.path} is keyed by {base['keys']}, not by {self.keys}")
+        return base["buckets"] if self.keys else 1
+
     def _publish(self, version: int, base: dict | None, run_id: object, schema: T.StructType,
-                 folders: dict[str, list[str]]) -> None:
+                 folders: dict[str, list[str]], buckets: int) -> None:
         body = json.dumps({
+            "keys": self.keys,
+            "buckets": buckets,
             "version": version,
             "base": base["version"] if base else 0,
             "run_id": None if run_id is None else str(run_id),
@@ -108,16 +120,16 @@ class Snapshot:
 
     # --- writing ----------------------------------------------------------------------
 
-    def _bucket_of(self, schema: T.StructType) -> Column:
+    def _bucket_of(self, schema: T.StructType, buckets: int) -> Column:
         # hashed in the table's own key types: int 1 and bigint 1 have different hashes
         keys = [F.col(k).cast(schema[k].dataType) for k in self.keys]
-        return F.pmod(F.xxhash64(*keys), F.lit(self.buckets))
+        return F.pmod(F.xxhash64(*keys), F.lit(buckets))
 
-    def _write_data(self, df: DataFrame, **metrics: Column) -> tuple[dict[str, list[str]], dict]:
+    def _write_data(self, df: DataFrame, buckets: int, **metrics: Column) -> tuple[dict[str, list[str]], dict]:
         """Write new data folders; returns them per bucket with the measured metrics."""
         folder = uuid.uuid4().hex
         target = f"{self.path}/data/{folder}"
-        if self.buckets == 1:
+        if buckets == 1:
             seen = write_counted(df, lambda w: w.mode("error").parquet(target), **metrics)
             return {"0": [folder]}, seen
         seen = write_counted(df, lambda w: w.mode("error").partitionBy(BUCKET).parquet(target), **metrics)
@@ -125,17 +137,11 @@ class Snapshot:
         found = sorted(n for n in names if n.startswith(f"{BUCKET}="))
         return {n.split("=")[1]: [f"{folder}/{n}"] for n in found}, seen
 
-    def _tagged(self, df: DataFrame, schema: T.StructType) -> DataFrame:
-        return df if self.buckets == 1 else df.withColumn(BUCKET, self._bucket_of(schema))
-
-    def _bucketed(self, df: DataFrame, schema: T.StructType) -> DataFrame:
+    def _bucketed(self, df: DataFrame, schema: T.StructType, buckets: int) -> DataFrame:
         """Rows of a bucket side by side, in as many tasks as the size of the bucket asks for."""
-        return df if self.buckets == 1 else self._tagged(df, schema).hint("rebalance", BUCKET)
-
-    def _small(self, path: str) -> bool:
-        """Whether Spark would broadcast what the folder holds."""
-        size = self._fs.getContentSummary(self._new_path(path)).getLength()
-        return size <= self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+        if buckets == 1:
+            return df
+        return df.withColumn(BUCKET, self._bucket_of(schema, buckets)).hint("rebalance", BUCKET)
 
     def overwrite(
         self, df: DataFrame, run_id: object = None, merge_schema: bool = False, **metrics: Column
@@ -144,24 +150,25 @@ class Snapshot:
         version, base = self._base(run_id)
         if merge_schema and base is not None:
             df = align(df, self._joint_schema(base, df.schema))
-        folders, seen = self._write_data(self._bucketed(df, df.schema), **metrics)
-        self._publish(version, base, run_id, df.schema, folders)
+        folders, seen = self._write_data(self._bucketed(df, df.schema, self.buckets), self.buckets, **metrics)
+        self._publish(version, base, run_id, df.schema, folders, self.buckets)
         return seen
 
     def append(self, df: DataFrame, run_id: object = None, **metrics: Column) -> dict:
         """Add rows. Columns that are new or missing are NULL on the other side."""
         version, base = self._base(run_id)
+        buckets = self._layout(base)
         if base is None:
-            folders, seen = self._write_data(self._bucketed(df, df.schema), **metrics)
-            self._publish(version, base, run_id, df.schema, folders)
+            folders, seen = self._write_data(self._bucketed(df, df.schema, buckets), buckets, **metrics)
+            self._publish(version, base, run_id, df.schema, folders, buckets)
             return seen
         schema = self._joint_schema(base, df.schema)
         aligned = align(df, schema)
-        added, seen = self._write_data(self._bucketed(aligned, schema), **metrics)
+        added, seen = self._write_data(self._bucketed(aligned, schema, buckets), buckets, **metrics)
         folders = {b: list(f) for b, f in base["folders"].items()}
         for bucket, new in added.items():
             folders.setdefault(bucket, []).extend(new)
-        self._publish(version, base, run_id, schema, folders)
+        self._publish(version, base, run_id, schema, folders, buckets)
         return seen
 
     def vacuum(self, keep: int = 2) -> int:
@@ -198,6 +205,7 @@ class Snapshot:
         if not self.keys:
             raise ValueError("a merge needs key columns")
         version, base = self._base(run_id)
+        stored = self._layout(base)
         schema = source.schema if base is None else self._joint_schema(base, source.schema)
         no_key = F.expr(" OR ".join(f"`{k}` IS NULL" for k in self.keys))
         checked = Observation()
@@ -207,22 +215,24 @@ class Snapshot:
         chosen = keep_latest(keyed, self.keys, latest, tie_break)
 
         if base is None:
-            folders, seen = self._write_data(self._bucketed(chosen, schema))
-            self._publish(version, base, run_id, schema, folders)
+            folders, seen = self._write_data(self._bucketed(chosen, schema, stored), stored)
+            self._publish(version, base, run_id, schema, folders, stored)
             return {"rows": seen["rows"], "refused": checked.get["refused"]}
 
-        # The chosen rows are written once, used three times, and their file size tells the
-        # planner whether they can be broadcast to the target or have to be shuffled to it.
+        # The chosen rows are written once and used three times; their file size tells the planner
+        # whether they can be broadcast to the target or have to be shuffled to it.
         stage = f"{self.path}/stage/{uuid.uuid4().hex}"
-        bucket = self._bucket_of(schema).cast("string")
+        bucket = self._bucket_of(schema, stored).cast("string")
         written = write_counted(
             chosen.withColumn(BUCKET, bucket), lambda w: w.mode("error").parquet(stage),
             touched=F.collect_set(BUCKET),  # at most one value per bucket
         )
         touched = set(written["touched"])
         seen = {"rows": written["rows"], "refused": checked.get["refused"]}
-        if not touched:
-            self._publish(version, base, run_id, schema, base["folders"])
+        if stored != self.buckets:
+            touched = None  # every bucket is written anew
+        elif not touched:
+            self._publish(version, base, run_id, schema, base["folders"], stored)
             return seen
         staged = self.spark.read.schema(
             T.StructType(chosen.schema.fields + [T.StructField(BUCKET, T.StringType())])
@@ -231,15 +241,11 @@ class Snapshot:
 
         target = self._read(base, touched)
         kept, updates = merge_parts(target, fresh, self.keys, preserve, schema)
-        if self._small(stage):
-            # the target streams through unshuffled, bucket by bucket; only the source moves
-            merged = self._tagged(kept, schema).unionByName(self._bucketed(updates, schema))
-        else:
-            merged = self._bucketed(kept.unionByName(updates), schema)
-        written, _ = self._write_data(merged)
-        folders = {b: f for b, f in base["folders"].items() if b not in touched}
+        merged = self._bucketed(kept.unionByName(updates), schema, self.buckets)
+        written, _ = self._write_data(merged, self.buckets)
+        folders = {} if touched is None else {b: f for b, f in base["folders"].items() if b not in touched}
         folders.update(written)
-        self._publish(version, base, run_id, schema, folders)
+        self._publish(version, base, run_id, schema, folders, self.buckets)
         return seen
 
 

@@ -31,13 +31,15 @@ def slice_query(
     last: object | None = None,
     upper: object | None = None,
     quote: str = '"',
+    including: bool = False,
 ) -> str:
-    """Subquery for the rows in ``(last, upper]``; either bound may be missing."""
+    """Subquery for the rows in ``(last, upper]``, or ``[last, upper]`` with ``including``; either bound
+    may be missing."""
     conditions = []
     if column is not None:
         name = f"{quote}{column}{quote}"
         if last is not None:
-            conditions.append(f"{name} > {sql_literal(last)}")
+            conditions.append(f"{name} {'>=' if including else '>'} {sql_literal(last)}")
         if upper is not None:
             conditions.append(f"{name} <= {sql_literal(upper)}")
     where = " WHERE " + " AND ".join(conditions) if conditions else ""
