@@ -180,3 +180,11 @@ def test_other_keys_than_the_recorded_ones_are_refused(spark, scratch):
     Snapshot(spark, f"{scratch}/t", ["k"], 2).overwrite(frame(spark, [(1, "a", 0)]))
     with pytest.raises(ValueError):
         Snapshot(spark, f"{scratch}/t", ["v"], 2).upsert(frame(spark, [(1, "a", 0)]))
+
+
+def test_a_late_row_does_not_undo_a_newer_one(spark, scratch, rows):
+    table = Snapshot(spark, f"{scratch}/t", ["k"], 2)
+    table.upsert(frame(spark, [(1, "new", 9), (2, "a", 5), (3, "b", None), (4, "c", 5)]))
+    table.upsert(frame(spark, [(1, "late", 3), (2, "same", 5), (3, "x", None), (4, "none", None), (5, "first", None)]),
+                 not_before="at")
+    assert rows(table.read()) == [(1, "new", 9), (2, "same", 5), (3, "x", None), (4, "c", 5), (5, "first", None)]

@@ -93,7 +93,8 @@ def _append(silver: Snapshot, rows: DataFrame, spec: TableSpec, token: str) -> i
 
 def _merge(silver: Snapshot, rows: DataFrame, spec: TableSpec, token: str) -> int:
     latest = [c for c in (spec.watermark_column, BATCH) if c and c in rows.columns]
-    seen = silver.upsert(rows, token, preserve=["insert_timestamp"], latest=latest)
+    seen = silver.upsert(rows, token, preserve=["insert_timestamp"], latest=latest,
+                         not_before=spec.watermark_column if spec.incremental else None)
     if seen["refused"]:
         log.warning("%s: %d rows without a key were refused", spec.table_name, seen["refused"])
     return seen["rows"]

@@ -195,12 +195,15 @@ class Snapshot:
         preserve: Sequence[str] = (),
         latest: Sequence[str] = (),
         tie_break: Sequence[Column] | None = None,
+        not_before: str | None = None,
     ) -> dict:
         """Update all columns of rows with a known key, insert the others.
 
         One source row per key is used: the newest by ``latest``. Source rows without a key are
         refused and counted. ``preserve`` names columns that keep their old value on an update, as
-        do columns the source does not have. Returns ``rows`` written and ``refused``.
+        do columns the source does not have. With ``not_before`` a source row that is older by that
+        column than the stored row, or has no value where that has one, changes nothing: a late row
+        does not undo a newer one. Returns ``rows`` staged and ``refused``.
         """
         if not self.keys:
             raise ValueError("a merge needs key columns")
@@ -240,6 +243,12 @@ class Snapshot:
         fresh = staged.drop(BUCKET)
 
         target = self._read(base, touched)
+        if not_before is not None and not_before in target.columns:
+            stored_at = target.select(*self.keys, F.col(not_before).alias("_stored_at")).join(
+                fresh.select(*self.keys), self.keys, "left_semi")
+            fresh = fresh.join(stored_at, self.keys, "left").filter(
+                F.col("_stored_at").isNull() | F.coalesce(F.col(not_before) >= F.col("_stored_at"), F.lit(False))
+            ).drop("_stored_at")
         kept, updates = merge_parts(target, fresh, self.keys, preserve, schema)
         merged = self._bucketed(kept.unionByName(updates), schema, self.buckets)
         written, _ = self._write_data(merged, self.buckets)
