@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tierflow.operators.cleanse import (
-    EntityRules, Rule, apply_rules, check_balance, clean_entity, fill, keep_valid, require, unreadable,
+    EntityRules, Rule, apply_rules, check_balance, clean_entity, fill, keep_valid, rejected, require, unreadable,
 )
 from tierflow.operators.dedup import keep_latest
 from tierflow.operators.lookup import keep_or_default, with_group_count
@@ -119,3 +119,27 @@ def test_flatten_skips_repeated_paths_and_names(spark):
     df = spark.sql("select named_struct('b', named_struct('c', 1, 'd', 2)) a")
     got = flatten(df, [("a.b.c", "c"), ("a.b.d", "c"), ("a.b.c", "again"), ("a.b.d", "d")])
     assert got.columns == ["c", "d"] and tuple(got.first()) == (1, 2)
+
+
+@pytest.mark.parametrize("value", ["named_struct('a', {0}, 'b', 'x')", "array({0}, 2)", "map('k', {0}, 'j', 1)", "array(map('k', {0}))",
+                                   "named_struct('m', map('k', {0}))"])
+def test_nested_columns_decide_ties(spark, value):
+    rows = " union all ".join(f"select {k} k, {value.format(v)} v" for k, v in [(1, 5), (1, 3), (1, 4), (2, 9)])
+    for partitions in (1, 3):
+        got = keep_latest(spark.sql(rows).repartition(partitions), ["k"])
+        assert sorted(r.s for r in got.select(F.to_json(F.struct("v")).alias("s")).collect()) == sorted(
+            r.s for r in spark.sql(f"select to_json(struct({value.format(3)} v)) s union all select to_json(struct({value.format(9)} v)) s").collect())
+
+
+def test_unreadable_values_get_no_default(spark, rows):
+    entity = EntityRules("k", (Rule("k", "int"), Rule("x", "decimal(5,2)"), Rule("n", "string")), required=("n",), defaults={"x": "0.00"})
+    raw = spark.createDataFrame([("1", "abc", "a"), ("2", " ", "a"), ("3", None, "a"), ("4", "1234.5", "a"), ("5", "2", None), ("z", "1", "a")],
+                                "k string, x string, n string")
+    assert rows(clean_entity(raw, entity), "k", "x") == sorted([(1, None), (2, D("0.00")), (3, D("0.00")), (4, None), (None, D("1.00"))], key=repr)
+    assert rows(rejected(raw, entity)) == [("k", "unreadable", 1), ("n", "missing", 1), ("x", "unreadable", 2)]
+
+
+def test_balances_are_not_rounded_before_the_comparison(spark):
+    df = spark.createDataFrame([("100.0", "0", "0", "100.004"), ("100.001", "0.003", "0", "100.004")],
+                               "opening_balance string, credit_amount string, debit_amount string, closing_balance string")
+    assert [r.is_balance_valid for r in check_balance(df).collect()] == [False, True]

@@ -147,8 +147,8 @@ _SEED = ", ".join(f"({r[0]}, '{r[1]}')" for r in registry.fx.REGISTRY_ROWS)
 
 @query("audit_report", f"""
     select r.run_id, cast(r.table_id as bigint) table_id, n.table_name, 'Silver' layer,
-           strftime(r.start_time, '%Y-%m-%d %H:%M:%S') start_time,
-           strftime(r.start_time + interval '5' minute, '%Y-%m-%d %H:%M:%S') end_time, r.status,
+           cast(r.start_time as varchar) start_time,
+           cast(r.start_time + interval '5' minute as varchar) end_time, r.status,
            r.number_of_records,
            case when r.status = 'FAILED' then 'failed ''here''' end error_message
     from x_latest_runs r left join (values {_SEED}) n(table_id, table_name) on r.table_id = n.table_id""")
@@ -168,7 +168,7 @@ def audit_overall(t: Tables):
 
 @query("audit_newest_first", """
     select run_id, cast(table_id as bigint) table_id, status,
-           strftime(start_time, '%Y-%m-%d %H:%M:%S') start_time from x_latest_runs""")
+           cast(start_time as varchar) start_time from x_latest_runs""")
 def audit_newest_first(t: Tables):
     return audit.runs_newest_first(latest_runs(t)).select("run_id", "table_id", "status", "start_time")
 

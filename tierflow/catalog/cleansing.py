@@ -104,7 +104,7 @@ def unreadable_values(t: Tables):
     select o_orderkey, case when o_orderpriority = '5-LOW' then null
              else strftime(o_orderdate + (o_orderkey % 1440) * interval '1' minute, '%Y-%m-%d %H:%M:%S')
            end discharged,
-           strftime(o_orderdate + (o_orderkey % 1440) * interval '1' minute, '%Y-%m-%d %H:%M:%S') admitted
+           cast(o_orderdate + (o_orderkey % 1440) * interval '1' minute + interval '123456' microsecond as varchar) admitted
     from orders""")
 def messy_timestamp_parse(t: Tables):
     raw = t.sql("""

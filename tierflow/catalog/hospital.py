@@ -70,7 +70,7 @@ def silver_departments(t: Tables):
 
 
 @query("silver_encounters", """
-    select encounter_id, patient_id, provider_id, strftime(admission_datetime, '%Y-%m-%d %H:%M:%S')
+    select encounter_id, patient_id, provider_id, cast(admission_datetime + interval '123456' microsecond as varchar)
            admission_datetime, strftime(discharge_datetime, '%Y-%m-%d %H:%M:%S') discharge_datetime,
            l_quantity length_of_stay_days, l_linestatus los_bucket, l_partkey department_id,
            l_orderkey hospital_account_id, 'N' in_icu_flag, 'Y' is_admitted_flag, l_returnflag is_readmission_flag

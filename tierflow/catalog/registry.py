@@ -53,7 +53,7 @@ def comparable(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = c.cast("string")  # with its fraction of a second
         return c.alias(f.name)
 
     return df.select(*[cell(f) for f in df.schema.fields])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tierflow.catalog.registry import Tables, query
+from tierflow.operators.cleanse import clean_entity, rejected
 from tierflow.plans import star
 from tierflow.sinks.files import write_csv
 from tierflow.sinks.snapshot import Snapshot
@@ -106,6 +107,31 @@ def star_dim_account(t: Tables):
     return dimension(t, "dim_account")
 
 
+_ODD_ACCOUNTS = """
+    select cast(o_orderkey as string) account_key, concat('AC', o_orderkey) account_number, cast(o_custkey as string) customer_key,
+           case when o_orderpriority = '5-LOW' then null else '7' end branch_key, '3' product_key,
+           '2024-01-05' account_open_date, 'O' account_status, 'USD' currency,
+           case when o_orderkey % 5 = 0 then '12000000.00' when o_orderkey % 5 = 1 then 'abc'
+                when o_orderkey % 5 = 2 then '  ' else '17.25' end current_balance
+    from {orders}"""
+
+
+@query("star_dim_account_odd", """
+    select o_orderkey account_key, case o_orderkey % 5 when 0 then null when 1 then null when 2 then 0.0 else 17.25 end::double current_balance
+    from orders where o_orderpriority <> '5-LOW'""")
+def star_dim_account_odd(t: Tables):
+    """Balances that do not fit or cannot be read stay NULL; blank ones get the default."""
+    return clean_entity(t.sql(_ODD_ACCOUNTS), star.DIMENSIONS["dim_account"]).select("account_key", "current_balance")
+
+
+@query("rejected_rows", """
+    select 'current_balance' column_name, 'unreadable' reason, count(*) "rows" from orders where o_orderkey % 5 in (0, 1)
+    union all
+    select 'branch_key', 'missing', count(*) from orders where o_orderpriority = '5-LOW'""")
+def rejected_rows(t: Tables):
+    return rejected(t.sql(_ODD_ACCOUNTS), star.DIMENSIONS["dim_account"]).withColumnRenamed("column", "column_name")
+
+
 # --- fact ---------------------------------------------------------------------------------
 
 _AMOUNTS = """cast(opening_balance as double) opening_balance, cast(debit_amount as double) debit_amount,
@@ -127,6 +153,13 @@ def gold(t: Tables):
     })
 
 
+@query("balance_third_decimal", f"select {_KEYS}, {_AMOUNTS}, true is_balance_valid from x_staged_fact where account_key % 3 <> 0")
+def balance_third_decimal(t: Tables):
+    """A difference beyond the second place is one."""
+    off = F.when(F.col("account_key") % 3 == 0, F.lit("0.004")).otherwise(F.lit("0")).cast("decimal(10,3)")
+    return star.staged_fact(t.balance_rows.withColumn("closing_balance", F.col("closing_balance") + off))
+
+
 @query("balance_check", f"select {_KEYS}, {_AMOUNTS}, true is_balance_valid from x_staged_fact")
 def balance_check(t: Tables):
     return staged(t)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from tierflow.catalog.registry import Tables, query
 from tierflow.plans import trips
 
-_TRIP = """VendorID, strftime(tpep_pickup_datetime, '%Y-%m-%d %H:%M:%S') tpep_pickup_datetime,
+_TRIP = """VendorID, cast(tpep_pickup_datetime as varchar) tpep_pickup_datetime,
            PULocationID, DOLocationID, fare_amount"""
 
 
@@ -24,7 +24,7 @@ _WINDOW = """
 
 
 @query("rolling_two_months", f"""
-    select {_TRIP}, (select strftime(max(tpep_pickup_datetime) - interval '2' month, '%Y-%m-%d %H:%M:%S')
+    select {_TRIP}, (select cast(max(tpep_pickup_datetime) - interval '2' month as varchar)
                      from trips) cutoff_date,
            month(tpep_pickup_datetime) pickup_month_number, monthname(tpep_pickup_datetime) pickup_month_name
     {_WINDOW}""")

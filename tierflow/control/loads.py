@@ -123,6 +123,8 @@ def load_silver(
     if not spec.incremental:
         return STRATEGIES[spec.load_type](silver, _stamp(bronze, now), spec, str(run_id))
     last, last_run = watermarks.get(spec.table_id), watermarks.last_run(spec.table_id)
+    if BATCH not in bronze.columns:  # rows without batches are those of this run
+        bronze = bronze.withColumn(BATCH, F.lit(run_id).cast("bigint"))
     rows = unread_batches(bronze, spec, last_run, last)
     found = slices.measure(rows, spec.watermark_column, last, BATCH)
     if found["unplaced"] or found["late"]:

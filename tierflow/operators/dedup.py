@@ -9,14 +9,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _orderable(dtype: T.DataType) -> bool:
-    return not isinstance(dtype, (T.MapType, T.StructType, T.ArrayType, T.VariantType))
+def _sortable(dtype: T.DataType) -> bool:
+    """Whether Spark orders the type: maps and variants, and what holds one, have no order."""
+    if isinstance(dtype, T.ArrayType):
+        return _sortable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_sortable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _order_value(field: T.StructField) -> Column:
+    """The column itself, or for a type without an order its text, with the entries of maps sorted."""
+    column = F.col(f"`{field.name}`")
+    if _sortable(field.dataType):
+        return column
+    if isinstance(field.dataType, T.MapType) and _sortable(field.dataType.keyType) and _sortable(field.dataType.valueType):
+        return F.array_sort(F.map_entries(column))
+    return F.to_json(column) if not isinstance(field.dataType, T.ArrayType) else F.to_json(F.struct(column))
 
 
 def survivor_order(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> list[Column]:
-    """Newest first, then all other orderable columns ascending with NULL last: a total order."""
-    rest = [f.name for f in df.schema.fields if f.name not in {*keys, *latest} and _orderable(f.dataType)]
-    return [F.col(c).desc_nulls_last() for c in latest] + [F.col(c).asc_nulls_last() for c in rest]
+    """Newest first, then all other columns ascending with NULL last: a total order, nested columns included."""
+    rest = [f for f in df.schema.fields if f.name not in {*keys, *latest}]
+    return [F.col(f"`{c}`").desc_nulls_last() for c in latest] + [_order_value(f).asc_nulls_last() for f in rest]
 
 
 def keep_latest(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow import fixed_values as fx
-from tierflow.operators.cleanse import EntityRules, Rule, apply_rules, check_balance, clean_entity, keep_valid
+from tierflow.operators.cleanse import EXACT, EntityRules, Rule, apply_rules, check_balance, clean_entity, keep_valid
 from tierflow.operators.dedup import keep_latest
 from tierflow.operators.lookup import keep_or_default
 from tierflow.sinks.snapshot import Snapshot
@@ -74,7 +74,7 @@ DIMENSIONS: dict[str, EntityRules] = {
 
 FACT_RULES = tuple(
     [Rule(k, "bigint") for k in fx.FACT_KEYS]
-    + [Rule(a, "decimal(18,2)") for a in fx.FACT_AMOUNTS]
+    + [Rule(a, EXACT) for a in fx.FACT_AMOUNTS]
     + [Rule("transaction_count", "bigint")]
 )
 
@@ -85,10 +85,14 @@ def load_dimension(raw: DataFrame, name: str, table: Snapshot, run_id: object =
 
 
 def staged_fact(raw: DataFrame) -> DataFrame:
-    """Typed daily balances: keys present, balance adds up, one row per key. Keeps the check flag."""
+    """Typed daily balances: keys present, balance adds up, one row per key. Keeps the check flag.
+
+    Amounts are compared as given and take their two places afterwards.
+    """
     flag = "is_balance_valid"
-    checked = check_balance(apply_rules(raw, FACT_RULES), flag)
-    return keep_latest(keep_valid(checked, fx.FACT_KEYS, flag), fx.FACT_KEYS)
+    valid = keep_valid(check_balance(apply_rules(raw, FACT_RULES), flag), fx.FACT_KEYS, flag)
+    shaped = valid.withColumns({a: F.col(a).try_cast("decimal(18,2)") for a in fx.FACT_AMOUNTS})
+    return keep_latest(shaped, fx.FACT_KEYS)
 
 
 def gold_fact(staged: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:

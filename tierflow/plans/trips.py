@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tierflow import fixed_values as fx
 from tierflow.functions.columns import money, year_month
+from tierflow.operators.cleanse import EXACT
 from tierflow.sinks.files import write_partitioned
 
 PICKUP, DROPOFF = "tpep_pickup_datetime", "tpep_dropoff_datetime"
@@ -94,7 +95,7 @@ def top_zones(trips: DataFrame, zone: str, count: int = fx.TOP_ZONES) -> DataFra
 def yields(trips: DataFrame) -> DataFrame:
     """Revenue per mile and per minute, as ratios of sums; NULL without any distance or time."""
     revenue = F.sum(money(F.col("fare_amount"))).cast("double")
-    miles = F.sum(money(F.col("trip_distance"))).cast("double")
+    miles = F.sum(F.col("trip_distance").cast(EXACT)).cast("double")
     minutes = F.sum(_minutes()).cast("double")
     return trips.agg(
         F.try_divide(revenue, miles).alias("yield_per_mile"),
