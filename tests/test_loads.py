@@ -245,3 +245,19 @@ def test_rows_at_the_watermark_are_extracted_again_for_a_merge(spark, scratch):
     for spec, n in ((MERGE, 2), (APPEND, 1)):
         b = Bench(spark, f"{scratch}/{spec.load_type}", spec, seed="5")
         assert loads.new_source_rows(df, spec, b.marks).count() == n
+
+
+def test_a_failed_run_still_gives_its_report(spark, scratch):
+    from tierflow.plans.banking_run import BankingRun
+
+    def read_query(query):
+        if "accounts" in query:
+            raise RuntimeError("source is gone")
+        return spark.sql("select 1 customer_id, 'b' branch_code, 1 txn_id, timestamp '2024-01-01' updated_at, "
+                         "timestamp '2024-01-01' txn_timestamp")
+
+    tables = registry.seed_registry(spark).filter("lower(source_system) <> 'blob'")
+    run = BankingRun(spark, scratch, 1, DAY[1], read_query, {}, buckets=1)
+    report = {(r["table_name"], r["status"]) for r in run.run(tables, registry.seed_parameters(spark)).collect()}
+    assert ("accounts", "FAILED") in report and ("customers", "SUCCESS") in report
+    assert run_status(run.audit.read()).first()["overall_status"] == "FAILED"

@@ -118,13 +118,17 @@ def test_rolling_window_opens_only_recent_folders(spark, scratch):
     days = spark.range(0, 400).select(
         (F.lit("2025-01-01").cast("timestamp") + F.make_interval(days=F.col("id").cast("int"))).alias("tpep_pickup_datetime"))
     table = trips.load_trips(spark, days, f"{scratch}/trips")
-    window = trips.rolling_window(table)
+    assert trips.newest_month(spark, f"{scratch}/trips") == 202602 and trips.newest_month(spark, f"{scratch}/none") is None
+    window = trips.rolling_window(table, newest=202602)
     got = window.agg(F.count("*"), F.min("tpep_pickup_datetime"), F.max("cutoff_date")).first()
     assert tuple(got) == (63, datetime(2025, 12, 4), datetime(2025, 12, 4))  # newest is 2026-02-04
     plan = window._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(pickup_year" in plan
     files = window.select(F.input_file_name()).distinct().collect()
     assert all("pickup_month=12" in f[0] or "pickup_year=2026" in f[0] for f in files)
+    # every scan, those of the subqueries included, is filtered by partition
+    whole = window._jdf.queryExecution().executedPlan().toString()
+    assert whole.count("FileScan parquet") == whole.count("PartitionFilters: [isnotnull(pickup_year") + whole.count("PartitionFilters: [(((pickup_year")
     assert {r[0] for r in window.select("pickup_month_name").distinct().collect()} == {"December", "January", "February"}
 
 

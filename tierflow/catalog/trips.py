@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tierflow.catalog.registry import Tables, query
 from tierflow.plans import trips
 
@@ -30,11 +32,26 @@ _WINDOW = """
     {_WINDOW}""")
 def rolling_two_months(t: Tables):
     table = trips.load_trips(t.spark, t.trips, f"{t.scratch}/trips")
-    return trips.rolling_window(table).select(
+    return trips.rolling_window(table, newest=trips.newest_month(t.spark, f"{t.scratch}/trips")).select(
         "VendorID", "tpep_pickup_datetime", "PULocationID", "DOLocationID", "fare_amount", "cutoff_date",
         "pickup_month_number", "pickup_month_name")
 
 
+@query("run_trips_from_months", """
+    select month(tpep_pickup_datetime) pickup_month, count(*) rides,
+           cast(sum(cast(fare_amount as decimal(18,2))) as double) revenue
+    from trips where year(tpep_pickup_datetime) = (select max(year(tpep_pickup_datetime)) from trips)
+      and month(tpep_pickup_datetime) in (1, 2) group by 1""")
+def run_trips_from_months(t: Tables):
+    """Landing files of two months, named by month, to the partitioned table and a report."""
+    dated = trips.with_calendar(t.trips)
+    year = dated.agg(F.max("pickup_year")).first()[0]
+    for month, path in zip((1, 2), trips.month_files(f"{t.scratch}/landing", "yellow", year, [1, 2])):
+        dated.filter((F.col("pickup_year") == year) & (F.col("pickup_month") == month)).drop(*trips.PARTITIONS).write.parquet(path)
+    table = trips.load_months(t.spark, f"{t.scratch}/landing", "yellow", year, [1, 2], f"{t.scratch}/months")
+    return trips.monthly_kpis(table).drop("pickup_year")
+
+
 @query("rolling_month_counts", f"""
     select month(tpep_pickup_datetime) pickup_month_number, count(*) trips {_WINDOW} group by 1""")
 def rolling_month_counts(t: Tables):

@@ -116,7 +116,8 @@ class BankingRun:
 
         Tables do not depend on each other within a layer: they start in load order and up to
         ``parallel`` of them share the cluster, so the last tasks of one do not keep it idle. A
-        failure is recorded and ends the run before gold.
+        failed table is recorded with its error, the others of its layer still load, and gold is not
+        built on it: the report says so, and ``run_status`` counts the run as failed.
         """
         sources = specs(registry, parameters, "sqlserver") + specs(registry, parameters, "blob")
         builders = self.gold_builders({s.table_name: s for s in sources})
@@ -129,10 +130,16 @@ class BankingRun:
             loads.publish_gold(spec.table_name, builders, f"{self.root}/gold", self.spark, self.audit,
                                self.run_id, spec.table_id)
 
-        with ThreadPoolExecutor(self.parallel) as pool:
-            list(pool.map(load, sources))
-            list(pool.map(publish, specs(registry, parameters, "silver")))
-        return run_report(self.audit.read(), registry, self.run_id)
+        def failures(job: Callable[[TableSpec], None], tables: list[TableSpec]) -> list[BaseException]:
+            with ThreadPoolExecutor(self.parallel) as pool:
+                found = [f.exception() for f in [pool.submit(job, table) for table in tables]]
+            return [e for e in found if e is not None]
+
+        errors = failures(load, sources) or failures(publish, specs(registry, parameters, "silver"))
+        report = run_report(self.audit.read(), registry, self.run_id)
+        if errors and report.filter("status = 'FAILED'").isEmpty():
+            raise errors[0]  # it failed before its audit row
+        return report
 
     def gold(self, name: str) -> DataFrame:
         return Snapshot(self.spark, f"{self.root}/gold/{name}").read()

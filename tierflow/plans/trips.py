@@ -23,6 +23,24 @@ def month_files(root: str, kind: str, year: int, months: list[int]) -> list[str]
     return [f"{root.rstrip('/')}/{kind}_tripdata_{year}-{month:02d}.parquet" for month in months]
 
 
+def load_months(spark: SparkSession, root: str, kind: str, year: int, months: list[int], path: str) -> DataFrame:
+    """The table of one year from its landing files, one for each month."""
+    return load_trips(spark, spark.read.parquet(*month_files(root, kind, year, months)), path, year)
+
+
+def newest_month(spark: SparkSession, path: str) -> int | None:
+    """``yyyymm`` of the newest month folder, from two folder listings; no file is opened."""
+    def newest(folder: str, key: str) -> int | None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+        return max((int(n.split("=")[1]) for n in names if n.startswith(f"{key}=") and n.split("=")[1].isdigit()), default=None)
+
+    year = newest(path, PARTITIONS[0])
+    month = None if year is None else newest(f"{path}/{PARTITIONS[0]}={year}", PARTITIONS[1])
+    return None if month is None else year * 100 + month
+
+
 def load_trips(spark: SparkSession, trips: DataFrame, path: str, year: int | None = None) -> DataFrame:
     """Rebuild the table, of one year when given, partitioned by month."""
     dated = with_calendar(trips)
@@ -33,17 +51,18 @@ def load_trips(spark: SparkSession, trips: DataFrame, path: str, year: int | Non
     return spark.read.schema(declared).parquet(path)
 
 
-def rolling_window(trips: DataFrame, months: int = fx.ROLLING_MONTHS) -> DataFrame:
+def rolling_window(trips: DataFrame, months: int = fx.ROLLING_MONTHS, newest: int | None = None) -> DataFrame:
     """Trips of the last months before the newest pickup, with cutoff, month number and name.
 
-    ``trips`` carries the calendar columns. Both bounds are scalar subqueries. The newest month
-    comes from the partition columns alone, the newest pickup from that month only, and the cutoff
-    is also tested on the partition columns, so older folders are never opened.
+    ``trips`` carries the calendar columns. With ``newest``, the newest month from the folder listing
+    (``newest_month``), the newest pickup is looked for in that month only, and the cutoff is also tested
+    on the partition columns, so older folders are never opened. Without it the newest month takes a pass
+    over the calendar columns.
     """
     month_key = F.col("pickup_year") * 100 + F.col("pickup_month")
-    newest_month = trips.select(F.max(month_key)).scalar()
+    last_month = trips.select(F.max(month_key)).scalar() if newest is None else F.lit(newest)
     cutoff = (
-        trips.filter(month_key == newest_month)
+        trips.filter(month_key == last_month)
         .select(F.max(PICKUP) - F.expr(f"INTERVAL {months} MONTHS")).scalar()
     )
     return (

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tierflow.sources.files import text_schema
 
+WRITTEN = "written"
 RESCUED = "_rescued_data"
 
 
@@ -97,19 +98,21 @@ def csv_stream(
 
 
 def drain(rows: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = ()) -> int:
-    """Append everything that has not been read yet and stop; returns the rows of this run.
+    """Append everything that has not been read yet and stop; returns the rows this run wrote.
 
     The checkpoint makes each input file count once, also when the run is repeated after a failure.
+    The rows are counted where they are written: lines that are no rows do not count.
     """
     query = (
-        rows.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
+        rows.observe(WRITTEN, F.count(F.lit(1)).alias("rows")).writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target)
     )
     rows_of_batch: dict[int, int] = {}
     done = False
     while not done:  # the query only remembers its last progress reports
-        done = query.awaitTermination(2)
-        rows_of_batch.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress})
+        done = query.awaitTermination(1)
+        rows_of_batch.update({p.batchId: p.observedMetrics[WRITTEN]["rows"] for p in query.recentProgress
+                              if WRITTEN in p.observedMetrics})
     return sum(rows_of_batch.values())
 
 
