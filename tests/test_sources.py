@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tierflow.plans import social
@@ -125,3 +126,30 @@ def test_database_sink_only_inserts():
 
     insert_jdbc(Frame, "jdbc:x", "dbo.users", {"user": "u"})
     assert calls == [("jdbc:x", "dbo.users", "append", {"user": "u"})]
+
+
+def test_csv_columns_are_taken_by_name(spark, scratch, rows):
+    spark.createDataFrame([("1", "x", "m"), ("2", "y", None)], "b string, a string, c string").write.csv(f"{scratch}/c", header=True)
+    with pytest.raises(ValueError, match="c"):
+        files.read_csv(spark, f"{scratch}/c", "a string, b int")
+    got = files.read_csv(spark, f"{scratch}/c", "a string, b int, d string", rescue="rest")
+    assert rows(got) == [("x", 1, None, '{"c":"m"}'), ("y", 2, None, None)]
+    assert got.columns == ["a", "b", "d", "rest"]
+    with pytest.raises(ValueError, match="d"):
+        files.read_csv(spark, f"{scratch}/c", "a string, b int, c string, d string")
+
+
+def test_a_file_with_another_header_is_an_error(spark, scratch):
+    for name, header in (("1", "a,b"), ("2", "b,a")):
+        spark.createDataFrame([(header,), ("1,2",)], "value string").coalesce(1).write.mode("append").text(f"{scratch}/m")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, f"{scratch}/m", "a string, b string").collect()
+
+
+def test_line_breaks_empty_and_missing_texts_survive_csv(spark, scratch, rows):
+    from tierflow.sinks.files import write_csv
+    items = [(1, "a\nb"), (2, ""), (3, None), (4, 'q"u,o\\te\r\n'), (5, " x "), (6, "\\N?")]
+    for quote_all in (True, False):
+        write_csv(spark.createDataFrame(items, "k int, v string"), f"{scratch}/{quote_all}", quote_all=quote_all)
+        got = files.read_csv(spark, f"{scratch}/{quote_all}", "k int, v string", multi_line=True)
+        assert rows(got) == sorted(items, key=repr)

@@ -13,6 +13,7 @@ from tierflow.sinks.snapshot import Snapshot
 from tierflow.sources.files import (
     landing_path, load, query_path, read_csv, read_csv_if_filled, read_parquet, slot_of_file, text_schema,
 )
+from tierflow.streaming import ingest
 
 SLOT = "2026/06/19/18/44"
 _ORDERS_SQL = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders"
@@ -31,13 +32,35 @@ def dated_csv_roundtrip(t: Tables):
 
 
 @query("quoted_text_roundtrip", """
-    select doc_id, lang, replace(replace(text, chr(10), ' '), chr(13), ' ') body from documents""")
+    select doc_id, case when doc_id % 5 = 0 then null when doc_id % 5 = 1 then '' else lang end lang, text body
+    from documents""")
 def quoted_text_roundtrip(t: Tables):
-    """Whole texts with quotes and commas through quoted CSV."""
-    body = F.translate("text", "\n\r", "  ").alias("body")
+    """Whole texts with quotes, commas and line breaks through quoted CSV; empty texts and missing ones."""
     path = f"{t.scratch}/texts.csv"
-    write_csv(t.documents.select("doc_id", "lang", body), path)
-    return read_csv(t.spark, path, "doc_id bigint, lang string, body string")
+    lang = F.when(F.col("doc_id") % 5 == 1, "").when(F.col("doc_id") % 5 > 1, F.col("lang")).alias("lang")
+    write_csv(t.documents.select("doc_id", lang, F.col("text").alias("body")), path)
+    return read_csv(t.spark, path, "doc_id bigint, lang string, body string", multi_line=True)
+
+
+@query("csv_reordered_columns", "select o_orderkey, o_custkey, o_orderstatus, cast(o_totalprice as double) o_totalprice from orders")
+def csv_reordered_columns(t: Tables):
+    """Columns are taken by name, whatever their order in the files."""
+    path = f"{t.scratch}/reordered.csv"
+    write_csv(t.orders.select("o_totalprice", "o_orderstatus", "o_orderkey", "o_custkey"), path)
+    return read_csv(t.spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double")
+
+
+@query("stream_csv_rescue", """
+    select cast(event_id as varchar) event_id, event_type, cast(null as varchar) channel,
+           case when user_id is null then null else '{"user_id":"' || user_id || '"}' end _rescued_data
+    from events""")
+def stream_csv_rescue(t: Tables):
+    """A stream of files whose columns come in another order, one missing and one more than asked for."""
+    landing, bronze = f"{t.scratch}/csv", f"{t.scratch}/csv_bronze"
+    write_csv(t.events.select("user_id", "event_type", "event_id"), landing)
+    rows = ingest.csv_stream(t.spark, landing, ["event_id", "event_type", "channel"], rescue=True)
+    ingest.drain(rows, bronze, f"{t.scratch}/csv_checkpoint")
+    return t.spark.read.parquet(bronze)
 
 
 @query("empty_input_guard", f"{_ORDERS_SQL}")

@@ -7,6 +7,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
+from tierflow.sources.files import CSV_NULL
+
 
 def write_counted(
     df: DataFrame, save: Callable[[DataFrameWriter], None], **metrics: Column
@@ -32,9 +34,10 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> int:
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = True) -> int:
-    """Quoted text with a header row in every part file. Blanks around a text are part of it."""
+    """Quoted text with a header row in every part file. Blanks around a text are part of it, an empty
+    text and a missing one are told apart, and line breaks stay (to be read with ``multi_line``)."""
     return write_counted(df, lambda w: w.mode("overwrite").csv(
-        path, header=True, quoteAll=quote_all, escape="\\",
+        path, header=True, quoteAll=quote_all, escape="\\", nullValue=CSV_NULL,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ))["rows"]
 

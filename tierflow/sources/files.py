@@ -22,17 +22,58 @@ def read_parquet(spark: SparkSession, path: str, schema: Schema | None = None) -
     return reader.parquet(path)
 
 
+#: How CSV files write a missing value; an empty text is written as quotes without content.
+CSV_NULL = "\\N"
+CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": "\\", "nullValue": CSV_NULL}
+
+
+def csv_header(spark: SparkSession, path: str, recursive: bool = False, **options: str) -> list[str]:
+    """Column names in the first line of one of the files."""
+    return spark.read.csv(path, header=True, recursiveFileLookup=recursive, **{**CSV_OPTIONS, **options}).columns
+
+
+def by_header(schema: T.StructType, names: Sequence[str], rescue: str | None = None) -> tuple[T.StructType, list[Column]]:
+    """The schema of files with the header ``names``, and the columns of ``schema`` taken from them by name.
+
+    A column the files lack, and one nobody asked for, is an error; with ``rescue`` the first is NULL and
+    the others go as a JSON text into the column of that name.
+    """
+    missing = [f for f in schema.names if f not in names]
+    extra = [n for n in names if n not in schema.names]
+    if rescue is None and (missing or extra):
+        raise ValueError(f"the header has no {missing} and {extra} nobody asked for")
+    found = T.StructType([schema[n] if n in schema.names else T.StructField(n, T.StringType()) for n in names])
+    columns = [(F.lit(None).cast(f.dataType) if f.name in missing else F.col(f"`{f.name}`")).alias(f.name) for f in schema.fields]
+    if rescue is not None:
+        rest = F.map_filter(F.create_map(*[x for n in extra for x in (F.lit(n), F.col(f"`{n}`"))]), lambda _, v: v.isNotNull()) if extra else None
+        columns.append((F.lit(None).cast("string") if rest is None else F.when(F.size(rest) > 0, F.to_json(rest))).alias(rescue))
+    return found, columns
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: Schema,
     header: bool = True,
     recursive: bool = False,
+    multi_line: bool = False,
+    rescue: str | None = None,
     **options: str,
 ) -> DataFrame:
-    """Comma separated, ``"`` quotes, ``\\`` escapes. No inference pass over the data."""
-    settings = {"sep": ",", "quote": '"', "escape": "\\", "enforceSchema": "true", **options}
-    return spark.read.schema(schema).csv(path, header=header, recursiveFileLookup=recursive, **settings)
+    """Comma separated, ``"`` quotes, ``\\`` escapes; columns by the names of the header, see ``by_header``.
+
+    No inference pass over the data: one line tells the header, and a file with another one is an error.
+    Without a header columns are taken by position. ``multi_line`` reads line breaks within quotes; such a
+    file is read by one task. An empty text in quotes is an empty text, nothing at all is NULL.
+    """
+    settings = {**CSV_OPTIONS, **options}
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if not header:
+        return spark.read.schema(wanted).csv(path, recursiveFileLookup=recursive, multiLine=multi_line, **settings)
+    found, columns = by_header(wanted, csv_header(spark, path, recursive, **options), rescue)
+    rows = spark.read.schema(found).csv(
+        path, header=True, enforceSchema=False, recursiveFileLookup=recursive, multiLine=multi_line, **settings)
+    return rows if found == wanted and rescue is None else rows.select(*columns)
 
 
 def read_json(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.sources.files import text_schema
+from tierflow.sources.files import CSV_OPTIONS, by_header, csv_header, text_schema
 
 WRITTEN = "written"
 RESCUED = "_rescued_data"
@@ -88,13 +88,18 @@ def json_stream(spark: SparkSession, landing: str, schema: T.StructType, lineage
 
 
 def csv_stream(
-    spark: SparkSession, landing: str, columns: Sequence[str], max_files: int | None = None
+    spark: SparkSession, landing: str, columns: Sequence[str], max_files: int | None = None, rescue: bool = False
 ) -> DataFrame:
-    """Unbounded rows of a folder of CSV files, every column as text."""
-    reader = spark.readStream.schema(text_schema(columns))
+    """Unbounded rows of a folder of CSV files, every column as text, by the names of the header.
+
+    The files there at the start tell the header; a file with another one stops the stream. Columns nobody
+    asked for are an error, or go to the rescue column with ``rescue``.
+    """
+    found, chosen = by_header(text_schema(columns), csv_header(spark, landing), RESCUED if rescue else None)
+    reader = spark.readStream.schema(found)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(landing, header=True)
+    return reader.csv(landing, header=True, enforceSchema=False, **CSV_OPTIONS).select(*chosen)
 
 
 def drain(rows: DataFrame, target: str, checkpoint: str, partition_by: Sequence[str] = ()) -> int:
