@@ -38,7 +38,9 @@ def test_next_token_probabilities_sum_to_one():
     ids = np.array([*range(len(vocab.words)), len(vocab.words), vocab.end])  # words, any other word, the end
     logs, _ = lm.outputs(w, vocab, np.repeat(h, len(ids), axis=0), ids)
     assert np.exp(logs).sum() == pytest.approx(1.0)
-    spelling = lm.Spelling({b"ab": 3, b"ba": 1})
+    pairs = lm.Spelling.pairs([b"ab", b"ba"], [3, 1])
+    assert pairs.sum() == 12 and pairs[256, ord("a")] == 3 and pairs[ord("b"), ord("a")] == 1
+    spelling = lm.Spelling(pairs)
     assert (10 ** spelling.log10).sum(axis=1) == pytest.approx(np.ones(257))
     one = spelling.log10[256, ord("a")] + spelling.log10[ord("a"), ord("b")] + spelling.log10[ord("b"), 256]
     assert spelling.of([b"ab", b"x", b"ab"])[[0, 2]] == pytest.approx([one, one])

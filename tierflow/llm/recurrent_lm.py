@@ -32,7 +32,7 @@ STREAMS, WINDOW, RATE, CLIP = 32, 20, 0.01, 5.0
 #: Words whose counts every task gets; all others are joined.
 FREQUENT_WORDS = 200_000
 #: Words a worker remembers; tokens and window of one scoring block.
-CACHE_WORDS, BLOCK_TOKENS, SCORE_WINDOW = 500_000, 6_000_000, 128
+CACHE_WORDS, BLOCK_TOKENS, SCORE_WINDOW = 500_000, 2_500_000, 128
 _LN10 = float(np.log(10.0))
 
 
@@ -48,14 +48,21 @@ def word_hash(word: bytes) -> int:
 class Spelling:
     """Byte-pair model of words; index 256 stands for the start and the end."""
 
-    def __init__(self, words: dict[bytes, int]):
-        pairs = np.full((257, 257), 0.1)
-        for word, n in words.items():
-            codes = [256, *word, 256]
-            for a, b in zip(codes, codes[1:]):
-                pairs[a, b] += n
+    def __init__(self, pairs: np.ndarray):
+        pairs = pairs + 0.1
         self.log10 = np.log10(pairs / pairs.sum(axis=1, keepdims=True))
 
+    @staticmethod
+    def pairs(words: list[bytes], counts: list[int]) -> np.ndarray:
+        """How often one byte follows another in the words, each met so many times."""
+        out = np.zeros((257, 257))
+        if words:
+            codes = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
+            sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            codes[np.cumsum(sizes) - 1] = 256
+            np.add.at(out, (np.concatenate([[256], codes[:-1]]), codes), np.repeat(counts, sizes))
+        return out
+
     def of(self, words: list[bytes]) -> np.ndarray:
         """log10 probability of each (non-empty) word."""
         codes = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
@@ -234,11 +241,12 @@ def document_logs(w: dict, vocab: Vocabulary, tokens: np.ndarray, lengths: np.nd
     order = np.argsort(-lengths, kind="stable")
     rank = np.empty(len(lengths), np.int64)
     rank[order] = np.arange(len(lengths))
-    time = np.arange(len(tokens)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    time = np.arange(len(tokens), dtype=np.int32) - np.repeat((np.cumsum(lengths) - lengths).astype(np.int32), lengths)
     active = np.bincount(time)  # documents that have a token at each step
     base = np.cumsum(active) - active
-    lined = np.empty(len(tokens), np.int64)
-    lined[base[time] + np.repeat(rank, lengths)] = tokens
+    lined = np.empty(len(tokens), np.int32)
+    lined[base.astype(np.int32)[time] + np.repeat(rank.astype(np.int32), lengths)] = tokens
+    del time
     gates_of = w["embed"] @ w["input"] + w["bias"]
     h = np.zeros((len(lengths), w["state"].shape[0]), np.float32)
     out = np.zeros(len(lengths))
@@ -266,7 +274,7 @@ def learn(rows: DataFrame, total: int, network: list[tuple[int, int]], sample: i
     """Vocabulary, spelling model and weights from training rows (``doc_id``, ``text``), ``total`` of them.
 
     ``network`` holds hash and count of the words the network may know. The sample goes whole to the shard
-    tasks only; its word counts, which name the hashes, are reduced by Spark and bounded by it.
+    tasks only; the driver gets the network's words, pair counts and weights.
     """
     drawn = staged(_draws(rows, total, sample).withColumn(
         "shard", F.pmod(F.xxhash64(F.lit(3), "doc_id", "text"), F.lit(shards)).cast("int")), "lm-sample")
@@ -276,15 +284,25 @@ def learn(rows: DataFrame, total: int, network: list[tuple[int, int]], sample: i
             met = Counter()
             for text in bytes_of(batch.column(0)):
                 met.update(words_of(text))
-            yield pa.RecordBatch.from_arrays([pa.array(list(met), pa.binary()), pa.array(list(met.values()), pa.int64())],
-                                             names=["word", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(met), pa.binary()), pa.array(list(map(word_hash, met)), pa.int64()),
+                 pa.array(list(met.values()), pa.int64())], names=["word", "hash", "n"])
+
+    def pair(batches):
+        for batch in batches:
+            a, b = np.nonzero(found := Spelling.pairs(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(found[a, b])], names=["a", "b", "n"])
 
-    words = drawn.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    sampled = {bytes(r.word): r.n for r in words.collect()}  # words of the bounded sample
     wanted = dict(network)
-    known = sorted(((w, wanted[h]) for w in sampled if (h := word_hash(w)) in wanted), key=lambda x: (-x[1], x[0]))
-    vocab = Vocabulary(known)
-    spelling = Spelling({w: n for w, n in sampled.items() if w not in vocab.ids})
+    words = drawn.select("text").mapInArrow(count, "word binary, hash long, n long")
+    words = staged(words.groupBy("word", "hash").agg(F.sum("n").alias("n")), "lm-words")
+    known = words.where(F.col("hash").isin(list(wanted))).select("word", "hash").collect()  # at most the network's words
+    vocab = Vocabulary(sorted(((bytes(r.word), wanted[r.hash]) for r in known), key=lambda x: (-x[1], x[0])))
+    pairs = np.zeros((257, 257))
+    others = words.where(~F.col("hash").isin(list(wanted))).mapInArrow(pair, "a long, b long, n double")
+    for r in others.groupBy("a", "b").agg(F.sum("n").alias("n")).collect():  # at most 257 x 257 rows
+        pairs[r.a, r.b] = r.n
+    spelling = Spelling(pairs)
     weights = fresh_weights(vocab)
     context = rows.sparkSession.sparkContext
     for _ in range(rounds):
@@ -345,31 +363,39 @@ class Scorer:
         self.hash = np.concatenate([self.hash, hashes])
         self.count = np.concatenate([self.count, counts])
 
-    def block(self, texts: list[list[bytes]]):
-        """Per document: tokens, known words, sum of log10(count + 1), log10 probability; and the words to join."""
+    def places(self, texts: list[list[bytes]]) -> list[np.ndarray] | None:
+        """Where each text's words are remembered; None if they no longer fit beside what is."""
         new = [w for w in set().union(*texts) if w not in self.place]
-        if len(self.place) + len(new) > CACHE_WORDS:
-            self._forget()
-            new = list(set().union(*texts))
+        if self.place and len(self.place) + len(new) > CACHE_WORDS:
+            return None
         if new:
             self.learn_words(new)
-        sizes = np.array([len(t) for t in texts], np.int64)
-        place = np.fromiter((i for t in texts for i in map(self.place.__getitem__, t)), np.int64, int(sizes.sum()))
-        who = np.repeat(np.arange(len(texts)), sizes)
+        return [np.fromiter(map(self.place.__getitem__, t), np.int32, len(t)) for t in texts]
+
+    def block(self, places: list[np.ndarray]):
+        """Per document: tokens, known words, sum of log10(count + 1), log10 probability; and the words to join."""
+        n = len(places)
+        sizes = np.array([len(p) for p in places], np.int64)
+        place = np.concatenate(places) if n else np.empty(0, np.int32)
+        who = np.repeat(np.arange(n, dtype=np.int32), sizes)
         count = self.count[place]
         near = count >= 0
-        known = np.bincount(who[near], minlength=len(texts))
-        logs = np.bincount(who[near], np.log10(count[near] + 1.0), len(texts))
-        far, uses = np.unique(who[~near] * len(self.hash) + place[~near], return_counts=True)
-        rare_doc, rare_hash = far // max(len(self.hash), 1), self.hash[far % max(len(self.hash), 1)]
+        known = np.bincount(who[near], minlength=n)
+        logs = np.bincount(who[near], np.log10(count[near] + 1.0), n)
+        kinds = max(len(self.hash), 1)
+        far, uses = np.unique(who[~near].astype(np.int64) * kinds + place[~near], return_counts=True)
+        rare_doc, rare_hash = far // kinds, self.hash[far % kinds]
+        del count, near, far
+        score = np.bincount(who, self.spelled[place], n)
+        del who
         lengths = sizes + 1
         ends = np.cumsum(lengths) - 1
-        tokens = np.empty(int(lengths.sum()), np.int64)
+        tokens = np.empty(int(lengths.sum()), np.int32)
         mask = np.ones(len(tokens), bool)
         mask[ends] = False
         tokens[mask], tokens[ends] = self.ids[place], self.vocab.end
-        score = document_logs(self.weights, self.vocab, tokens, lengths) / _LN10
-        score += np.bincount(who, self.spelled[place], len(texts))
+        del place, mask
+        score = score + document_logs(self.weights, self.vocab, tokens, lengths) / _LN10
         return lengths, known, logs, score, rare_doc, rare_hash, uses
 
 
@@ -379,31 +405,37 @@ _SCORERS: dict[int, Scorer] = {}
 def _scored(sent, key: int):
     names = ["doc_id", "held_out", "n_tokens", "known", "logs", "score", "hashes", "uses"]
 
-    def blocks(batch) -> Iterator[tuple[int, list[list[bytes]]]]:
-        at, part, held = 0, [], 0
-        for first in range(0, batch.num_rows, 500):
-            for text in bytes_of(batch.column(2).slice(first, 500)):
-                part.append(words_of(text))
-                held += len(part[-1])
-                if held >= BLOCK_TOKENS:
-                    yield at, part
-                    at, part, held = at + len(part), [], 0
-        if part:
-            yield at, part
-
-    def run(batches):
+    def rows(scorer, batch, first, places):
+        lengths, known, logs, score, doc, hashes, uses = scorer.block(places)
+        n = len(places)
+        edges = pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32))
+        return pa.RecordBatch.from_arrays([
+            batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(lengths),
+            pa.array(known.astype(np.int64)), pa.array(logs.astype(float)), pa.array(score.astype(float)),
+            pa.ListArray.from_arrays(edges, pa.array(hashes)),
+            pa.ListArray.from_arrays(edges, pa.array(uses.astype(np.int32)))], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[key] = Scorer(*sent.value)
+        scorer = _SCORERS[key]
         for batch in batches:
-            for at, part in blocks(batch):
-                lengths, known, logs, score, doc, hashes, uses = _SCORERS[key].block(part)
-                edges = pa.array(np.searchsorted(doc, np.arange(len(part) + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, len(part)), batch.column(1).slice(at, len(part)), pa.array(lengths),
-                    pa.array(known.astype(np.int64)), pa.array(logs.astype(float)), pa.array(score.astype(float)),
-                    pa.ListArray.from_arrays(edges, pa.array(hashes)),
-                    pa.ListArray.from_arrays(edges, pa.array(uses.astype(np.int32)))], names=names)
+            first, held, tokens = 0, [], 0
+            for at in range(0, batch.num_rows, 200):
+                texts = [words_of(t) for t in bytes_of(batch.column(2).slice(at, 200))]
+                places = scorer.places(texts)
+                if places is None or tokens >= BLOCK_TOKENS:
+                    if held:
+                        yield rows(scorer, batch, first, held)
+                    first, held, tokens = at, [], 0
+                if places is None:
+                    scorer._forget()
+                    places = scorer.places(texts)
+                held += places
+                tokens += sum(map(len, places))
+            if held:
+                yield rows(scorer, batch, first, held)
 
     return run
 
@@ -436,10 +468,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     docs_n = training.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = (sums.n or 0) + docs_n, sums.v + (docs_n > 0)
-    top = [(r["hash"], r["n"]) for r in counts.orderBy(F.desc("n"), "hash").limit(frequent).collect()]
-    vocab, spelling, weights = learn(training.select("doc_id", "text"), docs_n, top[:network], sample)
-    by_hash = sorted(top)
-    hashes, values = np.array([h for h, _ in by_hash], np.int64), np.array([n for _, n in by_hash], np.int64)
+    top = counts.orderBy(F.desc("n"), "hash").limit(frequent).toArrow()  # at most ``frequent`` pairs of numbers
+    hashes, values = top.column("hash").to_numpy(), top.column("n").to_numpy()
+    best = list(zip(hashes[:network].tolist(), values[:network].tolist()))
+    vocab, spelling, weights = learn(training.select("doc_id", "text"), docs_n, best, sample)
+    order = np.argsort(hashes)
+    hashes, values = hashes[order], values[order]
     sent = docs.sparkSession.sparkContext.broadcast((vocab, spelling, weights, hashes, values))
     scored = staged(rows.mapInArrow(
         _scored(sent, id(sent)),
