@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from tierflow.catalog.registry import Tables, query
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tierflow.catalog.registry import ORACLES, Tables, query
 from tierflow.catalog.star import dimension
 from tierflow.catalog.hospital import RAW as HOSPITAL_RAW
 from tierflow.control import loads, registry
@@ -12,6 +15,7 @@ from tierflow.control.audit import run_status
 from tierflow.operators.cleanse import Rule
 from tierflow.plans import hospital, star
 from tierflow.plans.banking_run import BankingRun
+from tierflow.plans.hospital_run import CONTROL, HospitalRun
 from tierflow.sinks.files import write_csv
 from tierflow.sinks.snapshot import Snapshot
 from tierflow.sources.files import landing_path, read_csv, text_schema
@@ -108,6 +112,81 @@ def run_hospital_longest_stay(t: Tables):
     return hospital.longest_stay(hospital.encounters_summary(encounters), patients)
 
 
+# Two runs over a growing source: what lies after the cut arrives for the second one.
+_CUTS = {"Hospitals": "`Hospital ID` <= {half}", "Physicians": "`Provider ID` <= {half}", "Patients": "`Master Patient ID` < '5'",
+         "Departments": "`Department ID` <= {half}", "Encounters": "`Patient Admission Datetime` < '1996-01-02'"}
+_CONTROL = [("dbo", "Hospitals", "Hospital ID", "-1"), ("dbo", "Physicians", "Provider ID", "-1"), ("dbo", "Patients", "Master Patient ID", ""),
+            ("dbo", "Departments", "Department ID", "-1"), ("dbo", "Encounters", "Patient Admission Datetime", "1900-01-01")]
+
+
+def hospital_run(t: Tables) -> tuple[HospitalRun, DataFrame]:
+    half = t.supplier.agg(F.floor(F.max("s_suppkey") / 2)).first()[0]
+    sources = {name: t.sql(HOSPITAL_RAW[name.lower()]) for name in _CUTS}
+    control = t.spark.createDataFrame([(s, name, name, column, last) for s, name, column, last in _CONTROL], CONTROL)
+    for now, grown in ((datetime(2026, 6, 19, 18, 50), False), (datetime(2026, 6, 20, 18, 50), True)):
+        seen = sources if grown else {n: df.filter(_CUTS[n].format(half=half)) for n, df in sources.items()}
+        run = HospitalRun(t.spark, t.scratch, now, buckets=4)
+        control = run.run(seen, control)
+    return run, control
+
+
+def _published(t: Tables, name: str, *columns: str) -> DataFrame:
+    run, _ = hospital_run(t)
+    return run.gold(name).read().select(*columns, F.to_date("gold_processed_at").alias("published"))
+
+
+_HALF = "(select floor(max(s_suppkey) / 2) from supplier)"
+_DAY = "case when {0} then '2026-06-19' else '2026-06-20' end"
+
+
+@query("run_hospital_watermarks", """
+    select 'Hospitals' source_table, cast(max(s_suppkey) as varchar) last_load_value from supplier
+    union all select 'Physicians', cast(max(s_suppkey) as varchar) from supplier
+    union all select 'Patients', max(case when c_mktsegment = 'MACHINERY' then 'X' || c_custkey else cast(c_custkey as varchar) end) from customer
+    union all select 'Departments', cast(max(p_partkey) as varchar) from part
+    union all select 'Encounters', max(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')) || '.1234567' from lineitem join orders on l_orderkey = o_orderkey""")
+def run_hospital_watermarks(t: Tables):
+    return hospital_run(t)[1].select("source_table", "last_load_value")
+
+
+@query("run_hospital_gold_hospitals", f"""
+    select s_suppkey hospital_id, count(*) over (partition by s_nationkey, s_suppkey <= {_HALF}) zipcode_hospitals_total,
+           {_DAY.format("s_suppkey <= " + _HALF)} published from supplier""")
+def run_hospital_gold_hospitals(t: Tables):
+    return _published(t, "hospitals_directory", "hospital_id", "zipcode_hospitals_total")
+
+
+@query("run_hospital_gold_departments", f"""
+    select p_partkey department_id, cast(p_size as bigint) hospital_id, true is_active_clinical_unit,
+           {_DAY.format("p_partkey <= " + _HALF)} published from part""")
+def run_hospital_gold_departments(t: Tables):
+    return _published(t, "departments_directory", "department_id", "hospital_id", "is_active_clinical_unit")
+
+
+@query("run_hospital_gold_patients", f"""
+    select patient_id, case when date_of_birth <> '1900-01-01' then 2026 - cast(date_of_birth[1:4] as int) end current_age,
+           {_DAY.format("cast(patient_id as varchar) < '5'")} published
+    from ({ORACLES["silver_patients"]}) p""")
+def run_hospital_gold_patients(t: Tables):
+    return _published(t, "patients_demographics", "patient_id", "current_age")
+
+
+@query("run_hospital_gold_physicians", f"""
+    select s_suppkey provider_id, count(encounter_id) provider_encounters_total, {_DAY.format("s_suppkey <= " + _HALF)} published
+    from supplier left join ({ORACLES["silver_encounters"]}) e
+      on provider_id = s_suppkey and (admission_datetime < '1996-01-02') = (s_suppkey <= {_HALF})
+    group by s_suppkey""")
+def run_hospital_gold_physicians(t: Tables):
+    return _published(t, "physicians_directory", "provider_id", "provider_encounters_total")
+
+
+@query("run_hospital_gold_encounters", f"""
+    select encounter_id, patient_id, provider_id, '2026-06-20' published
+    from ({ORACLES["silver_encounters"]}) e where admission_datetime >= '1996-01-02'""")
+def run_hospital_gold_encounters(t: Tables):
+    return _published(t, "encounters_summary", "encounter_id", "patient_id", "provider_id")
+
+
 # --- star: dimensions and fact from CSV to the published fact -------------------------------
 
 @query("run_star_fact", """
