@@ -32,7 +32,7 @@ STREAMS, WINDOW, RATE, CLIP = 32, 20, 0.01, 5.0
 #: Words whose counts every task gets; all others are joined.
 FREQUENT_WORDS = 200_000
 #: Words a worker remembers; tokens and window of one scoring block.
-CACHE_WORDS, BLOCK_TOKENS, SCORE_WINDOW = 500_000, 2_500_000, 128
+CACHE_WORDS, BLOCK_TOKENS, SCORE_WINDOW = 300_000, 1_500_000, 128
 _LN10 = float(np.log(10.0))
 
 
@@ -440,6 +440,27 @@ def _scored(sent, key: int):
     return run
 
 
+def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and counts of the words above a count that at most ``most`` words reach, by falling count.
+
+    The count comes from a histogram in steps of a sixteenth of a doubling, so no task sorts all words.
+    """
+    step = F.floor(F.log2("n") * 16).cast("int").alias("step")
+    found = sorted(((r["step"], r["count"]) for r in counts.groupBy(step).count().collect()), reverse=True)
+    least, total = None, 0
+    for at, n in found:
+        total += n
+        if total > most:
+            break
+        least = at
+    if least is None:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    top = counts.where(F.floor(F.log2("n") * 16).cast("int") >= least).toArrow()
+    hashes, values = top.column("hash").to_numpy(), top.column("n").to_numpy()
+    order = np.lexsort((hashes, -values))
+    return hashes[order], values[order]
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2,
           sample: int = SAMPLE_DOCS, frequent: int = FREQUENT_WORDS, network: int = NETWORK_WORDS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
@@ -468,8 +489,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     docs_n = training.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = (sums.n or 0) + docs_n, sums.v + (docs_n > 0)
-    top = counts.orderBy(F.desc("n"), "hash").limit(frequent).toArrow()  # at most ``frequent`` pairs of numbers
-    hashes, values = top.column("hash").to_numpy(), top.column("n").to_numpy()
+    hashes, values = _most_frequent(counts, frequent)
     best = list(zip(hashes[:network].tolist(), values[:network].tolist()))
     vocab, spelling, weights = learn(training.select("doc_id", "text"), docs_n, best, sample)
     order = np.argsort(hashes)
