@@ -318,13 +318,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     long_texts = source.where(F.col("size") >= length).select("tk", "size", "text")
     parsed = staged(long_texts.mapInArrow(
         parse, "tk long, size int, lo int, n int, before int, key long, klass long"), "parse")
-    keys = parsed.groupBy("key").agg(
+    # Written first: a join of two scans has an exchange on both sides, so adaptive execution can split a
+    # passage that a third of all texts hold.
+    keys = staged(parsed.groupBy("key").agg(
         F.count("*").alias("met"), F.min("klass").alias("low"), F.max("klass").alias("high"),
-    ).where("met >= 2").select("key", (F.col("low") != F.col("high")).alias("border"))
+    ).where("met >= 2").select("key", (F.col("low") != F.col("high")).alias("border")), "shared-keys")
     shared = staged(parsed.join(keys, "key"), "shared")
     border = shared.where("border")
-    twice = border.groupBy("key", "klass").agg(F.count("*").alias("met")).where("met >= 2").select(
-        "key", "klass", F.lit(True).alias("whole"))
+    twice = staged(border.groupBy("key", "klass").agg(F.count("*").alias("met")).where("met >= 2").select(
+        "key", "klass", F.lit(True).alias("whole")), "repeated-classes")
     inner = shared.where("not border").select(
         "tk", "size", F.struct("lo", "n", "before", F.lit(True).alias("whole"), F.lit(None).cast("long").alias("key"),
                                F.lit(None).cast("long").alias("klass")).alias("run"))
