@@ -86,7 +86,7 @@ def test_dual_descent_reaches_the_optimum():
     scale[:12] = rng.standard_normal(12)
     data = [np.sort(rng.choice(12, rng.integers(2, 8), replace=False)) for _ in range(60)]
     labels = np.array([int(scale[d].sum() + rng.normal(0, 0.5) > 0) for d in data])
-    w = qn.descend(data, scale, labels, cost=0.5, passes=2000)
+    w = qn.descend(data, scale, labels, cost=0.5, passes=5000, enough=1e-6)
     x = np.zeros((60, 13))
     for i, d in enumerate(data):
         x[i, d] = scale[d] / np.linalg.norm(scale[d])
