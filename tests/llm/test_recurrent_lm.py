@@ -93,6 +93,22 @@ def test_training_beats_the_baseline_on_ordered_text(docs):
     assert sum(r.score for r in got) > 0.7 * sum(r.base_score for r in got)
 
 
+def test_every_training_document_is_learned_from(docs, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"{rng.choice('xy')}{j % 5}" for j in range(200)) + f" rare{i}" for i in range(900)]
+    data = list(enumerate(texts))
+    learn, seen = lm.learn, []
+    monkeypatch.setattr(lm, "learn", lambda *a: seen.append(learn(*a)) or seen[0])
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 10_000)  # more shards than the least number
+    got = lm.score(docs(data, 3), sample=1, network=10).where("held_out").collect()
+    assert sum(r.score for r in got) > 0.7 * sum(r.base_score for r in got)
+    train = Counter(w for i, t in data if zlib.crc32(str(i).encode()) % 7 != 2 for w in lm.words_of(t.encode()))
+    assert sorted(seen[0][0].words) == sorted(w for w, _ in train.most_common(10))
+    others = [(w, n) for w, n in train.items() if w not in seen[0][0].ids]
+    want = lm.Spelling(lm.Spelling.pairs([w for w, _ in others], [n for _, n in others]))
+    assert np.allclose(seen[0][1].log10, want.log10)
+
+
 def test_no_rows_and_nothing_to_learn(docs):
     assert lm.score(docs([(1, "x")]).limit(0)).count() == 0
     held = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2)

@@ -3,17 +3,19 @@
 Tokens are lower-cased words and an end mark. The network predicts a word's class, and the word within
 its class, from the state that the words before it left; the state runs through a whole document, window
 by window. Words outside the network's vocabulary form one class, in which a word's probability is that
-of its spelling (byte pairs). The network is trained by truncated backpropagation, written in numpy, on a
-bounded sample: each round trains a copy on each shard from the same weights and averages the copies.
+of its spelling (byte pairs). The network is trained by truncated backpropagation, written in numpy, on all
+training documents: each round trains a copy on each shard from the same weights and averages the copies.
+The number of shards grows with the tokens.
 
-The baseline's counts cover all training documents. The most frequent words' counts are sent to every
-task, in a table of fixed size; the rest are joined by the hash of the word.
+The counts of words and byte pairs cover all training documents, too. The most frequent words' counts are
+sent to every task, in a table of fixed size; the rest are joined by the hash of the word.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +28,11 @@ from tierflow.llm.common import bytes_of, hash_share, remainder, staged
 #: Words the network knows, classes they are dealt into, input rows shared by the other words by ending.
 NETWORK_WORDS, CLASSES, ENDINGS = 1024, 32, 64
 EMBED, HIDDEN = 16, 16
-#: Documents learned from, on average over hash draws; shards and rounds of training.
+#: Documents a round learns from at least, if there are so many; least number of shards; rounds of training.
 SAMPLE_DOCS, SHARDS, ROUNDS = 2400, 6, 2
 STREAMS, WINDOW, RATE, CLIP = 32, 20, 0.01, 5.0
+#: Tokens of a shard, on average, where there are more shards than the least; tokens of a stream before there are more streams.
+SHARD_TOKENS, STREAM_TOKENS = 3_200_000, 6_400
 #: Words whose counts every task gets; all others are joined.
 FREQUENT_WORDS = 200_000
 #: Words a worker remembers; tokens and window of one scoring block.
@@ -269,64 +273,123 @@ def _draws(rows: DataFrame, total: int, sample: int) -> DataFrame:
     return rows.where(hash_share(key, min(1.0, sample / max(total, 1)), 8))
 
 
-def learn(rows: DataFrame, total: int, network: list[tuple[int, int]], sample: int = SAMPLE_DOCS, shards: int = SHARDS,
-          rounds: int = ROUNDS) -> tuple[Vocabulary, Spelling, dict]:
-    """Vocabulary, spelling model and weights from training rows (``doc_id``, ``text``), ``total`` of them.
+def _named(rows: DataFrame, wanted: set[int]) -> dict[int, bytes]:
+    """The words of ``rows`` that have one of the ``wanted`` hashes."""
+    if not wanted:
+        return {}
 
-    ``network`` holds hash and count of the words the network may know. The sample goes whole to the shard
-    tasks only; the driver gets the network's words, pair counts and weights.
-    """
-    drawn = staged(_draws(rows, total, sample).withColumn(
-        "shard", F.pmod(F.xxhash64(F.lit(3), "doc_id", "text"), F.lit(shards)).cast("int")), "lm-sample")
+    def run(batches):
+        seen, found = set(), {}
+        for batch in batches:
+            for first in range(0, batch.num_rows, 500):
+                new = set().union(*map(words_of, bytes_of(batch.column(0).slice(first, 500)))) - seen
+                if len(seen) + len(new) > CACHE_WORDS:
+                    seen.clear()
+                seen |= new
+                found.update((h, w) for w in new if (h := word_hash(w)) in wanted)
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.binary())], names=["hash", "word"])
 
-    def count(batches):
+    got = rows.select("text").mapInArrow(run, "hash long, word binary").distinct()
+    return {r["hash"]: bytes(r["word"]) for r in got.collect()}  # at most one row for each wanted hash
+
+
+def _sequences(rows: DataFrame, vocab: Vocabulary, parts: int, shards: int) -> DataFrame:
+    """``part``, ``shard``, ``doc_id`` and token ids of all rows."""
+    kind = np.min_scalar_type(vocab.size)
+
+    def run(batches):
+        ids: dict[bytes, int] = {}
         for batch in batches:
-            met = Counter()
-            for text in bytes_of(batch.column(0)):
-                met.update(words_of(text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(met), pa.binary()), pa.array(list(map(word_hash, met)), pa.int64()),
-                 pa.array(list(met.values()), pa.int64())], names=["word", "hash", "n"])
+            for first in range(0, batch.num_rows, 500):
+                texts = [words_of(t) for t in bytes_of(batch.column(3).slice(first, 500))]
+                new = set().union(*texts) - ids.keys()
+                if len(ids) + len(new) > CACHE_WORDS:
+                    ids.clear()
+                    new = set().union(*texts)
+                ids.update((w, vocab.id_of(w)) for w in new)
+                coded = [np.array([*map(ids.__getitem__, t), vocab.end], kind).tobytes() for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(i).slice(first, 500) for i in range(3)), pa.array(coded, pa.binary())],
+                    names=["part", "shard", "doc_id", "ids"])
+
+    def dealt(seed: int, n: int):
+        return F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(n)).cast("int")
+
+    return rows.select(dealt(9, parts).alias("part"), dealt(3, shards).alias("shard"), "doc_id", "text").mapInArrow(
+        run, "part int, shard int, doc_id long, ids binary")
 
-    def pair(batches):
+
+def _averaged(copies: DataFrame, shards: int) -> dict[str, np.ndarray]:
+    """Mean of the shards' weights; summed in tasks first, so that the driver gets about the root of their number."""
+    def add(batches):
+        sums: dict[str, list] = {}
         for batch in batches:
-            a, b = np.nonzero(found := Spelling.pairs(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(found[a, b])], names=["a", "b", "n"])
-
-    wanted = dict(network)
-    words = drawn.select("text").mapInArrow(count, "word binary, hash long, n long")
-    words = staged(words.groupBy("word", "hash").agg(F.sum("n").alias("n")), "lm-words")
-    known = words.where(F.col("hash").isin(list(wanted))).select("word", "hash").collect()  # at most the network's words
-    vocab = Vocabulary(sorted(((bytes(r.word), wanted[r.hash]) for r in known), key=lambda x: (-x[1], x[0])))
-    pairs = np.zeros((257, 257))
-    others = words.where(~F.col("hash").isin(list(wanted))).mapInArrow(pair, "a long, b long, n double")
-    for r in others.groupBy("a", "b").agg(F.sum("n").alias("n")).collect():  # at most 257 x 257 rows
-        pairs[r.a, r.b] = r.n
-    spelling = Spelling(pairs)
+            for name, data, n in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                held = sums.setdefault(name, [0.0, 0.0])
+                held[0] += n
+                held[1] = held[1] + n * np.frombuffer(data, np.float32).astype(float)
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.string()), pa.array([v.tobytes() for _, v in sums.values()], pa.binary()),
+                 pa.array([n for n, _ in sums.values()], pa.float64())], names=["name", "data", "weight"])
+
+    pools = max(1, isqrt(shards))
+    pooled = copies.repartition(pools, F.pmod("shard", F.lit(pools))).sortWithinPartitions("shard", "name")
+    got: dict[str, list] = {}
+    for r in pooled.mapInArrow(add, "name string, data binary, weight double").collect():
+        got.setdefault(r["name"], []).append((r["weight"], np.frombuffer(r["data"])))
+    for pairs in got.values():
+        pairs.sort(key=lambda c: (c[0], c[1].tobytes()))  # the same sum whatever came first
+    return {k: sum(v for _, v in pairs) / sum(n for n, _ in pairs) for k, pairs in got.items()}
+
+
+def learn(rows: DataFrame, total: int, tokens: int, network: list[tuple[int, int]], pairs: np.ndarray, sample: int = SAMPLE_DOCS,
+          shards: int = SHARDS, rounds: int = ROUNDS) -> tuple[Vocabulary, Spelling, dict]:
+    """Vocabulary, spelling model and weights from training rows (``doc_id``, ``text``), ``total`` of them.
+
+    ``network`` holds hash and count of the words the network knows, ``pairs`` how often one byte follows another
+    in all words. Every row is learned from: in one of the rounds, or in each if a round's part would hold fewer than
+    ``sample`` rows. Texts stay in the tasks; the driver gets the network's words and sums of weights.
+    """
+    words = _named(_draws(rows, total, sample), {h for h, _ in network})
+    words |= _named(rows, {h for h, _ in network} - words.keys())
+    vocab = Vocabulary(sorted(((words[h], n) for h, n in network), key=lambda x: (-x[1], x[0])))
+    counts = {words[h]: n for h, n in network}
+    spelling = Spelling(pairs - Spelling.pairs(vocab.words, [counts[w] for w in vocab.words]))
     weights = fresh_weights(vocab)
+    parts = rounds if total >= rounds * sample else 1
+    shards = max(shards, -(-tokens // (parts * SHARD_TOKENS)))
+    coded = staged(_sequences(rows, vocab, parts, shards), "lm-sequences")
     context = rows.sparkSession.sparkContext
-    for _ in range(rounds):
+    for number in range(rounds):
         sent = context.broadcast((vocab, weights))
 
         def fit(batches):
             vocab, weights = sent.value
-            docs = []
+            kind = np.min_scalar_type(vocab.size)
+
+            def fitted(shard, docs):
+                size = sum(map(len, docs))
+                trained = train(weights, vocab, docs, max(STREAMS, size // STREAM_TOKENS))
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([shard] * len(trained), pa.int32()), pa.array(list(trained), pa.string()),
+                     pa.array([v.tobytes() for v in trained.values()], pa.binary()),
+                     pa.array([float(size)] * len(trained))], names=["shard", "name", "data", "weight"])
+
+            docs, last = [], None
             for batch in batches:
-                for text in bytes_of(batch.column(0)):
-                    docs.append(np.array([*map(vocab.id_of, words_of(text)), vocab.end], np.int64))
+                for shard, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    if docs and shard != last:
+                        yield fitted(last, docs)
+                        docs = []
+                    last = shard
+                    docs.append(np.frombuffer(ids, kind).astype(np.int32))
             if docs:
-                trained = train(weights, vocab, docs)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(trained), pa.string()), pa.array([v.tobytes() for v in trained.values()], pa.binary()),
-                     pa.array([float(sum(map(len, docs)))] * len(trained))], names=["name", "data", "weight"])
-
-        dealt = drawn.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "text").select("text")
-        got: dict[str, list] = {}
-        for r in dealt.mapInArrow(fit, "name string, data binary, weight double").collect():
-            got.setdefault(r["name"], []).append((r["weight"], np.frombuffer(r["data"], np.float32)))
-        for k, copies in got.items():
-            copies.sort(key=lambda c: (c[0], c[1].tobytes()))  # the same sum whatever came first
-            mean = sum(n * v.astype(float) for n, v in copies) / sum(n for n, _ in copies)
+                yield fitted(last, docs)
+
+        dealt = coded.where(F.col("part") == number % parts).repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "ids")
+        copies = dealt.select("shard", "ids").mapInArrow(fit, "shard int, name string, data binary, weight double")
+        for k, mean in _averaged(copies, shards).items():
             weights[k] = mean.reshape(weights[k].shape).astype(np.float32)
         sent.unpersist()
     return vocab, spelling, weights
@@ -482,16 +545,24 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
                 for text in bytes_of(batch.column(0).slice(first, 500)):
                     met.update(words_of(text))
             hashes = np.fromiter(map(word_hash, met), np.int64, len(met))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(met.values()), pa.int64())], names=["hash", "n"])
-
-    counts = staged(training.select("text").mapInArrow(count, "hash long, n long")
-                    .groupBy("hash").agg(F.sum("n").alias("n")), "word-counts")
+            words, uses = list(met), list(met.values())
+            a, b = np.nonzero(found := Spelling.pairs(words, uses))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([False] * len(met) + [True] * len(a), pa.bool_()), pa.array(np.concatenate([hashes, a * 257 + b])),
+                pa.array(np.concatenate([np.array(uses, np.int64), found[a, b].astype(np.int64)]))], names=["pair", "hash", "n"])
+
+    counted = staged(training.select("text").mapInArrow(count, "pair boolean, hash long, n long")
+                     .groupBy("pair", "hash").agg(F.sum("n").alias("n")), "word-counts")
+    counts = counted.where("not pair").select("hash", "n")
+    pairs = np.zeros(257 * 257)
+    for r in counted.where("pair").collect():  # at most 257 x 257 rows
+        pairs[r["hash"]] = r["n"]
     docs_n = training.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = (sums.n or 0) + docs_n, sums.v + (docs_n > 0)
     hashes, values = _most_frequent(counts, frequent)
     best = list(zip(hashes[:network].tolist(), values[:network].tolist()))
-    vocab, spelling, weights = learn(training.select("doc_id", "text"), docs_n, best, sample)
+    vocab, spelling, weights = learn(training.select("doc_id", "text"), docs_n, tokens, best, pairs.reshape(257, 257), sample)
     order = np.argsort(hashes)
     hashes, values = hashes[order], values[order]
     sent = docs.sparkSession.sparkContext.broadcast((vocab, spelling, weights, hashes, values))
