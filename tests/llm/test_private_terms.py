@@ -105,3 +105,42 @@ def test_sanitise(docs):
 def test_share_decides_between_generalising_and_removing(docs):
     text = {r.doc_id: r.text for r in pt.sanitise(docs(corpus(), 3), remove=1.1).collect()}[6]
     assert "Zorblax" not in text and "[NAME]" in text
+
+
+def document_wide(rows, support=3, low=0.6):
+    """Places of disclosing terms, by counting whole documents."""
+    texts = [t or "" for _, t in rows]
+    spans = [plain_spans(t) for t in texts]
+    held = [{(k, t[s:e].lower()) for s, k, e in found} for t, found in zip(texts, spans)]
+    places = [[(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W\d_]+", t) if not any(m.start() < e and s < m.end() for s, _, e in found)]
+              for t, found in zip(texts, spans)]
+    de = Counter(e for es in held for e in es)
+    df = Counter(w for t in texts for w in set(re.findall(r"[^\W\d_]+", t.lower())))
+    pairs = [{(e, w) for e in es for w, _, _ in ws} for es, ws in zip(held, places)]
+    both = Counter(p for ps in pairs for p in ps)
+    shown = Counter(p for p, _ in {(p, t) for ps, t in zip(pairs, texts) for p in ps})
+    n = len(rows)
+    hit = {(e, w) for (e, w), k in both.items() if shown[e, w] >= support and de[e] < n
+           and math.log2(k * n / (de[e] * df[w])) / math.log2(n / de[e]) >= low}
+    return [sorted((a, b) for w, a, b in ws if any((e, w) in hit for e in es)) for es, ws in zip(held, places)]
+
+
+def test_terms_are_found_over_whole_documents(docs):
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        words = ["".join(rng.choice("abcdefgh") for _ in range(2)) for _ in range(90)]
+        if i % 6 == 0:  # far from the entity, before and after it
+            words[0:0] = ["Zorblax"]
+            words[45:45] = ["kim@corp.example.com"]
+            words += ["zorblax", "end"]
+        elif i % 6 == 1:
+            words[3:3] = ["sam@corp.example.com"]
+            words += ["Quux"] * (i % 4)
+        rows.append((i, " ".join(words)))
+    rows += [(60, "sam@corp.example.com"), (61, "Zorblax alone"), (62, None)]
+    want = document_wide(rows)
+    got = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("term")] for r in pt.find(docs(rows, 4)).collect()}
+    assert got == {i: p for (i, _), p in zip(rows, want)} and len(want[0]) >= 2
+    texts = {r.doc_id: r.text for r in pt.sanitise(docs(rows, 4)).collect()}
+    assert all("zorblax" not in texts[i].lower() for i in range(0, 60, 6)) and texts[61] == "Zorblax alone"

@@ -1,14 +1,16 @@
 """Personal data, and the terms that disclose it.
 
 Emails, addresses, card and phone numbers are found by their form. Each value is a protected entity. How much a
-term near it reveals of it is estimated from the corpus: with the information content IC(e) = -log2 p(e) of an
+term in its documents reveals of it is estimated from the corpus: with the information content IC(e) = -log2 p(e) of an
 entity and the pointwise mutual information PMI(t; e) = log2 p(t, e) / (p(t) p(e)) over documents, a term that
 occurs with the entity alone has PMI = IC and gives it away. A term whose share PMI / IC reaches the upper
-threshold is removed from the entity's surroundings, one that reaches the lower is generalised to its kind.
-Evidence must come from several different texts, so copies of one text disclose nothing.
+threshold is removed wherever it stands in a document that holds the entity, one that reaches the lower is
+generalised to its kind. Evidence must come from several different texts, so copies of one text disclose nothing.
 
-The corpus is read twice: for entities with the words around them, and for the document frequency of those
-words. The words looked for are told to tasks by a filter of fixed size, and joined exactly afterwards.
+The corpus is read twice: for entities, and for the document frequency of the words in documents with an entity that
+several texts show. The words looked for are told to tasks by a filter of fixed size, and joined exactly afterwards.
+A pair occurs at most as often as its entity, so a term above a document frequency that follows from the entity's
+cannot reach the lower threshold; such terms are left out before pairs are formed.
 """
 
 from __future__ import annotations
@@ -35,8 +37,6 @@ _IP = re.compile(r"([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Words on each side of an entity, and the characters they lie in.
-NEAR_WORDS, NEAR_CHARS = 8, 200
 #: Different texts that must show a term with an entity.
 SUPPORT = 3
 #: Shares of an entity's information from which a term is generalised, and removed.
@@ -89,22 +89,35 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in sorted(spans))
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, str, int, int]]:
-    """``(entity, term, start, end)``: the words around each span, in lower case, outside all spans."""
-    out = []
+def entities_of(text: str, spans: list[tuple[int, int, int]]) -> list[int]:
+    """The different entities among the spans, by hash."""
+    out = {}
     for start, kind, end in spans:
         value = text[start:end].lower() if kind == 0 else "".join(c for c in text[start:end] if c in "0123456789.")
-        entity = (xxhash.xxh3_64_intdigest(f"{KINDS[kind]}:{value}") ^ (1 << 63)) - (1 << 63)
-        low, high = max(0, start - NEAR_CHARS), min(len(text), end + NEAR_CHARS)
-        before = [m.span() for m in _WORD.finditer(text, low, start)]
-        after = [m.span() for m in _WORD.finditer(text, end, high)]
-        for a, b in before[-NEAR_WORDS:] + after[:NEAR_WORDS]:
-            cut = (a == low and low > 0 and text[a - 1].isalpha()) or (b == high < len(text) and text[b].isalpha())
-            if not cut and not any(a < e and s < b for s, _, e in spans):
-                out.append((entity, text[a:b].lower(), a, b))
+        out[(xxhash.xxh3_64_intdigest(f"{KINDS[kind]}:{value}") ^ (1 << 63)) - (1 << 63)] = None
+    return list(out)
+
+
+def words_outside(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
+    """``(term, start, end)``: all words that touch no span, in lower case."""
+    edges = sorted((s, e) for s, _, e in spans)
+    out, at, reach = [], 0, 0
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        while at < len(edges) and edges[at][0] < b:
+            reach = max(reach, edges[at][1])
+            at += 1
+        if reach <= a:
+            out.append((m.group().lower(), a, b))
     return out
 
 
+def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, str, int, int]]:
+    """``(entity, term, start, end)``: each entity of the text with each word outside all spans."""
+    words = words_outside(text, spans) if spans else []
+    return [(entity, *word) for entity in entities_of(text, spans) for word in words]
+
+
 def sanitised(text: str, spans: list[tuple[int, int, int, str]]) -> str:
     """``text`` with each ``(start, kind, end, replacement)`` applied; overlapping spans become the first's."""
     out, at = [], 0
@@ -121,32 +134,28 @@ def generalised(term: str) -> str:
 
 
 _SPANS = T.ArrayType(T.StructType([T.StructField(n, T.IntegerType()) for n in ("start", "kind", "end")]))
-_NEAR = T.ArrayType(T.StructType([
-    T.StructField("entity", T.LongType()), T.StructField("term", T.StringType()),
-    T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-
 
 def _found(docs: DataFrame, text_col: str) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with base spans, the words near them, the text's hash and a row number, and these columns' names."""
-    names = {k: free_name(docs, f"pii_{k}") for k in ("spans", "near", "tk", "row")}
+    """``docs`` with base spans, their entities, the text's hash and a row number, and these columns' names."""
+    names = {k: free_name(docs, f"pii_{k}") for k in ("spans", "entities", "tk", "row")}
 
     def columns(texts):
-        spans, near, keys = [], [], []
+        spans, entities, keys = [], [], []
         for first in range(0, len(texts), 500):
             for text in texts.slice(first, 500).to_pylist():
                 text = text or ""
                 base = base_spans(text)
                 spans.append([{"start": s, "kind": k, "end": e} for s, k, e in base])
-                near.append([{"entity": e, "term": t, "start": a, "end": b} for e, t, a, b in contexts(text, base)])
+                entities.append(entities_of(text, base))
                 keys.append((xxhash.xxh3_64_intdigest(text) ^ (1 << 63)) - (1 << 63) if base else 0)
         i32 = pa.int32()
         return [
             pa.array(spans, pa.list_(pa.struct([("start", i32), ("kind", i32), ("end", i32)]))),
-            pa.array(near, pa.list_(pa.struct([("entity", pa.int64()), ("term", pa.string()), ("start", i32), ("end", i32)]))),
+            pa.array(entities, pa.list_(pa.int64())),
             pa.array(keys, pa.int64()),
         ]
 
-    fields = [T.StructField(names["spans"], _SPANS), T.StructField(names["near"], _NEAR), T.StructField(names["tk"], T.LongType())]
+    fields = [T.StructField(names["spans"], _SPANS), T.StructField(names["entities"], T.ArrayType(T.LongType())), T.StructField(names["tk"], T.LongType())]
     return appended(docs, fields, columns, [text_col]).withColumn(names["row"], F.monotonically_increasing_id()), names
 
 
@@ -187,29 +196,58 @@ def _frequencies(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     return rows.groupBy("term").agg(F.sum("df").alias("df"))
 
 
-def _disclosed(docs: DataFrame, text_col: str, found: DataFrame, names: dict[str, str], support: int, low: float, high: float) -> DataFrame:
-    """``row``, ``start``, ``end``, ``removed`` of the terms near entities that disclose them."""
-    row, tk = names["row"], names["tk"]
-    near = found.where(F.size(names["near"]) > 0).select(
-        F.col(row).alias("row"), F.col(tk).alias("tk"), F.explode(names["near"]).alias("n")).select("row", "tk", "n.*")
-    shown = near.groupBy("entity", "term", "tk").agg(F.countDistinct("row").alias("rows"))
-    pairs = staged(shown.groupBy("entity", "term").agg(F.count("*").alias("texts"), F.sum("rows").alias("both"))
-                   .where(F.col("texts") >= support), "entity-terms")
-    if pairs.isEmpty():
-        return near.where("false").select("row", "start", "end", F.lit(False).alias("removed"))
-    total = found.count()
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("de"))
-    frequencies = _frequencies(docs, text_col, pairs.select("term").distinct())
-    pmi = F.log2(F.col("both") * total / (F.col("de") * F.col("df")))
-    content = F.log2(total / F.col("de"))
-    rated = pairs.join(entities, "entity").join(frequencies, "term").withColumn(
-        "share", F.when(content > 0, pmi / content).otherwise(F.lit(0.0))).where(F.col("share") >= low)
-    rated = staged(rated.select("entity", "term", (F.col("share") >= high).alias("removed")), "disclosing-terms")
-    return near.join(rated, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("removed").alias("removed"))
+def _words(rows: DataFrame) -> DataFrame:
+    """``row``, ``tk``, ``most``, ``term``: the different words of each text outside its spans."""
+    def run(batches):
+        for batch in batches:
+            for first in range(0, batch.num_rows, 500):
+                part = batch.slice(first, 500)
+                words = [sorted({t for t, _, _ in words_outside(text, [(x["start"], x["kind"], x["end"]) for x in spans])})
+                         for text, spans in zip(part.column(3).to_pylist(), part.column(4).to_pylist())]
+                at = pa.array(np.repeat(np.arange(len(words)), [len(w) for w in words]))
+                yield pa.RecordBatch.from_arrays([*(part.column(i).take(at) for i in range(3)),
+                                                  pa.array([w for ws in words for w in ws], pa.string())], names=["row", "tk", "most", "term"])
 
+    return rows.mapInArrow(run, "row long, tk long, most double, term string")
 
-def _by_row(disclosed: DataFrame) -> DataFrame:
-    return disclosed.groupBy("row").agg(F.collect_list(F.struct("start", "end", "removed")).alias("terms"))
+
+def _disclosed(docs: DataFrame, text_col: str, found: DataFrame, names: dict[str, str], support: int, low: float, high: float) -> DataFrame:
+    """``row``, ``terms``: the terms that disclose an entity of the row, and whether they are removed."""
+    held = found.where(F.size(names["entities"]) > 0).select(
+        F.col(names["row"]).alias("row"), F.col(names["tk"]).alias("tk"), F.explode(names["entities"]).alias("entity"))
+    total = found.count()
+    entities = held.groupBy("entity", "tk").agg(F.count("*").alias("rows")).groupBy("entity").agg(
+        F.count("*").alias("texts"), F.sum("rows").alias("de")).where((F.col("texts") >= support) & (F.col("de") < total))
+    # Reaching the lower threshold takes a document frequency of at most this, if every document of the entity has the term.
+    most = F.lit(float(total)) * F.pow(F.col("de") / F.lit(float(total)), F.lit(float(low))) * (1 + 1e-9)
+    entities = staged(entities.select("entity", "de", most.alias("most")), "entities")
+    if entities.isEmpty():
+        return held.where("false").select("row", F.array(F.struct(F.lit("").alias("term"), F.lit(False).alias("removed"))).alias("terms"))
+    by_row = staged(held.join(entities, "entity").groupBy("row").agg(
+        F.first("tk").alias("tk"), F.max("most").alias("most"), F.collect_list(F.struct("entity", "de", "most")).alias("held")), "entity-rows")
+    texts = found.select(F.col(names["row"]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(names["spans"]).alias("spans"))
+    words = staged(_words(texts.join(by_row.drop("held"), "row").select("row", "tk", "most", "text", "spans")), "entity-words")
+    terms = words.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= support).select("term")
+    frequencies = staged(_frequencies(docs, text_col, staged(terms, "terms")), "term-frequencies")
+    rare = words.join(frequencies.where(F.col("df") >= support), "term").where(F.col("df") <= F.col("most"))
+    pairs = staged(rare.select("row", "tk", "term", "df").join(by_row.select("row", "held"), "row").select(
+        "row", "tk", "term", "df", F.explode("held").alias("e")).where(F.col("df") <= F.col("e.most")).select(
+        "row", "tk", "term", "df", "e.entity", "e.de"), "entity-terms")
+    shown = pairs.groupBy("entity", "term", "df", "de", "tk").agg(F.count("*").alias("rows"))
+    shown = shown.groupBy("entity", "term", "df", "de").agg(F.count("*").alias("texts"), F.sum("rows").alias("both")).where(F.col("texts") >= support)
+    share = F.log2(F.col("both") * total / (F.col("de") * F.col("df"))) / F.log2(total / F.col("de"))
+    rated = staged(shown.withColumn("share", share).where(F.col("share") >= low).select(
+        "entity", "term", (F.col("share") >= high).alias("removed")), "disclosing-terms")
+    return pairs.join(rated, ["entity", "term"]).groupBy("row", "term").agg(F.max("removed").alias("removed")).groupBy("row").agg(
+        F.collect_list(F.struct("term", "removed")).alias("terms"))
+
+
+def _marked(text: str, spans: list[dict], terms: list[dict] | None) -> list[tuple[int, int, bool]]:
+    """``(start, end, removed)`` of every occurrence of the terms outside the spans."""
+    if not terms:
+        return []
+    removed = {t["term"]: t["removed"] for t in terms}
+    return [(a, b, removed[w]) for w, a, b in words_outside(text, [(s["start"], s["kind"], s["end"]) for s in spans]) if w in removed]
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
@@ -221,24 +259,24 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", suppor
     """
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     found, names = _found(source, "text")
-    found = staged(found.drop("text"), "pii-spans")
-    terms = _by_row(_disclosed(source, "text", found, names, support, generalise, remove))
+    found = staged(found.withColumn("text", F.when(F.size(names["spans"]) > 0, F.col("text"))), "pii-spans")
+    terms = _disclosed(source, "text", found, names, support, generalise, remove)
 
     def digest(batches):
         for batch in batches:
             out = []
-            for base, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for base, more, text in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                more = [(a, 4, b) for a, b, _ in _marked(text, base, more)]
                 base = [(s["start"], s["kind"], s["end"]) for s in base]
                 text = joined(base)
                 kinds = Counter(k for _, k, _ in base)
-                more = [(t["start"], 4, t["end"]) for t in more or []]
                 out.append((*(kinds[k] for k in range(4)), len(more), text, hashlib.sha256(text.encode()).hexdigest(), joined(base + more)))
             columns = list(zip(*out)) if out else [[]] * 8
             kinds = [pa.int64()] * 5 + [pa.string()] * 3
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
                                              names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "n_term", "base", "base_sha256", "spans"])
 
-    rows = found.join(terms, found[names["row"]] == terms["row"], "left").select("doc_id", names["spans"], "terms")
+    rows = found.join(terms, found[names["row"]] == terms["row"], "left").select("doc_id", names["spans"], "terms", "text")
     return rows.mapInArrow(digest, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, n_term long, "
                                    "base string, base_sha256 string, spans string")
 
@@ -252,7 +290,7 @@ def sanitise(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, ge
     columns, schema = docs.columns, docs.schema
     found, names = _found(docs, text_col)
     found = staged(found, "pii-texts")
-    terms = _by_row(_disclosed(docs, text_col, found, names, support, generalise, remove)).withColumnRenamed("row", names["row"])
+    terms = _disclosed(docs, text_col, found, names, support, generalise, remove).withColumnRenamed("row", names["row"])
     more = free_name(found, "pii_terms")
     rows = found.join(terms.withColumnRenamed("terms", more), names["row"], "left").select(
         *[F.col(f"`{c}`") for c in columns], names["spans"], more)
@@ -261,9 +299,9 @@ def sanitise(docs: DataFrame, text_col: str = "text", support: int = SUPPORT, ge
     def put(batches):
         for batch in batches:
             texts = []
-            for text, base, near in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist(), batch.column(len(columns) + 1).to_pylist()):
+            for text, base, terms in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist(), batch.column(len(columns) + 1).to_pylist()):
                 spans = [(s["start"], s["kind"], s["end"], f"[{KINDS[s['kind']].upper()}]") for s in base or []]
-                spans += [(t["start"], 4, t["end"], "" if t["removed"] else generalised(text[t["start"]:t["end"]])) for t in near or []]
+                spans += [(a, 4, b, "" if removed else generalised(text[a:b])) for a, b, removed in _marked(text, base, terms)]
                 texts.append(sanitised(text, spans) if spans else text)
             new = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(columns))]
             yield pa.RecordBatch.from_arrays(new, names=columns)
