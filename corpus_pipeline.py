@@ -18,7 +18,7 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or of no language that fits, go."""
+    """Documents for which no language is predicted go: those without letters."""
     return language_unigram.recognised(docs)
 
 

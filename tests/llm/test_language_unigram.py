@@ -84,3 +84,11 @@ def test_nothing_to_learn_from(spark):
     assert {r.lang_pred for r in lu.identify(docs.withColumn("lang", docs.lang_pred).where("false")).collect()} == set()
     alone = spark.createDataFrame([(1, "the", None)], "doc_id long, text string, lang string")
     assert [(r.lang_pred, r.score) for r in lu.identify(alone).collect()] == [("und", 0.0)]
+
+
+def test_unsure_documents_stay(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(EN) for _ in range(3)), ("en", "de", "fr", "es")[i % 4]) for i in range(80)] + [(80, "12 --", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    assert any(0 < r.score < 0.5 for r in lu.identify(docs).collect())  # four languages with the same words
+    assert sorted(r.doc_id for r in lu.recognised(docs).collect()) == list(range(80))

@@ -336,9 +336,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return found.select("doc_id", "held_out", F.col(lang).alias("lang_pred"), F.col(score).alias("score"))
 
 
-def recognised(docs: DataFrame, least: float = 0.5, **options) -> DataFrame:
-    """The rows of ``docs`` whose language is recognised with a score of at least ``least``."""
+def recognised(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` for which a language is predicted, whatever its score."""
     fold = remainder(F.col(f"`{options.get('id_col', 'doc_id')}`"), 3)
     model = learn(docs.where(fold != 1), **options)
     found, lang, score = predict(docs, model, options.get("text_col", "text"))
-    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least)).drop(lang, score)
+    return found.where(F.col(lang) != UNKNOWN).drop(lang, score)
