@@ -89,6 +89,24 @@ def test_a_late_row_after_the_bound_waits_for_the_next_run(spark, rows):
     assert slices.upper_bound(df, "at", "9") is None
 
 
+def test_both_bounds_of_a_slice_reach_the_scan(spark, scratch):
+    path = f"{scratch}/pushed"
+    spark.createDataFrame([(1, 5), (2, 7), (3, None)], "k int, at int").write.parquet(path)
+    df = spark.read.parquet(path)
+
+    def pushed(slice_):
+        plan = slice_._jdf.queryExecution().executedPlan().toString()
+        return plan.split("PushedFilters: [")[1].split("]")[0]
+
+    assert "GreaterThan(at,5)" in pushed(slices.after(df, "at", "5"))
+    assert "GreaterThanOrEqual(at,5)" in pushed(slices.after(df, "at", "5", including=True))
+    both = pushed(slices.between(df, "at", "5", "7"))
+    assert "GreaterThan(at,5)" in both and "LessThanOrEqual(at,7)" in both
+    marks = Watermarks(spark, f"{scratch}/marks-pushed")
+    marks.seed([3], DAY[0], "5")
+    assert "GreaterThan(at,5)" in pushed(loads.new_source_rows(df, APPEND, marks))
+
+
 def test_watermark_types(spark):
     df = spark.sql("select date '2024-01-10' d, timestamp '2024-01-10 10:00:00' t, 'b' s, 5L n")
     for column, last, newer in (("d", "2024-01-09", True), ("d", "2024-01-10", False), ("t", "2024-01-10 09:59:59", True),

@@ -19,8 +19,15 @@ def newer(df: DataFrame, column: str, last: str | None, including: bool = False)
 
 
 def after(df: DataFrame, column: str, last: str | None, including: bool = False) -> DataFrame:
-    """Rows newer than the watermark; all rows when there is none yet."""
-    return df if last is None else df.filter(newer(df, column, last, including))
+    """Rows newer than the watermark; all rows when there is none yet.
+
+    The bare comparison reaches the scan, where it skips files and row groups; it is NULL, and the row
+    goes, where there is no watermark value.
+    """
+    if last is None:
+        return df
+    edge = typed(df, column, last)
+    return df.filter(F.col(column) >= edge if including else F.col(column) > edge)
 
 
 def between(df: DataFrame, column: str, last: str | None, upper: str) -> DataFrame:
