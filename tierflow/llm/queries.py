@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontamination, embedding_tiles, language_unigram, packing, prefix_free, private_terms, quality_nbsvm, recurrent_lm, simhash_golay, toxicity_ftrl
+from tierflow.llm import (
+    decontamination, embedding_tiles, language_unigram, line_frequency, packing, prefix_free, private_terms, quality_nbsvm, recurrent_lm,
+    simhash_golay, toxicity_ftrl,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +94,50 @@ FROM embeddings e JOIN c ON c.i = e.vec_id
 def op10_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = prefix_free.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op11_line_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_frequency.judge(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLES["op11_line_frequency"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text FROM documents
+), w AS (
+    SELECT r, generate_subscripts(ws, 1) AS i, unnest(ws) AS word
+    FROM (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d)
+), g AS (
+    SELECT r, i, CASE WHEN lead(i, 7) OVER p IS NULL THEN NULL
+                      ELSE list(word) OVER (p ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) END AS gram, word
+    FROM w WINDOW p AS (PARTITION BY r ORDER BY i)
+), t AS (
+    SELECT r, i, word, CASE WHEN gram IS NOT NULL AND count(*) OVER (PARTITION BY r, gram) > 1 THEN 1 ELSE 0 END AS again FROM g
+), c AS (
+    SELECT r, word, max(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS covered FROM t
+), words AS (
+    SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars, sum(covered) AS n_repeat_words FROM c GROUP BY r
+), l AS (
+    SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM d
+), n AS (
+    SELECT r, source, text, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS size,
+           array_to_string(regexp_extract_all(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                             '[0-9]', '0', 'g'), '[^\x20\x09-\x0D]+'), ' ') AS norm
+    FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), common AS (
+    SELECT source, norm FROM n GROUP BY source, norm HAVING count(DISTINCT text) > 6
+), lines AS (
+    SELECT n.r, count(*) - count(DISTINCT n.line) AS n_dup_lines, sum(CASE WHEN common.norm IS NULL THEN 0 ELSE n.size END) AS lost
+    FROM n LEFT JOIN common ON n.norm = common.norm AND n.source IS NOT DISTINCT FROM common.source GROUP BY n.r
+), f AS (
+    SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+           length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(lost, 0) AS lost
+    FROM d LEFT JOIN words USING (r) LEFT JOIN lines USING (r)
+), b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols, n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND n_words - lost >= 20 AND 100 * (n_words - lost) >= 50 * n_words AS kept
+FROM b
+"""
