@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow.llm import (
-    decontamination, embedding_tiles, language_unigram, line_frequency, packing, prefix_free, private_terms, quality_nbsvm, recurrent_lm,
+    decontamination, embedding_tiles, hard_negatives, language_unigram, line_frequency, packing, prefix_free, private_terms, quality_nbsvm, recurrent_lm,
     simhash_golay, toxicity_ftrl,
 )
 
@@ -141,3 +141,29 @@ SELECT doc_id, n_words, word_chars::BIGINT AS word_chars, n_symbols, n_dup_lines
        NOT base_failed AND n_words - lost >= 20 AND 100 * (n_words - lost) >= 50 * n_words AS kept
 FROM b
 """
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.quantised(table(spark, folder, "embeddings")), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.e) = len(b.e)
+), p AS (
+    SELECT a, anchor_id, b, id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, id, b) <= 5
+), n AS (
+    SELECT p.anchor_id, p.positive_id, p.positive_score, s.id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.id, s.b) AS rank
+    FROM p JOIN s ON p.a = s.a AND NOT s.same AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
