@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm import (
     decontamination, embedding_tiles, hard_negatives, language_unigram, line_frequency, packing, prefix_free, private_terms, quality_nbsvm, recurrent_lm,
-    simhash_golay, toxicity_ftrl,
+    simhash_golay, token_alignment, toxicity_ftrl,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,11 @@ FROM b
 """
 
 
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.align(table(spark, folder, "documents"))
+
+
 @query
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.quantised(table(spark, folder, "embeddings")), F.col("vec_id") % 50 == 0)
