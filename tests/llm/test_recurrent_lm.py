@@ -38,12 +38,6 @@ def test_next_token_probabilities_sum_to_one():
     ids = np.array([*range(len(vocab.words)), len(vocab.words), vocab.end])  # words, any other word, the end
     logs, _ = lm.outputs(w, vocab, np.repeat(h, len(ids), axis=0), ids)
     assert np.exp(logs).sum() == pytest.approx(1.0)
-    pairs = lm.Spelling.pairs([b"ab", b"ba"], [3, 1])
-    assert pairs.sum() == 12 and pairs[256, ord("a")] == 3 and pairs[ord("b"), ord("a")] == 1
-    spelling = lm.Spelling(pairs)
-    assert (10 ** spelling.log10).sum(axis=1) == pytest.approx(np.ones(257))
-    one = spelling.log10[256, ord("a")] + spelling.log10[ord("a"), ord("b")] + spelling.log10[ord("b"), 256]
-    assert spelling.of([b"ab", b"x", b"ab"])[[0, 2]] == pytest.approx([one, one])
 
 
 @pytest.mark.parametrize("window", [1, 3, 100])
@@ -86,6 +80,56 @@ def test_counts_and_baseline(docs, frequent):
         assert r.score < 0 and math.isfinite(r.score)
 
 
+@pytest.fixture
+def learned(monkeypatch):
+    """Vocabulary and weights as ``score`` learned them."""
+    learn, seen = lm.learn, []
+
+    def noted(coded, vocab, weights, shards):
+        weights = learn(coded, vocab, weights, shards)
+        seen.append((vocab, weights, shards, coded))
+        return weights
+
+    monkeypatch.setattr(lm, "learn", noted)
+    return seen
+
+
+@pytest.mark.parametrize("frequent", [9, 200_000])
+def test_scores_equal_a_plain_version(docs, learned, frequent):
+    data = rows()
+    got = lm.score(docs(data, 4), frequent=frequent, network=8).collect()
+    vocab, w, _, _ = learned[0]
+    train = Counter(x for i, t in data if i is None or zlib.crc32(str(i).encode()) % 7 != 2 for x in lm.words_of((t or "").encode()))
+    assert sorted(vocab.words) == sorted(x for x, _ in sorted(train.items(), key=lambda x: (-x[1], lm.word_hash(x[0])))[:8])
+    rare = {x: n for x, n in train.items() if x not in vocab.ids}
+    total = sum(n + 1 for n in rare.values()) + 1
+    texts = dict(data)
+    for r in got:
+        h, want = np.zeros((1, lm.HIDDEN)), 0.0
+        for word in [*lm.words_of((texts[r.doc_id] or "").encode()), None]:
+            token = vocab.end if word is None else vocab.id_of(word)
+            want += lm.outputs(w, vocab, h, np.array([token]))[0][0] / math.log(10)
+            if word is not None and word not in vocab.ids:
+                want += math.log10((rare.get(word, 0) + 1) / total)
+            h = lm.step(w, w["embed"][[token]] @ w["input"] + w["bias"], h)[0]
+        assert r.score == pytest.approx(want, rel=1e-4)
+    assert vocab.words and rare
+
+
+def test_untrained_words_have_their_shares():
+    vocab = lm.Vocabulary([(b"a", 40), (b"b", 30), (b"c", 10), (b"d", 5)], classes=2, endings=2)
+    w = lm.fresh_weights(vocab, others=10, ends=5)
+    logs, _ = lm.outputs(w, vocab, np.zeros((6, lm.HIDDEN), np.float32), np.array([0, 1, 2, 3, 4, vocab.end]))
+    assert np.exp(logs) == pytest.approx([0.4, 0.3, 0.1, 0.05, 0.1, 0.05], rel=1e-5)
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_held_out_documents_score_above_the_baseline(spark, folder):
+    table = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+    got = lm.score(table).where("held_out").collect()
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
 def test_training_beats_the_baseline_on_ordered_text(docs):
     rng = random.Random(7)
     texts = [" ".join(f"{rng.choice('xy')}{j % 5}" for j in range(200)) for _ in range(300)]
@@ -93,20 +137,18 @@ def test_training_beats_the_baseline_on_ordered_text(docs):
     assert sum(r.score for r in got) > 0.7 * sum(r.base_score for r in got)
 
 
-def test_every_training_document_is_learned_from(docs, monkeypatch):
+def test_every_training_document_is_learned_from(docs, learned, monkeypatch):
     rng = random.Random(8)
     texts = [" ".join(f"{rng.choice('xy')}{j % 5}" for j in range(200)) + f" rare{i}" for i in range(900)]
-    data = list(enumerate(texts))
-    learn, seen = lm.learn, []
-    monkeypatch.setattr(lm, "learn", lambda *a: seen.append(learn(*a)) or seen[0])
     monkeypatch.setattr(lm, "SHARD_TOKENS", 10_000)  # more shards than the least number
-    got = lm.score(docs(data, 3), sample=1, network=10).where("held_out").collect()
+    got = lm.score(docs(enumerate(texts), 3), network=10).where("held_out").collect()
     assert sum(r.score for r in got) > 0.7 * sum(r.base_score for r in got)
-    train = Counter(w for i, t in data if zlib.crc32(str(i).encode()) % 7 != 2 for w in lm.words_of(t.encode()))
-    assert sorted(seen[0][0].words) == sorted(w for w, _ in train.most_common(10))
-    others = [(w, n) for w, n in train.items() if w not in seen[0][0].ids]
-    want = lm.Spelling(lm.Spelling.pairs([w for w, _ in others], [n for _, n in others]))
-    assert np.allclose(seen[0][1].log10, want.log10)
+    vocab, _, shards, coded = learned[0]
+    assert shards > lm.SHARDS
+    train = [i for i in range(900) if zlib.crc32(str(i).encode()) % 7 != 2]
+    dealt = coded.select("doc_id", "part", "shard").collect()
+    assert sorted(r.doc_id for r in dealt) == train and {r.part for r in dealt} == set(range(lm.ROUNDS))
+    assert {r.shard for r in dealt} == set(range(shards))
 
 
 def test_no_rows_and_nothing_to_learn(docs):

@@ -2,13 +2,14 @@
 
 Tokens are lower-cased words and an end mark. The network predicts a word's class, and the word within
 its class, from the state that the words before it left; the state runs through a whole document, window
-by window. Words outside the network's vocabulary form one class, in which a word's probability is that
-of its spelling (byte pairs). The network is trained by truncated backpropagation, written in numpy, on all
-training documents: each round trains a copy on each shard from the same weights and averages the copies.
-The number of shards grows with the tokens.
-
-The counts of words and byte pairs cover all training documents, too. The most frequent words' counts are
-sent to every task, in a table of fixed size; the rest are joined by the hash of the word.
+by window. Words outside the network's vocabulary form one class. Within it a word's probability is its add-one
+share of the class in the corpus, and all words that were never met are one further word of it. So the model tells
+as many words apart as the baseline does, and starts from the baseline's probabilities.
+
+Words are counted over all training documents; the most frequent words' counts are sent to every task, in a table of
+fixed size, and the rest are joined by the hash of the word. Then texts are turned into token ids, once, for
+training and for scoring. The network is trained by truncated backpropagation, written in numpy, on all training documents, each in one of the rounds: a round trains a copy on
+each shard from the same weights and averages the copies. The number of shards grows with the tokens.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from math import isqrt
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import bytes_of, hash_share, remainder, staged
@@ -28,10 +29,12 @@ from tierflow.llm.common import bytes_of, hash_share, remainder, staged
 #: Words the network knows, classes they are dealt into, input rows shared by the other words by ending.
 NETWORK_WORDS, CLASSES, ENDINGS = 1024, 32, 64
 EMBED, HIDDEN = 16, 16
-#: Documents a round learns from at least, if there are so many; least number of shards; rounds of training.
-SAMPLE_DOCS, SHARDS, ROUNDS = 2400, 6, 2
-STREAMS, WINDOW, RATE, CLIP = 32, 20, 0.01, 5.0
-#: Tokens of a shard, on average, where there are more shards than the least; tokens of a stream before there are more streams.
+#: Least number of shards; rounds of training, each on its part of the documents.
+SHARDS, ROUNDS = 6, 2
+#: Documents among which the network's words are looked for first.
+NAMED_DOCS = 2400
+STREAMS, WINDOW, RATE, CLIP = 4, 20, 0.01, 5.0
+#: Tokens of a shard, on average, where there are more shards than the least; tokens of a stream where there are more than the least number.
 SHARD_TOKENS, STREAM_TOKENS = 3_200_000, 6_400
 #: Words whose counts every task gets; all others are joined.
 FREQUENT_WORDS = 200_000
@@ -49,38 +52,12 @@ def word_hash(word: bytes) -> int:
     return (xxhash.xxh3_64_intdigest(word) ^ (1 << 63)) - (1 << 63)
 
 
-class Spelling:
-    """Byte-pair model of words; index 256 stands for the start and the end."""
-
-    def __init__(self, pairs: np.ndarray):
-        pairs = pairs + 0.1
-        self.log10 = np.log10(pairs / pairs.sum(axis=1, keepdims=True))
-
-    @staticmethod
-    def pairs(words: list[bytes], counts: list[int]) -> np.ndarray:
-        """How often one byte follows another in the words, each met so many times."""
-        out = np.zeros((257, 257))
-        if words:
-            codes = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
-            sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-            codes[np.cumsum(sizes) - 1] = 256
-            np.add.at(out, (np.concatenate([[256], codes[:-1]]), codes), np.repeat(counts, sizes))
-        return out
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """log10 probability of each (non-empty) word."""
-        codes = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
-        codes[codes == 32] = 256  # a word holds no space
-        before = np.concatenate([[256], codes[:-1]])
-        ends = np.nonzero(codes == 256)[0]
-        return np.add.reduceat(self.log10[before, codes], np.concatenate([[0], ends[:-1] + 1]))
-
-
 class Vocabulary:
     """Network words in classes of like total frequency. Token ids: words, then endings of other words, then the end mark."""
 
     def __init__(self, counts: list[tuple[bytes, int]], classes: int = CLASSES, endings: int = ENDINGS):
         self.words = [w for w, _ in counts]
+        self.counts = np.array([n for _, n in counts], float)
         self.ids = {w: i for i, w in enumerate(self.words)}
         self.endings = endings
         mass = np.array([n for _, n in counts], float) ** 0.5
@@ -92,27 +69,33 @@ class Vocabulary:
         self.rare_class, self.end_class = classes, classes + 1
         self.end = len(self.words) + endings
         self.size = self.end + 1
+        self._target = np.concatenate([self.class_of, np.full(endings, self.rare_class), [self.end_class]])
 
     def id_of(self, word: bytes) -> int:
         found = self.ids.get(word)
         return len(self.words) + xxhash.xxh32_intdigest(word[-3:]) % self.endings if found is None else found
 
     def target_class(self, ids: np.ndarray) -> np.ndarray:
-        table = np.concatenate([self.class_of, np.full(self.endings, self.rare_class), [self.end_class]])
-        return table[ids]
+        return self._target[ids]
 
 
-def fresh_weights(vocab: Vocabulary, seed: int = 1, embed: int = EMBED, hidden: int = HIDDEN) -> dict[str, np.ndarray]:
+def fresh_weights(vocab: Vocabulary, others: float = 1.0, ends: float = 1.0, seed: int = 1, embed: int = EMBED,
+                  hidden: int = HIDDEN) -> dict[str, np.ndarray]:
+    """Small random weights, and biases by which words have their shares of the corpus: ``others`` tokens are words
+    outside the vocabulary, ``ends`` are end marks."""
     rng = np.random.default_rng(seed)
 
     def normal(*shape, scale):
         return (rng.standard_normal(shape) * scale).astype(np.float32)
 
+    mass = np.append(np.bincount(vocab.class_of, vocab.counts, vocab.classes), [others, ends])
     return {
         "embed": normal(vocab.size, embed, scale=0.3), "input": normal(embed, 3 * hidden, scale=embed ** -0.5),
         "state": normal(hidden, 3 * hidden, scale=hidden ** -0.5), "bias": np.zeros(3 * hidden, np.float32),
-        "class": normal(hidden, vocab.classes + 2, scale=0.1), "class_bias": np.zeros(vocab.classes + 2, np.float32),
-        "word": normal(len(vocab.words), hidden, scale=0.1), "word_bias": np.zeros(len(vocab.words), np.float32),
+        "class": normal(hidden, vocab.classes + 2, scale=0.1),
+        "class_bias": np.log(np.maximum(mass, 0.5) / max(mass.sum(), 1.0)).astype(np.float32),
+        "word": normal(len(vocab.words), hidden, scale=0.1),
+        "word_bias": np.log(vocab.counts / np.maximum(mass[vocab.class_of], 1e-9)).astype(np.float32),
     }
 
 
@@ -130,45 +113,58 @@ def step(w: dict, gates_in: np.ndarray, h: np.ndarray):
     return c + z * (h - c), z, r, c, inner[:, 2 * n:]
 
 
+def _exp(logits: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """``exp`` of logits of states, which lie between -1 and 1, lowered by a row's largest where it could overflow."""
+    if len(bias) and np.abs(weights).sum(axis=0).max() + np.abs(bias).max() > 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    return np.exp(logits)
+
+
 def outputs(w: dict, vocab: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: dict | None = None):
-    """Natural log probability of tokens ``ids`` after states ``h`` (spelling left out).
+    """Natural log probability of tokens ``ids`` after states ``h`` (words of the class of others not told apart).
 
     With ``grads``, adds the gradient of the negative sum to it and returns that of ``h`` too.
     """
     target = vocab.target_class(ids)
-    logits = h @ w["class"] + w["class_bias"]
-    logits -= logits.max(axis=1, keepdims=True)
-    exp = np.exp(logits)
+    order = np.argsort(target.astype(np.int16), kind="stable")
+    target, ids, h = target[order], ids[order], h[order]
+    edges = np.searchsorted(target, np.arange(vocab.classes + 1))
+    every = np.arange(len(ids))
+    logits = h @ w["class"]
+    logits += w["class_bias"]
+    exp = _exp(logits, w["class"], w["class_bias"])
     total = exp.sum(axis=1)
-    out = logits[np.arange(len(ids)), target] - np.log(total)
-    dh = None
+    logs = logits[every, target] - np.log(total)
     if grads is not None:
-        delta = exp / total[:, None]
-        delta[np.arange(len(ids)), target] -= 1
-        grads["class"] += h.T @ delta
-        grads["class_bias"] += delta.sum(axis=0)
-        dh = delta @ w["class"].T
-    order = np.argsort(target.astype(np.int16), kind="stable")
-    edges = np.searchsorted(target[order], np.arange(vocab.classes + 1))
+        exp /= total[:, None]
+        exp[every, target] -= 1
+        grads["class"] += h.T @ exp
+        grads["class_bias"] += exp.sum(axis=0)
+        dh = exp @ w["class"].T
     for c in range(vocab.classes):
-        at = order[edges[c]:edges[c + 1]]
+        lo, hi = edges[c], edges[c + 1]
         a, b = vocab.starts[c], vocab.starts[c + 1]
-        if not len(at) or b - a < 2:
+        if lo == hi or b - a < 2:
             continue
-        part = h[at]
-        logits = part @ w["word"][a:b].T + w["word_bias"][a:b]
-        logits -= logits.max(axis=1, keepdims=True)
-        exp = np.exp(logits)
+        part, place = h[lo:hi], ids[lo:hi] - a
+        logits = part @ w["word"][a:b].T
+        logits += w["word_bias"][a:b]
+        exp = _exp(logits, w["word"][a:b].T, w["word_bias"][a:b])
         total = exp.sum(axis=1)
-        place = ids[at] - a
-        out[at] += logits[np.arange(len(at)), place] - np.log(total)
+        logs[lo:hi] += logits[every[:hi - lo], place] - np.log(total)
         if grads is not None:
-            delta = exp / total[:, None]
-            delta[np.arange(len(at)), place] -= 1
-            grads["word"][a:b] += delta.T @ part
-            grads["word_bias"][a:b] += delta.sum(axis=0)
-            dh[at] += delta @ w["word"][a:b]
-    return out, dh
+            exp /= total[:, None]
+            exp[every[:hi - lo], place] -= 1
+            grads["word"][a:b] += exp.T @ part
+            grads["word_bias"][a:b] += exp.sum(axis=0)
+            dh[lo:hi] += exp @ w["word"][a:b]
+    out = np.empty_like(logs)
+    out[order] = logs
+    if grads is None:
+        return out, None
+    back = np.empty_like(dh)
+    back[order] = dh
+    return out, back
 
 
 def window_gradient(w: dict, vocab: Vocabulary, ids: np.ndarray, h0: np.ndarray):
@@ -206,7 +202,10 @@ def window_gradient(w: dict, vocab: Vocabulary, ids: np.ndarray, h0: np.ndarray)
     flat = d_gates.reshape(-1, 3 * n)
     grads["bias"] += flat.sum(axis=0)
     grads["input"] += x.reshape(-1, x.shape[2]).T @ flat
-    np.add.at(grads["embed"], ids.ravel(), flat @ w["input"].T)
+    order = np.argsort(ids, axis=None, kind="stable")
+    tokens = ids.ravel()[order]
+    first = np.nonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))[0]
+    grads["embed"][tokens[first]] += np.add.reduceat((flat @ w["input"].T)[order], first, axis=0)
     return -float(logp.sum()), grads, h
 
 
@@ -237,7 +236,7 @@ def train(w: dict, vocab: Vocabulary, docs: list[np.ndarray], streams: int = STR
 
 
 def document_logs(w: dict, vocab: Vocabulary, tokens: np.ndarray, lengths: np.ndarray, window: int = SCORE_WINDOW) -> np.ndarray:
-    """Natural log probability of each whole document (spelling left out).
+    """Natural log probability of each whole document.
 
     ``tokens`` are the documents' ids one after the other. All run side by side, longest first; the states
     are carried from each window to the next.
@@ -268,11 +267,6 @@ def document_logs(w: dict, vocab: Vocabulary, tokens: np.ndarray, lengths: np.nd
     return out[rank]
 
 
-def _draws(rows: DataFrame, total: int, sample: int) -> DataFrame:
-    key = F.xxhash64("doc_id", "text")
-    return rows.where(hash_share(key, min(1.0, sample / max(total, 1)), 8))
-
-
 def _named(rows: DataFrame, wanted: set[int]) -> dict[int, bytes]:
     """The words of ``rows`` that have one of the ``wanted`` hashes."""
     if not wanted:
@@ -293,32 +287,6 @@ def _named(rows: DataFrame, wanted: set[int]) -> dict[int, bytes]:
     return {r["hash"]: bytes(r["word"]) for r in got.collect()}  # at most one row for each wanted hash
 
 
-def _sequences(rows: DataFrame, vocab: Vocabulary, parts: int, shards: int) -> DataFrame:
-    """``part``, ``shard``, ``doc_id`` and token ids of all rows."""
-    kind = np.min_scalar_type(vocab.size)
-
-    def run(batches):
-        ids: dict[bytes, int] = {}
-        for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                texts = [words_of(t) for t in bytes_of(batch.column(3).slice(first, 500))]
-                new = set().union(*texts) - ids.keys()
-                if len(ids) + len(new) > CACHE_WORDS:
-                    ids.clear()
-                    new = set().union(*texts)
-                ids.update((w, vocab.id_of(w)) for w in new)
-                coded = [np.array([*map(ids.__getitem__, t), vocab.end], kind).tobytes() for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(first, 500) for i in range(3)), pa.array(coded, pa.binary())],
-                    names=["part", "shard", "doc_id", "ids"])
-
-    def dealt(seed: int, n: int):
-        return F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(n)).cast("int")
-
-    return rows.select(dealt(9, parts).alias("part"), dealt(3, shards).alias("shard"), "doc_id", "text").mapInArrow(
-        run, "part int, shard int, doc_id long, ids binary")
-
-
 def _averaged(copies: DataFrame, shards: int) -> dict[str, np.ndarray]:
     """Mean of the shards' weights; summed in tasks first, so that the driver gets about the root of their number."""
     def add(batches):
@@ -343,24 +311,12 @@ def _averaged(copies: DataFrame, shards: int) -> dict[str, np.ndarray]:
     return {k: sum(v for _, v in pairs) / sum(n for n, _ in pairs) for k, pairs in got.items()}
 
 
-def learn(rows: DataFrame, total: int, tokens: int, network: list[tuple[int, int]], pairs: np.ndarray, sample: int = SAMPLE_DOCS,
-          shards: int = SHARDS, rounds: int = ROUNDS) -> tuple[Vocabulary, Spelling, dict]:
-    """Vocabulary, spelling model and weights from training rows (``doc_id``, ``text``), ``total`` of them.
+def learn(coded: DataFrame, vocab: Vocabulary, weights: dict, shards: int, rounds: int = ROUNDS) -> dict:
+    """Weights trained on the rows (``part``, ``shard``, ``doc_id``, ``ids``), a part in each round.
 
-    ``network`` holds hash and count of the words the network knows, ``pairs`` how often one byte follows another
-    in all words. Every row is learned from: in one of the rounds, or in each if a round's part would hold fewer than
-    ``sample`` rows. Texts stay in the tasks; the driver gets the network's words and sums of weights.
+    Token ids stay in the tasks; the driver gets sums of weights.
     """
-    words = _named(_draws(rows, total, sample), {h for h, _ in network})
-    words |= _named(rows, {h for h, _ in network} - words.keys())
-    vocab = Vocabulary(sorted(((words[h], n) for h, n in network), key=lambda x: (-x[1], x[0])))
-    counts = {words[h]: n for h, n in network}
-    spelling = Spelling(pairs - Spelling.pairs(vocab.words, [counts[w] for w in vocab.words]))
-    weights = fresh_weights(vocab)
-    parts = rounds if total >= rounds * sample else 1
-    shards = max(shards, -(-tokens // (parts * SHARD_TOKENS)))
-    coded = staged(_sequences(rows, vocab, parts, shards), "lm-sequences")
-    context = rows.sparkSession.sparkContext
+    context = coded.sparkSession.sparkContext
     for number in range(rounds):
         sent = context.broadcast((vocab, weights))
 
@@ -387,32 +343,30 @@ def learn(rows: DataFrame, total: int, tokens: int, network: list[tuple[int, int
             if docs:
                 yield fitted(last, docs)
 
-        dealt = coded.where(F.col("part") == number % parts).repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "ids")
+        dealt = coded.where(F.col("part") == number).repartitionById(shards, "shard").sortWithinPartitions("shard", "doc_id", "ids")
         copies = dealt.select("shard", "ids").mapInArrow(fit, "shard int, name string, data binary, weight double")
         for k, mean in _averaged(copies, shards).items():
             weights[k] = mean.reshape(weights[k].shape).astype(np.float32)
         sent.unpersist()
-    return vocab, spelling, weights
+    return weights
 
 
-class Scorer:
-    """Everything a worker knows about words, remembered in arrays."""
+class Coder:
+    """What a worker knows about words, remembered in arrays."""
 
-    def __init__(self, vocab: Vocabulary, spelling: Spelling, weights: dict, hashes: np.ndarray, counts: np.ndarray):
-        self.vocab, self.spelling, self.weights = vocab, spelling, weights
-        self.hashes, self.counts = hashes, counts
+    def __init__(self, vocab: Vocabulary, hashes: np.ndarray, counts: np.ndarray):
+        self.vocab, self.hashes, self.counts = vocab, hashes, counts
+        self.kind = np.min_scalar_type(vocab.size)
         self._forget()
 
     def _forget(self):
         self.place: dict[bytes, int] = {}
-        self.ids = np.empty(0, np.int32)
-        self.spelled = np.empty(0)
+        self.ids = np.empty(0, self.kind)
         self.hash = np.empty(0, np.int64)
         self.count = np.empty(0, np.int64)  # -1: not among the frequent words
 
     def learn_words(self, words: list[bytes]) -> None:
         ids = np.fromiter(map(self.vocab.id_of, words), np.int32, len(words))
-        spelled = np.where(ids >= len(self.vocab.words), self.spelling.of(words), 0.0)
         hashes = np.fromiter(map(word_hash, words), np.int64, len(words))
         counts = np.full(len(words), -1, np.int64)
         if len(self.hashes):
@@ -421,22 +375,23 @@ class Scorer:
             counts[same] = self.counts[at[same]]
         start = len(self.place)
         self.place.update(zip(words, range(start, start + len(words))))
-        self.ids = np.concatenate([self.ids, ids])
-        self.spelled = np.concatenate([self.spelled, spelled])
+        self.ids = np.concatenate([self.ids, ids.astype(self.kind)])
         self.hash = np.concatenate([self.hash, hashes])
         self.count = np.concatenate([self.count, counts])
 
-    def places(self, texts: list[list[bytes]]) -> list[np.ndarray] | None:
-        """Where each text's words are remembered; None if they no longer fit beside what is."""
+    def places(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """Where each text's words are remembered."""
         new = [w for w in set().union(*texts) if w not in self.place]
         if self.place and len(self.place) + len(new) > CACHE_WORDS:
-            return None
+            self._forget()
+            new = list(set().union(*texts))
         if new:
             self.learn_words(new)
         return [np.fromiter(map(self.place.__getitem__, t), np.int32, len(t)) for t in texts]
 
-    def block(self, places: list[np.ndarray]):
-        """Per document: tokens, known words, sum of log10(count + 1), log10 probability; and the words to join."""
+    def coded(self, places: list[np.ndarray]):
+        """Per document: tokens, known words, sum of log10(count + 1), that of words the network does not know, how many
+        these are, ids; and the words to join, which it does not know either."""
         n = len(places)
         sizes = np.array([len(p) for p in places], np.int64)
         place = np.concatenate(places) if n else np.empty(0, np.int32)
@@ -444,61 +399,63 @@ class Scorer:
         count = self.count[place]
         near = count >= 0
         known = np.bincount(who[near], minlength=n)
-        logs = np.bincount(who[near], np.log10(count[near] + 1.0), n)
+        logs = np.log10(np.maximum(count, 0) + 1.0)
+        other = self.ids[place] >= len(self.vocab.words)
+        others = np.bincount(who[other], minlength=n)
+        inner = np.bincount(who[other], logs[other], n)
+        logs = np.bincount(who, logs, n)
         kinds = max(len(self.hash), 1)
         far, uses = np.unique(who[~near].astype(np.int64) * kinds + place[~near], return_counts=True)
-        rare_doc, rare_hash = far // kinds, self.hash[far % kinds]
-        del count, near, far
-        score = np.bincount(who, self.spelled[place], n)
-        del who
-        lengths = sizes + 1
-        ends = np.cumsum(lengths) - 1
-        tokens = np.empty(int(lengths.sum()), np.int32)
-        mask = np.ones(len(tokens), bool)
-        mask[ends] = False
-        tokens[mask], tokens[ends] = self.ids[place], self.vocab.end
-        del place, mask
-        score = score + document_logs(self.weights, self.vocab, tokens, lengths) / _LN10
-        return lengths, known, logs, score, rare_doc, rare_hash, uses
+        words = far % kinds
+        ids = [np.append(self.ids[p], self.ids.dtype.type(self.vocab.end)).tobytes() for p in places]
+        return sizes + 1, known, logs, inner, others, ids, far // kinds, self.hash[words], uses
 
 
-_SCORERS: dict[int, Scorer] = {}
+_CODERS: dict[int, Coder] = {}
+_CODED = ("doc_id long, held_out boolean, part int, shard int, n_tokens long, known long, logs double, inner double, "
+          "others long, ids binary, far array<struct<hash:long,uses:int>>")
 
 
-def _scored(sent, key: int):
-    names = ["doc_id", "held_out", "n_tokens", "known", "logs", "score", "hashes", "uses"]
+def _coded(sent, key: int):
+    names = [field.split()[0] for field in _CODED.split(", ")]
 
-    def rows(scorer, batch, first, places):
-        lengths, known, logs, score, doc, hashes, uses = scorer.block(places)
-        n = len(places)
-        edges = pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32))
-        return pa.RecordBatch.from_arrays([
-            batch.column(0).slice(first, n), batch.column(1).slice(first, n), pa.array(lengths),
-            pa.array(known.astype(np.int64)), pa.array(logs.astype(float)), pa.array(score.astype(float)),
-            pa.ListArray.from_arrays(edges, pa.array(hashes)),
-            pa.ListArray.from_arrays(edges, pa.array(uses.astype(np.int32)))], names=names)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if key not in _CODERS:
+            _CODERS.clear()
+            _CODERS[key] = Coder(*sent.value)
+        coder = _CODERS[key]
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                lengths, known, logs, inner, others, ids, doc, hashes, uses = coder.coded(
+                    coder.places([words_of(t) for t in bytes_of(part.column(4))]))
+                edges = pa.array(np.searchsorted(doc, np.arange(part.num_rows + 1)).astype(np.int32))
+                far = pa.StructArray.from_arrays(
+                    [pa.array(hashes), pa.array(uses.astype(np.int32))], names=["hash", "uses"])
+                yield pa.RecordBatch.from_arrays([
+                    *part.columns[:4], pa.array(lengths), pa.array(known.astype(np.int64)), pa.array(logs.astype(float)),
+                    pa.array(inner.astype(float)), pa.array(others.astype(np.int64)), pa.array(ids, pa.binary()), pa.ListArray.from_arrays(edges, far)], names=names)
+
+    return run
+
+
+def _scored(sent):
+    """Reads ``ids`` and other columns; emits the others and the log10 probability of the ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(*sent.value)
-        scorer = _SCORERS[key]
+        vocab, weights = sent.value
+        kind = np.min_scalar_type(vocab.size)
         for batch in batches:
-            first, held, tokens = 0, [], 0
-            for at in range(0, batch.num_rows, 200):
-                texts = [words_of(t) for t in bytes_of(batch.column(2).slice(at, 200))]
-                places = scorer.places(texts)
-                if places is None or tokens >= BLOCK_TOKENS:
-                    if held:
-                        yield rows(scorer, batch, first, held)
-                    first, held, tokens = at, [], 0
-                if places is None:
-                    scorer._forget()
-                    places = scorer.places(texts)
-                held += places
-                tokens += sum(map(len, places))
-            if held:
-                yield rows(scorer, batch, first, held)
+            lengths = batch.column(1).to_numpy()
+            block = (np.cumsum(lengths) - lengths) // BLOCK_TOKENS
+            edges = [0, *(np.nonzero(block[1:] != block[:-1])[0] + 1).tolist(), len(lengths)]
+            for first, last in zip(edges, edges[1:]):
+                if first == last:
+                    continue
+                part = batch.slice(first, last - first)
+                tokens = np.frombuffer(b"".join(part.column(0).to_pylist()), kind).astype(np.int32)
+                logs = document_logs(weights, vocab, tokens, lengths[first:last]) / _LN10
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(logs)], names=[*batch.schema.names[1:], "network"])
 
     return run
 
@@ -525,7 +482,7 @@ def _most_frequent(counts: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held: int = 2,
-          sample: int = SAMPLE_DOCS, frequent: int = FREQUENT_WORDS, network: int = NETWORK_WORDS) -> DataFrame:
+          frequent: int = FREQUENT_WORDS, network: int = NETWORK_WORDS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
     Learns from rows whose id is not in fold ``held``; a null id is in no fold. A null or empty text is its
@@ -544,42 +501,44 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
             for first in range(0, batch.num_rows, 500):
                 for text in bytes_of(batch.column(0).slice(first, 500)):
                     met.update(words_of(text))
-            hashes = np.fromiter(map(word_hash, met), np.int64, len(met))
-            words, uses = list(met), list(met.values())
-            a, b = np.nonzero(found := Spelling.pairs(words, uses))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([False] * len(met) + [True] * len(a), pa.bool_()), pa.array(np.concatenate([hashes, a * 257 + b])),
-                pa.array(np.concatenate([np.array(uses, np.int64), found[a, b].astype(np.int64)]))], names=["pair", "hash", "n"])
-
-    counted = staged(training.select("text").mapInArrow(count, "pair boolean, hash long, n long")
-                     .groupBy("pair", "hash").agg(F.sum("n").alias("n")), "word-counts")
-    counts = counted.where("not pair").select("hash", "n")
-    pairs = np.zeros(257 * 257)
-    for r in counted.where("pair").collect():  # at most 257 x 257 rows
-        pairs[r["hash"]] = r["n"]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.fromiter(map(word_hash, met), np.int64, len(met))), pa.array(list(met.values()), pa.int64())], names=["hash", "n"])
+
+    counts = staged(training.select("text").mapInArrow(count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")), "word-counts")
     docs_n = training.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     tokens, distinct = (sums.n or 0) + docs_n, sums.v + (docs_n > 0)
     hashes, values = _most_frequent(counts, frequent)
-    best = list(zip(hashes[:network].tolist(), values[:network].tolist()))
-    vocab, spelling, weights = learn(training.select("doc_id", "text"), docs_n, tokens, best, pairs.reshape(257, 257), sample)
+    wanted = dict(zip(hashes[:network].tolist(), values[:network].tolist()))
+    names = _named(training.where(hash_share(F.xxhash64("doc_id", "text"), min(1.0, NAMED_DOCS / max(docs_n, 1)), 8)), set(wanted))
+    names |= _named(training, wanted.keys() - names.keys())
+    vocab = Vocabulary(sorted(((names[h], n) for h, n in wanted.items()), key=lambda x: (-x[1], x[0])))
+    # Tokens of the class of other words, one more for each of them, and one for words that were never met.
+    others = int((sums.n or 0) - vocab.counts.sum()) + sums.v - len(vocab.words) + 1
     order = np.argsort(hashes)
-    hashes, values = hashes[order], values[order]
-    sent = docs.sparkSession.sparkContext.broadcast((vocab, spelling, weights, hashes, values))
-    scored = staged(rows.mapInArrow(
-        _scored(sent, id(sent)),
-        "doc_id long, held_out boolean, n_tokens long, known long, logs double, score double, "
-        "hashes array<long>, uses array<int>").withColumn("row", F.monotonically_increasing_id()), "scored")
-    others = scored.select("row", F.explode(F.arrays_zip("hashes", "uses")).alias("w")).select(
-        "row", F.col("w.hashes").alias("hash"), F.col("w.uses").alias("uses"))
-    rest = others.join(counts, "hash").groupBy("row").agg(
+    context = docs.sparkSession.sparkContext
+    sent = context.broadcast((vocab, hashes[order], values[order]))
+    shards = max(SHARDS, -(-tokens // (ROUNDS * SHARD_TOKENS)))
+
+    def dealt(seed: int, n: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(n)).cast("int")
+
+    coded = staged(rows.select("doc_id", "held_out", dealt(9, ROUNDS).alias("part"), dealt(3, shards).alias("shard"), "text").mapInArrow(
+        _coded(sent, id(sent)), _CODED).withColumn("row", F.monotonically_increasing_id()), "coded")
+    weights = learn(coded.where("not held_out").select("part", "shard", "doc_id", "ids"), vocab,
+                    fresh_weights(vocab, others, docs_n), shards)
+    model = context.broadcast((vocab, weights))
+    scored = coded.select("ids", "n_tokens", "row", "doc_id", "held_out", "known", "logs", "inner", "others").mapInArrow(
+        _scored(model), "n_tokens long, row long, doc_id long, held_out boolean, known long, logs double, inner double, others long, "
+        "network double")
+    far = coded.select("row", F.inline("far")).join(counts, "hash").groupBy("row").agg(
         F.sum("uses").alias("more"), F.sum(F.col("uses") * F.log10(F.col("n") + 1.0)).alias("more_logs"))
     end_known, end_log = int(docs_n > 0), float(np.log10(docs_n + 1.0))
-    return scored.drop("hashes", "uses").join(rest, "row", "left").select(
+    return scored.join(far, "row", "left").select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("more", F.lit(0)) + end_known).cast("long").alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("logs") + F.coalesce("more_logs", F.lit(0.0)) + end_log
          - F.col("n_tokens") * float(np.log10(tokens + distinct + 1.0))).alias("base_score"),
-        "score",
+        (F.col("network") + F.col("inner") + F.coalesce("more_logs", F.lit(0.0)) - F.col("others") * float(np.log10(others))).alias("score"),
     )
