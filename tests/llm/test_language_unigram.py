@@ -15,7 +15,7 @@ def plain_word(word, prob):
     """Every segmentation, one by one."""
     if not word:
         return 1.0
-    return sum(prob(word[:k]) * plain_word(word[k:], prob) for k in range(1, min(len(word), lu.PIECE_CHARS) + 1))
+    return sum(prob(word[:k]) * plain_word(word[k:], prob) for k in range(1, len(word) + 1))
 
 
 def by_text():
@@ -45,6 +45,47 @@ def test_forward_sums_all_segmentations():
         assert g == pytest.approx([plain_word(w, prob(0)), plain_word(w, prob(1))], rel=1e-9)
 
 
+def log_forward(word, probs):
+    """Log probability of a word of any length, position by position."""
+    ids, total = VOCAB.ids([word], len(word)), [0.0]
+    for j in range(1, len(word) + 1):
+        parts = [total[j - k] + np.log(probs[ids[k - 1][0, j - k]]) for k in range(1, min(j, len(ids)) + 1) if ids[k - 1][0, j - k] >= 0]
+        total.append(np.logaddexp.reduce(parts))
+    return total[-1]
+
+
+def test_long_pieces_and_whole_words():
+    assert VOCAB.longest > 8 and VOCAB.lookup(np.array([VOCAB._hash(np.array([ord(c) for c in "▁different"], np.uint64))], np.uint64))[0] >= 0
+    rng = np.random.default_rng(5)
+    probs = rng.random((VOCAB.count, 1)) ** 8
+    probs /= probs.sum(axis=0)
+    compound = "differentformationtranslation" * 9
+    for word in ("different", compound, "aa" * 400, "日本語中文한국어" * 60, "ünd日" * 30, "x\U0001F600" * 40):
+        marked, parts = "▁" + word, VOCAB.parts_of(word.encode())
+        assert "".join(parts) == marked
+        whole = log_forward(marked, probs[:, 0])
+        assert lu.log_scores([marked], probs, VOCAB)[0, 0] == pytest.approx(whole, rel=1e-9)
+        assert lu.log_scores(parts, probs, VOCAB).sum() == pytest.approx(whole, rel=1e-9)
+    assert len(VOCAB.parts_of(("日本語中文" * 60).encode())) > 50 and VOCAB.parts_of(b"short") == ["▁short"]
+
+
+def test_expected_counts_of_long_words():
+    probs = np.random.default_rng(6).random((VOCAB.count, 2)) ** 4
+    word = "▁differentformationtranslationandsomemore"
+    assert len(word) > lu.LONG_PART
+    counts = lu.expected_counts([word, "▁then"], np.array([1, 0]), np.array([2.0, 3.0]), probs, VOCAB)
+    lengths = np.zeros(VOCAB.count)
+    for k, row in enumerate(VOCAB.ids([word], len(word)), 1):
+        lengths[row[row >= 0]] = k
+    assert (counts[:, 1] * lengths).sum() == pytest.approx(2.0 * len(word))
+    # d log p / d log probs is the expected count
+    eps, at = 1e-6, next(i for row in VOCAB.ids([word], len(word))[3:] for i in row[0].tolist() if i >= 0)
+    moved = probs.copy()
+    moved[at, 1] *= 1 + eps
+    slope = (lu.log_scores([word], moved, VOCAB) - lu.log_scores([word], probs, VOCAB))[0, 1] / eps
+    assert counts[at, 1] == pytest.approx(2 * slope, rel=1e-3)
+
+
 def test_expected_counts_match_segmentations():
     probs = np.random.default_rng(2).random((VOCAB.count, 1))
     word = "▁then"

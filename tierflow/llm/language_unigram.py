@@ -1,8 +1,9 @@
 """Language identification by unigram piece models, summed over all segmentations.
 
 The pieces are those of a public vocabulary; only their probabilities differ by language. The probability
-of a word is the sum over all ways to cut it into pieces, computed by the forward algorithm; a text's is
-the product over its words. The piece probabilities are learned by expectation-maximisation with the
+of a word is the sum over all ways to cut it into pieces of any length, computed by the forward algorithm; a
+text's is the product over its words. A long word, such as a text without spaces, is first cut where no piece of
+several characters reaches across, which leaves the sum as it is. The piece probabilities are learned by expectation-maximisation with the
 forward-backward algorithm on word counts of a bounded sample of documents for each language.
 """
 
@@ -24,9 +25,10 @@ UNKNOWN = "und"
 #: Documents learned from, for each language, on average over hash draws.
 SAMPLE_DOCS = 3000
 ROUNDS = 3
-#: Longest piece used, in characters, and longest part of a word scored at once.
-PIECE_CHARS = 8
-WORD_CHARS = 24
+#: Words of more characters are cut where every segmentation has a cut; parts of more are summed in logarithms.
+LONG_WORD, LONG_PART = 24, 32
+#: Characters of words handled at once.
+BLOCK_CHARS = 400_000
 #: Words whose scores a worker remembers.
 CACHE_WORDS = 300_000
 #: Weight added to each piece in each language.
@@ -49,12 +51,6 @@ def words_of(text: bytes) -> list[bytes]:
     return words
 
 
-def parts_of(word: bytes) -> list[str]:
-    """``word`` with the mark of a word's start, in parts of at most ``WORD_CHARS`` characters."""
-    marked = _MARK + word.decode("utf-8", "replace")
-    return [marked[i:i + WORD_CHARS] for i in range(0, len(marked), WORD_CHARS)]
-
-
 class Pieces:
     """The vocabulary's lower-case pieces, found by the hash of their characters. The last id is for the rest."""
 
@@ -64,8 +60,10 @@ class Pieces:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         ids = (i for i in range(model.get_piece_size())
                if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)))
-        found = sorted({p for p in map(model.id_to_piece, ids) if p == p.lower() and len(p) <= PIECE_CHARS})
+        # Words hold one mark, at their start.
+        found = sorted({p for p in map(model.id_to_piece, ids) if p == p.lower() and _MARK not in p[1:]})
         self.count = len(found) + 1
+        self.longest = max(map(len, found))
         hashes = np.array([self._hash(np.array([ord(c) for c in p], np.uint64)) for p in found], np.uint64)
         self.slots = np.full(1 << 18, -1, np.int32)
         self.owners = np.zeros(1 << 18, np.uint64)
@@ -106,7 +104,7 @@ class Pieces:
         codes = np.array([list(map(ord, w)) for w in words], np.uint64).reshape(len(words), length)
         h = np.zeros_like(codes)
         out = []
-        for k in range(1, min(PIECE_CHARS, length) + 1):
+        for k in range(1, min(self.longest, length) + 1):
             h = h[:, :length - k + 1]
             h = (h + codes[:, k - 1:] + np.uint64(1)) * _BASE
             h ^= h >> np.uint64(31)
@@ -117,6 +115,19 @@ class Pieces:
         return out
 
 
+    def parts_of(self, word: bytes) -> list[str]:
+        """``word`` with the mark of a word's start; a long one in parts between which no piece reaches across."""
+        marked = _MARK + word.decode("utf-8", "replace")
+        if len(marked) <= LONG_WORD:
+            return [marked]
+        reaching = np.zeros(len(marked) + 1, np.int64)
+        for k, found in enumerate(self.ids([marked], len(marked))[1:], 2):
+            at = np.nonzero(found[0] >= 0)[0]
+            reaching += np.bincount(at + 1, minlength=len(reaching)) - np.bincount(at + k, minlength=len(reaching))
+        cuts = [0, *(np.nonzero(np.cumsum(reaching)[1:-1] == 0)[0] + 1).tolist(), len(marked)]
+        return [marked[i:j] for i, j in zip(cuts, cuts[1:])]
+
+
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces(path)
@@ -126,44 +137,65 @@ def _by_length(words: list[str]):
     lengths = np.array([len(w) for w in words])
     for n in np.unique(lengths).tolist():
         at = np.nonzero(lengths == n)[0]
-        for block in np.array_split(at, -(-len(at) // 20_000)):
+        for block in np.array_split(at, -(-len(at) * n // BLOCK_CHARS)):
             yield n, block
 
 
+def _summed(terms: list[np.ndarray], logs: bool) -> np.ndarray:
+    """Sum of products of two factors each; factors and sum as logarithms with ``logs``."""
+    if not logs:
+        return sum(a * b for a, b in terms)
+    return np.logaddexp.reduce([a + b for a, b in terms])
+
+
 def log_scores(words: list[str], probs: np.ndarray, vocabulary: Pieces) -> np.ndarray:
     """Log probability of each word in each language; ``probs`` is (pieces, languages)."""
     out = np.empty((len(words), probs.shape[1]))
     table = np.vstack([probs, np.zeros(probs.shape[1])])  # id -1: no piece
+    with np.errstate(divide="ignore"):
+        log_table = np.log(table)
     for n, block in _by_length(words):
         ids = vocabulary.ids([words[i] for i in block], n)
-        alpha = [np.ones((len(block), probs.shape[1]))]
+        logs = n > LONG_PART
+        p = log_table if logs else table
+        alpha = [np.full((len(block), probs.shape[1]), 0.0 if logs else 1.0)]  # of the last positions, newest last
         for j in range(1, n + 1):
-            alpha.append(sum(alpha[j - k] * table[ids[k - 1][:, j - k]] for k in range(1, min(PIECE_CHARS, j) + 1)))
-        out[block] = np.log(alpha[n])
+            alpha.append(_summed([(alpha[-k], p[ids[k - 1][:, j - k]]) for k in range(1, len(alpha) + 1)], logs))
+            del alpha[:-vocabulary.longest]
+        out[block] = alpha[-1] if logs else np.log(alpha[-1])
     return out
 
 
 def expected_counts(words: list[str], langs: np.ndarray, weights: np.ndarray, probs: np.ndarray,
                     vocabulary: Pieces) -> np.ndarray:
     """Expected uses of each piece in each language, over all segmentations of the weighted words."""
-    out = np.zeros(probs.size)
     width = probs.shape[1]
+    out = np.zeros(probs.size)
     table = np.vstack([probs, np.zeros(width)]).ravel()
     for n, block in _by_length(words):
         ids = vocabulary.ids([words[i] for i in block], n)
         lang = langs[block][:, None]
+        logs = n > LONG_PART
         p = [table[np.where(i < 0, vocabulary.count, i) * width + lang] for i in ids]
+        if logs:
+            with np.errstate(divide="ignore"):
+                p = [np.log(x) for x in p]
         top = len(ids)
-        alpha, beta = [np.ones(len(block))], [np.ones(len(block))]
+        alpha = np.full((n + 1, len(block)), 0.0 if logs else 1.0)  # by position, first for the start
+        beta = alpha.copy()  # by position, last for the end
         for j in range(1, n + 1):
-            alpha.append(sum(alpha[j - k] * p[k - 1][:, j - k] for k in range(1, min(top, j) + 1)))
-            beta.append(sum(beta[j - k] * p[k - 1][:, n - j] for k in range(1, min(top, j) + 1)))
-        scale = weights[block] / alpha[n]
+            reach = range(1, min(top, j) + 1)
+            alpha[j] = _summed([(alpha[j - k], p[k - 1][:, j - k]) for k in reach], logs)
+            beta[n - j] = _summed([(beta[n - j + k], p[k - 1][:, n - j]) for k in reach], logs)
         for k in range(1, top + 1):
-            for s in range(n - k + 1):
-                use = scale * alpha[s] * p[k - 1][:, s] * beta[n - s - k]
-                some = ids[k - 1][:, s] >= 0
-                np.add.at(out, ids[k - 1][some, s].astype(np.int64) * width + lang[some, 0], use[some])
+            left, right = alpha[:n - k + 1].T, beta[k:].T
+            if logs:
+                use = weights[block][:, None] * np.exp(left + p[k - 1] + right - alpha[n][:, None])
+            else:
+                use = (weights[block] / alpha[n])[:, None] * left * p[k - 1] * right
+            some = ids[k - 1] >= 0
+            at = (ids[k - 1].astype(np.int64) * width + lang)[some]
+            out += np.bincount(at, use[some], len(out))
     return out.reshape(probs.shape)
 
 
@@ -201,7 +233,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
             for lang, words in met.items():
                 total = Counter()
                 for word, n in words.items():
-                    for part in parts_of(word):
+                    for part in pieces(path).parts_of(word):
                         total[part] += n
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([langs.index(lang)] * len(total), pa.int32()), pa.array(list(total), pa.string()),
@@ -260,7 +292,7 @@ class Scorer:
         self.table = np.empty((0, len(self.model.langs)))
 
     def _add(self, words: list[bytes]) -> None:
-        parts = [parts_of(w) for w in words]
+        parts = [self.vocabulary.parts_of(w) for w in words]
         flat = log_scores([p for ps in parts for p in ps], self.model.probs, self.vocabulary)
         starts = np.cumsum([0, *map(len, parts[:-1])])
         start = len(self.place)
