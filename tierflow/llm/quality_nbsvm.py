@@ -22,7 +22,7 @@ from tierflow.llm.labelled import calibration, drawn, fitted, sigmoid
 SAMPLE, CALIBRATION = 6_000, 0.25
 SLOTS_BITS = 18
 #: Counts added to each indicator; cost of a margin violation; passes at most, and when to stop.
-SMOOTH, COST, PASSES, ENOUGH = 1.0, 0.1, 60, 1e-2
+SMOOTH, COST, PASSES, ENOUGH = 1.0, 0.1, 60, 1e-3
 #: Shares of a text are told apart down to this power of one half.
 SHARE_STEPS = 6
 CACHE_TOKENS = 400_000
@@ -113,9 +113,11 @@ def descend(data: list[np.ndarray], scale: np.ndarray, labels: np.ndarray, cost:
     w, bias, alpha = np.zeros(len(scale)), 0.0, np.zeros(len(data))
     values = [scale[at] / max(np.linalg.norm(scale[at]), 1e-9) for at in data]
     square = np.array([float(v @ v) + 1.0 for v in values])
-    active = np.arange(len(data))  # those that moved last time; all again once these are settled
+    every = np.arange(len(data))
+    active = every  # those that moved last time; all again once these are settled, and in the last pass
     for number in range(passes):
         worst, moved = 0.0, []
+        active = every if number == passes - 1 else active
         for i in np.random.default_rng(number).permutation(active).tolist():
             at, v = data[i], values[i]
             slope = sign[i] * (w[at] @ v + bias) - 1
@@ -131,7 +133,7 @@ def descend(data: list[np.ndarray], scale: np.ndarray, labels: np.ndarray, cost:
         settled = worst < enough
         if settled and len(active) == len(data):
             break
-        active = np.arange(len(data)) if settled else np.array(moved)
+        active = every if settled else np.array(moved)
     return np.append(w, bias)
 
 
