@@ -109,6 +109,42 @@ def test_dense_cluster_in_all_ways(spark, limit):
     assert len(set(zip(groups, mine))) == len(set(groups)) == len(set(mine))
 
 
+@pytest.mark.parametrize("bits", [0, 1, 2, 3])
+@pytest.mark.parametrize("limit", [sg.RUN_LIMIT, 5])
+def test_smaller_distances_lose_no_link(spark, bits, limit):
+    rng = random.Random(bits)
+    base = rng.getrandbits(64)
+    prints = {base}
+    while len(prints) < 150:
+        x = rng.choice(sorted(prints))
+        for bit in rng.sample(range(64), rng.randint(1, 4)):
+            x ^= 1 << bit
+        prints.add(x)
+    prints = sorted(prints)
+    signed = [x - 2**64 if x >= 2**63 else x for x in prints]
+    found = sg.links(spark.createDataFrame([(x,) for x in signed], "fp long"), bits, limit).collect()
+    assert all(((r.a ^ r.b) % 2**64).bit_count() <= bits for r in found)
+    root = {x: x for x in signed}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for r in found:
+        a, b = sorted((find(r.a), find(r.b)))
+        root[b] = a
+    groups = plain_components(prints, bits)
+    mine = [find(x) for x in signed]
+    assert len(set(zip(groups, mine))) == len(set(groups)) == len(set(mine))
+
+
+def test_a_very_long_text(docs):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    got = sg.near_duplicates(docs([(1, long), (2, long + " end"), (3, "other")], 2)).collect()
+    assert {r.doc_id: (r.fp % 2**64, r.component_id) for r in got} == {
+        1: (plain_print(long), 1), 2: (plain_print(long + " end"), 1), 3: (plain_print("other"), 3)}
+
+
 def test_edge_rows(docs, spark):
     got = sorted(((str(r.doc_id), r.component_id) for r in sg.near_duplicates(
         docs([(None, "a b c d e"), (4, "a b c d e"), (4, "a b c d e"), (None, "zz yy"), (9, None), (8, "")]),

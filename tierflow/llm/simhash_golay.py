@@ -196,38 +196,47 @@ def _scan_runs(bits: int, limit: int):
     return run
 
 
-def _midpoints(prints: DataFrame) -> DataFrame:
+def _midpoints(prints: DataFrame, bits: int) -> DataFrame:
     """Links among fingerprints of overlong runs, without comparing them pairwise.
 
-    Two fingerprints are within 4 bits exactly if some word is within 2 bits of both. Each gives its
-    2081 such words; the fingerprints at a word are at most 2081, all linked, and form a chain.
+    Two fingerprints are within ``bits`` bits exactly if some word is within half of that, rounded down, of the one and
+    within half, rounded up, of the other. Each gives all words that near (2081 for 4 bits). At a word the
+    fingerprints nearer by the smaller half are within ``bits`` of all others, so the first of them is linked to
+    each; where there is none, the others need not be near each other, and are not linked.
     """
+    near, far = bits // 2, -(-bits // 2)
+
     def spread(batches):
         one = np.uint64(1) << np.arange(64, dtype=np.uint64)
         low, high = np.triu_indices(64, 1)
-        masks = np.concatenate([np.zeros(1, np.uint64), one, one[low] | one[high]])
+        masks = np.concatenate([np.zeros(1, np.uint64), one, one[low] | one[high]][:far + 1])
+        outer = np.repeat(np.arange(3), [1, 64, 2016])[:len(masks)] > near
         for batch in batches:
             p = batch.column(0).to_numpy().view(np.uint64)
             for block in np.array_split(p, max(1, len(p) // 500)):
                 yield pa.RecordBatch.from_arrays(
-                    [_signed((block[:, None] ^ masks[None, :]).ravel()), _signed(np.repeat(block, len(masks)))],
-                    names=["word", "a"],
+                    [_signed((block[:, None] ^ masks[None, :]).ravel()), pa.array(np.tile(outer, len(block))),
+                     _signed(np.repeat(block, len(masks)))], names=["word", "outer", "a"],
                 )
 
-    def chain(batches):
-        word, last = None, None
+    def star(batches):
+        word, middle, has = None, 0, False  # of the word that ended the batch before
         for batch in batches:
-            w, a = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            w, outer, a = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             if not len(w):
                 continue
-            if word is not None:
-                w, a = np.append(word, w), np.append(last, a)
-            same = w[1:] == w[:-1]
-            word, last = w[-1], a[-1]
-            yield pa.RecordBatch.from_arrays([pa.array(a[1:][same]), pa.array(a[:-1][same])], names=["a", "b"])
+            new = np.ones(len(w), bool)
+            new[1:] = w[1:] != w[:-1]
+            new[0] = word is None or w[0] != word
+            group = np.cumsum(new)  # 0: goes on from the batch before
+            first = np.nonzero(new)[0]
+            middles = np.concatenate([[middle], a[first]])
+            linked = np.concatenate([[has], ~outer[first]])[group] & ~new
+            yield pa.RecordBatch.from_arrays([pa.array(a[linked]), pa.array(middles[group][linked])], names=["a", "b"])
+            word, middle, has = w[-1], middles[group[-1]], bool(np.concatenate([[has], ~outer[first]])[group[-1]])
 
-    words = prints.mapInArrow(spread, "word long, a long")
-    return words.repartition("word").sortWithinPartitions("word").mapInArrow(chain, "a long, b long")
+    words = prints.mapInArrow(spread, "word long, outer boolean, a long")
+    return words.repartition("word").sortWithinPartitions("word", "outer").mapInArrow(star, "a long, b long")
 
 
 def links(prints: DataFrame, bits: int = 4, limit: int = RUN_LIMIT) -> DataFrame:
@@ -255,8 +264,7 @@ def links(prints: DataFrame, bits: int = 4, limit: int = RUN_LIMIT) -> DataFrame
     )
     late = found.where("b is null").select("a").distinct()
     if not late.isEmpty():
-        far = _midpoints(late) if bits == 4 else _midpoints(late).where(f"bit_count(a ^ b) <= {bits}")
-        found = found.union(far)
+        found = found.union(_midpoints(late, bits))
     return found.where("b is not null").distinct()
 
 
