@@ -45,7 +45,7 @@ RADIXES = 32
 #: Spills whose runs meet in a cell, on average.
 CELL_SPILLS = 64
 #: Units that a worker remembers.
-UNITS = 400_000
+UNITS = 1_000_000
 #: Pairs in a block of counts.
 BLOCK_PAIRS = 200_000
 
@@ -68,6 +68,9 @@ class Vocabularies:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode()
                         for i, p in enumerate(pieces)]
+        self.size_a = [len(self.bytes_a.get(i, b"")) for i in range(max(self.bytes_a) + 1)]
+        self.size_b = [len(t) for t in self.bytes_b]
+        self.names = [str(i) for i in range(max(len(self.size_a), len(self.size_b)))]
         self.space = self.b.piece_to_id(_MARK)
         if any(_MARK in p.lstrip(_MARK) or "\n" in p for p in pieces):
             raise ValueError("the second vocabulary joins what units separate")
@@ -82,26 +85,33 @@ class Vocabularies:
                 b = [self.space]
             elif unit[0] != " ":
                 b = b[1:] if b[0] == self.space else []
-            want = unit.encode()
-            a = self.a.encode_ordinary(unit)
-            same = b"".join(map(self.bytes_a.__getitem__, a)) == want == b"".join(map(self.bytes_b.__getitem__, b))
-            out.append((a, b) if same else None)
+            # The first is byte-level: its tokens spell any text.
+            same = b"".join([self.bytes_b[i] for i in b]) == unit.encode()
+            out.append((self.a.encode_ordinary(unit), b) if same else None)
         return out
 
-    def groups(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]]:
-        """The ids between the places where tokens of both end."""
-        out, i, j, end_a, end_b, from_a, from_b = [], 0, 0, 0, 0, 0, 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                end_a += len(self.bytes_a[a[i]])
+    def aligned(self, a: list[int], b: list[int]) -> tuple[str, list[int]]:
+        """The groups between the places where tokens of both end, as text, and the links ``b << 32 | a`` at these places."""
+        size_a, size_b, names = self.size_a, self.size_b, self.names
+        out, links = [], []
+        i, j, last = 1, 1, len(a)
+        end_a, end_b, in_a, in_b = size_a[a[0]], size_b[b[0]], names[a[0]], names[b[0]]
+        while True:
+            if end_a < end_b:
+                end_a += size_a[a[i]]
+                in_a += "," + names[a[i]]
                 i += 1
-            else:
-                end_b += len(self.bytes_b[b[j]])
+            elif end_b < end_a:
+                end_b += size_b[b[j]]
+                in_b += "," + names[b[j]]
                 j += 1
-            if end_a == end_b:
-                out.append((a[from_a:i], b[from_b:j]))
-                from_a, from_b = i, j
-        return out
+            else:
+                out.append(in_a + "|" + in_b)
+                links.append(b[j - 1] << 32 | a[i - 1])
+                if i == last:
+                    return ";".join(out), links
+                end_a, end_b, in_a, in_b = end_a + size_a[a[i]], end_b + size_b[b[j]], names[a[i]], names[b[j]]
+                i, j = i + 1, j + 1
 
 
 class Units:
@@ -124,10 +134,10 @@ class Units:
         return len(self.texts) + len(self.bad)
 
     def _add(self, found: tuple[list[int], list[int]]) -> int:
-        groups = self.vocabularies.groups(*found)
-        self.texts.append(";".join([f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups]).encode())
-        self._counts += (len(found[0]), len(found[1]), len(groups))
-        self._links += [b[-1] << 32 | a[-1] for a, b in groups]
+        text, links = self.vocabularies.aligned(*found)
+        self.texts.append(text.encode())
+        self._counts += (len(found[0]), len(found[1]), len(links))
+        self._links += links
         return len(self.texts) - 1
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray]:
