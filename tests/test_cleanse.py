@@ -107,7 +107,18 @@ def test_one_key_with_all_rows_is_limited_before_the_shuffle(spark):
 def test_orphan_and_null_keys_get_the_default(spark, rows):
     fact = spark.createDataFrame([(1, 10, "a"), (2, 99, "b"), (None, 10, "c")], "p int, q int, v string")
     dims = {"p": spark.createDataFrame([(1,)], "p int"), "q": spark.createDataFrame([(10,)], "q int")}
-    assert rows(keep_or_default(fact, dims, F.lit(-1))) == [(-1, -1, "b"), (-1, 10, "c"), (1, 10, "a")]
+    for sent_keys in (100, 0):
+        got = keep_or_default(fact, dims, F.lit(-1), sent_keys)
+        assert rows(got) == [(-1, -1, "b"), (-1, 10, "c"), (1, 10, "a")] and got.dtypes == fact.dtypes
+    assert keep_or_default(fact, {}, F.lit(-1)) is fact
+
+
+def test_keys_are_compared_in_the_type_of_the_dimension(spark, rows):
+    fact = spark.createDataFrame([("07", "a"), ("8", "b"), ("x", "c"), (None, "d")], "k string, v string")
+    dims = {"k": spark.createDataFrame([(7,), (9,), (None,)], "k int")}
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        keep_or_default(fact, dims, F.lit(-1))  # a key that is no number is an error, as in any comparison
+    assert rows(keep_or_default(fact.where("v <> 'c'"), dims, F.lit(-1))) == [(-1, "b"), (-1, "d"), (7, "a")]
 
 
 def test_group_counts_include_the_null_group(spark, rows):

@@ -1,10 +1,13 @@
 """One key holds a third of all rows: joins split it, groupings shrink it before the shuffle."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tierflow.operators.lookup import keep_or_default, with_group_count
 from tierflow.plans import banking, hospital, star
+from tierflow.session import scratch_dir
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -40,9 +43,25 @@ def final_plan(df):
 def test_a_hot_fact_key_is_split(spark, small_limits):
     fact = hot(spark)
     dim = spark.range(500).repartition(4).withColumnRenamed("id", "key")
-    df = keep_or_default(fact, {"key": dim}, F.lit(-1))
+    df = keep_or_default(fact, {"key": dim}, F.lit(-1), sent_keys=0)
+    hot_dim = dim.where("key <> 7")  # the hot key is unknown
+    for known, out in ((dim, df), (hot_dim, keep_or_default(fact, {"key": hot_dim}, F.lit(-1), sent_keys=0))):
+        assert out.count() == 60000
+        assert out.filter("key = -1").count() == fact.join(known, "key", "left_anti").count()
     assert "skew=true" in final_plan(df)
-    assert df.count() == 60000 and df.filter("key = -1").count() == fact.filter("key >= 500").count()
+
+
+def test_facts_stay_where_they_are_read(spark, small_limits):
+    """Four dimensions and no automatic broadcast: rows of the fact pass no exchange."""
+    fact = hot(spark).select("id", *[(F.col("key") + i).alias(f"k{i}") for i in range(4)])
+    dims = {f"k{i}": spark.range(10, 500).repartition(4).withColumnRenamed("id", f"k{i}") for i in range(4)}
+    path = scratch_dir(spark, "narrow")
+    fact.write.parquet(path)
+    df = keep_or_default(spark.read.parquet(path), dims, F.lit(-1))
+    plan = final_plan(df)
+    assert plan.count("BroadcastExchange") and not re.search(r"\bExchange (hash|range|RoundRobin|Single)", plan)
+    for k in dims:
+        assert df.filter(f"{k} = -1").count() == spark.read.parquet(path).filter(f"{k} < 10 or {k} >= 500").count()
 
 
 def test_a_hot_group_count_is_split(spark, small_limits):
