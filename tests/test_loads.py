@@ -89,6 +89,23 @@ def test_a_late_row_after_the_bound_waits_for_the_next_run(spark, rows):
     assert slices.upper_bound(df, "at", "9") is None
 
 
+def test_extracts_read_their_source_once(spark, scratch, rows):
+    source = spark.createDataFrame([(1, 5), (2, 7), (3, None), (4, 9)], "k int, at int")
+    source.write.parquet(f"{scratch}/source")
+    marks = {"t": None}
+    for number, (limit, want) in enumerate(((7, [1, 2]), (99, [4]), (99, []))):
+        df = spark.read.parquet(f"{scratch}/source").coalesce(1).where(f"at is null or at <= {limit}")
+        spark.sparkContext.setJobGroup(f"extract-{number}-{scratch}", "one extract")
+        marks = loads.bounded_extracts(
+            {"t": df}, [("t", "at", marks["t"])], lambda table, slice_: slice_.write.parquet(f"{scratch}/slice-{number}"))
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"extract-{number}-{scratch}")
+        assert len(jobs) == 1 + bool(want)  # a look at the first row, and the write
+        if want:
+            assert rows(spark.read.parquet(f"{scratch}/slice-{number}"), "k") == [(k,) for k in want]
+        assert marks == {"t": str(min(limit, 9))}
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_both_bounds_of_a_slice_reach_the_scan(spark, scratch):
     path = f"{scratch}/pushed"
     spark.createDataFrame([(1, 5), (2, 7), (3, None)], "k int, at int").write.parquet(path)

@@ -111,7 +111,7 @@ def load_silver(
 ) -> int:
     """Apply one load: the newest batch for a full load (``newest``, if the caller has listed it), all
     batches silver has not had otherwise. The watermark, and with it the number of the last batch,
-    moves after the data is in place, to a bound fixed before.
+    moves after the data is in place, to the bound of the rows that were written, observed in that write.
 
     A load that stopped between data and watermark is repeated from the version before it: run and
     lower bound together identify it. Once the watermark has moved, the same run builds on its own
@@ -126,14 +126,16 @@ def load_silver(
     if BATCH not in bronze.columns:  # rows without batches are those of this run
         bronze = bronze.withColumn(BATCH, F.lit(run_id).cast("bigint"))
     rows = unread_batches(bronze, spec, last_run, last)
-    found = slices.measure(rows, spec.watermark_column, last, BATCH)
-    if found["unplaced"] or found["late"]:
-        log.warning("%s: %d rows have no %s and %d are not after %s; they are loaded with their batch",
-                    spec.table_name, found["unplaced"], spec.watermark_column, found["late"], last)
-    if not found["rows"] and silver.exists():
+    if silver.exists() and rows.isEmpty():
         return 0
+    column = spec.watermark_column
+    rows, seen = slices.observed(rows, **slices.measures(rows, column, last, BATCH))
     written = STRATEGIES[spec.load_type](silver, _stamp(rows, now), spec, f"{run_id} after {last_run} {last}")
-    if found["rows"]:
+    found = seen.get
+    if found["unplaced"] or found["late"]:
+        log.warning("%s: %d rows have no %s and %d are not after %s; they are loaded with their batch",
+                    spec.table_name, found["unplaced"], column, found["late"], last)
+    if found["newest"] is not None:
         watermarks.advance(spec.table_id, last if found["upper"] is None else found["upper"], now, found["newest"])
     return written
 
@@ -150,14 +152,20 @@ def bounded_extracts(
     sources: Mapping[str, DataFrame], controls: Sequence[tuple[str, str, str | None]],
     land: Callable[[str, DataFrame], None],
 ) -> dict[str, str | None]:
-    """For each control row ``(table, column, last value)`` in turn: fix the upper bound, hand the
-    slice ``(last, upper]`` to ``land``, and return the new last values."""
+    """For each control row ``(table, column, last value)`` in turn: hand the rows after the last value to
+    ``land``, and return the new last values: the largest of the rows that were landed, observed in that write.
+
+    A source is read once, after a look at whether it has any new row; ``land`` has to write what it gets. Rows
+    without a value are in no slice.
+    """
     result: dict[str, str | None] = {}
     for table, column, last in controls:
-        upper = slices.upper_bound(sources[table], column, last)
-        if upper is not None:
-            land(table, slices.between(sources[table], column, last, upper))
-        result[table] = last if upper is None else upper
+        new = slices.after(sources[table], column, last).filter(F.col(column).isNotNull())
+        result[table] = last
+        if not new.isEmpty():
+            rows, seen = slices.observed(new, upper=F.max(column).cast("string"))
+            land(table, rows)
+            result[table] = seen.get["upper"]
     return result
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -48,12 +48,17 @@ def bounds(df: DataFrame, column: str, last: str | None = None) -> tuple[str | N
     return row[0], row[1]
 
 
-def measure(df: DataFrame, column: str, last: str | None, batch: str) -> dict:
-    """In one pass over two columns: ``rows``, the ``upper`` bound after ``last``, rows without a watermark
-    value (``unplaced``), rows not after ``last`` (``late``), and the ``newest`` batch."""
+def measures(df: DataFrame, column: str, last: str | None, batch: str) -> dict[str, Column]:
+    """What a load wants to know of its rows, to be observed while they are written: the ``upper`` bound after
+    ``last``, rows without a watermark value (``unplaced``), rows not after ``last`` (``late``), the ``newest`` batch."""
     fresh = newer(df, column, last)
-    return df.agg(
-        F.count("*").alias("rows"), F.max(F.when(fresh, F.col(column))).cast("string").alias("upper"),
-        F.count_if(F.col(column).isNull()).alias("unplaced"),
-        F.count_if(F.col(column).isNotNull() & ~fresh).alias("late"), F.max(batch).alias("newest"),
-    ).first().asDict()
+    return {
+        "upper": F.max(F.when(fresh, F.col(column))).cast("string"), "unplaced": F.count_if(F.col(column).isNull()),
+        "late": F.count_if(F.col(column).isNotNull() & ~fresh), "newest": F.max(batch),
+    }
+
+
+def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with aggregates that are known once it has been written, without a pass of their own."""
+    seen = Observation()
+    return df.observe(seen, *[c.alias(name) for name, c in metrics.items()]), seen
