@@ -241,7 +241,7 @@ def stream_ingest_once(t: Tables):
             events.filter(arrived).write.mode("append").json(landing)
         rows = ingest.json_stream(t.spark, landing, _EVENT, lineage=False)
         ingest.drain(rows, target, checkpoint)
-    return t.spark.read.parquet(target)
+    return ingest.landed(t.spark, target)
 
 
 
@@ -273,7 +273,38 @@ def stream_rescue(t: Tables):
     t.events.select(_sensor_line().alias("value")).write.text(landing)
     rows = ingest.json_stream(t.spark, landing, _SENSOR, lineage=False)
     ingest.drain(rows, f"{t.scratch}/bronze", f"{t.scratch}/checkpoint")
-    return t.spark.read.parquet(f"{t.scratch}/bronze")
+    return ingest.landed(t.spark, f"{t.scratch}/bronze")
+
+
+@query("stream_sensor_widening", """
+    select case when event_type <> 'signup' then 'DEV_' || event_id end device_id,
+           case when event_type in ('click', 'purchase') then value + 0.5 end "temp",
+           case when event_type <> 'signup' then 't' end "timestamp", case event_type when 'click' then user_id end battery,
+           case event_type when 'error' then '{"temp":"n/a"}' when 'signup' then '{"device_id":"DEV_' || event_id || '","temp":' end
+             _rescued_data,
+           case when event_type in ('view', 'purchase') then 1 else 2 end arrival, true dated
+    from events""")
+def stream_sensor_widening(t: Tables):
+    """The sensor stream as a whole: its first arrival tells the schema, the second brings a further field, a value
+    of another type and lines that are cut off, the third nothing."""
+    landing, bronze, kept = (f"{t.scratch}/{n}" for n in ("landing", "bronze", "schema"))
+    kind = F.col("event_type")
+    device = F.concat(F.lit('{"device_id":"DEV_'), "event_id", F.lit('","temp":'))
+    line = (
+        F.when(kind == "error", F.concat(device, F.lit('"n/a","timestamp":"t"}')))
+        .when(kind == "view", F.concat(device, F.lit('null,"timestamp":"t"}')))
+        .when(kind == "purchase", F.concat(device, F.col("value") + 0.5, F.lit(',"timestamp":"t"}')))
+        .when(kind == "click", F.concat(device, F.col("value") + 0.5, F.lit(',"timestamp":"t","battery":'), "user_id", F.lit("}")))
+        .otherwise(device)
+    )
+    for arrival, chosen in ((1, kind.isin("view", "purchase")), (2, ~kind.isin("view", "purchase")), (3, None)):
+        if chosen is not None:
+            t.events.filter(chosen).select(line.alias("value")).write.text(f"{landing}/arrival_{arrival}")
+        ingest.drain_json(t.spark, f"{landing}/*", bronze, f"{t.scratch}/checkpoint", kept)
+    rows = ingest.landed(t.spark, bronze, ingest.SchemaState(t.spark, kept).read())
+    return rows.withColumns({
+        "arrival": F.regexp_extract("source_file", r"/arrival_(\d)/", 1).cast("int"), "dated": F.col("ingested_at").isNotNull(),
+    }).drop("source_file", "ingested_at")
 
 
 @query("stream_csv_strings", """
@@ -283,7 +314,7 @@ def stream_csv_strings(t: Tables):
     write_csv(t.events.select("event_id", "event_type", "user_id"), landing, quote_all=False)
     rows = ingest.csv_stream(t.spark, landing, ["event_id", "event_type", "user_id"])
     ingest.drain(rows, f"{t.scratch}/bronze", f"{t.scratch}/checkpoint")
-    return t.spark.read.parquet(f"{t.scratch}/bronze")
+    return ingest.landed(t.spark, f"{t.scratch}/bronze")
 
 
 @query("stream_to_silver", """

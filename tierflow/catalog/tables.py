@@ -60,7 +60,7 @@ def stream_csv_rescue(t: Tables):
     write_csv(t.events.select("user_id", "event_type", "event_id"), landing)
     rows = ingest.csv_stream(t.spark, landing, ["event_id", "event_type", "channel"], rescue=True)
     ingest.drain(rows, bronze, f"{t.scratch}/csv_checkpoint")
-    return t.spark.read.parquet(bronze)
+    return ingest.landed(t.spark, bronze)
 
 
 @query("empty_input_guard", f"{_ORDERS_SQL}")

@@ -20,7 +20,7 @@ from tierflow.plans import banking
 from tierflow.sinks.snapshot import Snapshot
 from tierflow.sources.files import text_schema
 from tierflow.sources.jdbc import slice_query
-from tierflow.streaming.ingest import csv_stream, drain
+from tierflow.streaming.ingest import STREAM_BATCH, csv_stream, drain
 
 
 @dataclass
@@ -85,7 +85,7 @@ class BankingRun:
         newest = None
         if spec.table_name in self.file_rules:
             schema = text_schema(self._file_columns(spec)).add(loads.BATCH, LongType())
-            raw = self.spark.read.schema(schema).parquet(self.bronze_path(spec))
+            raw = self.spark.read.schema(schema).parquet(self.bronze_path(spec)).drop(STREAM_BATCH)
             recent = raw if since is None else raw.filter(F.col(loads.BATCH) >= since)
             bronze = apply_rules(recent, (*self.file_rules[spec.table_name], Rule(loads.BATCH, "bigint")))
         else:
