@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.sources.split import csv_records, json_elements
+
 Schema = T.StructType | str
 
 
@@ -63,27 +65,44 @@ def read_csv(
     """Comma separated, ``"`` quotes, ``\\`` escapes; columns by the names of the header, see ``by_header``.
 
     No inference pass over the data: one line tells the header, and a file with another one is an error.
-    Without a header columns are taken by position. ``multi_line`` reads line breaks within quotes; such a
-    file is read by one task. An empty text in quotes is an empty text, nothing at all is NULL.
+    Without a header columns are taken by position. ``multi_line`` reads line breaks within quotes; a file is
+    still read by several tasks, see ``split``. An empty text in quotes is an empty text, nothing at all is NULL.
     """
     settings = {**CSV_OPTIONS, **options}
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    if not header:
-        return spark.read.schema(wanted).csv(path, recursiveFileLookup=recursive, multiLine=multi_line, **settings)
-    found, columns = by_header(wanted, csv_header(spark, path, recursive, **options), rescue)
-    rows = spark.read.schema(found).csv(
-        path, header=True, enforceSchema=False, recursiveFileLookup=recursive, multiLine=multi_line, **settings)
-    return rows if found == wanted and rescue is None else rows.select(*columns)
+    found, columns = by_header(wanted, csv_header(spark, path, recursive, **options), rescue) if header else (wanted, [])
+    if multi_line:
+        rows = _parsed_records(csv_records(spark, path, recursive), found, header, settings)
+    elif header:
+        rows = spark.read.schema(found).csv(path, header=True, enforceSchema=False, recursiveFileLookup=recursive, **settings)
+    else:
+        rows = spark.read.schema(wanted).csv(path, recursiveFileLookup=recursive, **settings)
+    return rows if not header or (found == wanted and rescue is None) else rows.select(*columns)
+
+
+def _parsed_records(records: DataFrame, schema: T.StructType, header: bool, settings: dict[str, str]) -> DataFrame:
+    """Columns of CSV records; the first of each file has to be the header."""
+    def parsed(kinds: T.StructType) -> Column:
+        return F.from_csv("record", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds.fields), settings)
+
+    rows = records.where(F.trim("record") != "")
+    if header:
+        names = F.array(*[F.lit(n) for n in schema.names])
+        found = parsed(T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(schema) + 1)]))
+        given = F.filter(F.array(*[found.getField(f"c{i}") for i in range(len(schema) + 1)]), lambda x: x.isNotNull())
+        wrong = F.raise_error(F.concat(F.lit("another header in "), F.col("file"))).cast("boolean")
+        rows = rows.where(F.when(F.col("number") > 0, F.lit(True)).when(given == names, F.lit(False)).otherwise(wrong))
+    return rows.select(parsed(schema).alias("row")).select("row.*")
 
 
 def read_json(
     spark: SparkSession, path: str, schema: Schema, multi_line: bool = False, limit: int | None = None
 ) -> DataFrame:
-    """JSON lines, or documents holding one array each with ``multi_line``.
-
-    A multi-line file is read by one task, so large inputs belong in JSON lines or in many files.
-    """
-    df = spark.read.schema(schema).json(path, multiLine=multi_line)
+    """JSON lines, or with ``multi_line`` documents that hold one array of objects each, which are split over tasks."""
+    if multi_line:
+        df = json_elements(spark, path).select(F.from_json("record", schema).alias("row")).select("row.*")
+    else:
+        df = spark.read.schema(schema).json(path)
     return df if limit is None else df.limit(limit)
 
 
