@@ -1,10 +1,14 @@
-"""Social entities written as JSON lines and read back as tables."""
+"""Social entities landed as JSON arrays or lines, read back as tables, and loaded by the control list."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
 from tierflow.catalog.registry import Tables, query
 from tierflow.plans import social
-from tierflow.sinks.files import write_json_lines
+from tierflow.sinks.files import has_files, insert_rows, write_json_lines
 
 RAW = {
     "users": """
@@ -30,10 +34,27 @@ RAW = {
 }
 
 
-def landed(t: Tables, name: str):
+def land_array(rows, path: str, id_: str = "id") -> None:
+    """One file that holds one array, with a byte-order mark in front."""
+    text = rows.select(F.col(id_).alias("_at"), F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("_text"))
+    low, high = text.agg(F.min("_at"), F.max("_at")).first()
+    line = F.concat(F.when(F.col("_at") == low, F.lit("\ufeff[\n")).otherwise(F.lit("")), "_text",
+                    F.when(F.col("_at") == high, F.lit("\n]")).otherwise(F.lit(",")))
+    text.select("_at", line.alias("value")).orderBy("_at").coalesce(1).select("value").write.text(path)
+
+
+def land(t: Tables, name: str) -> str:
+    """Documents of one entity: one array, or a line for each."""
     path = f"{t.scratch}/{name}"
-    write_json_lines(t.sql(RAW[name]), path)
-    return social.read_entity(t.spark, path, social.ENTITIES[name], multi_line=False)
+    if social.ENTITIES[name].multi_line:
+        land_array(t.sql(RAW[name]), path)
+    else:
+        write_json_lines(t.sql(RAW[name]), path)
+    return path
+
+
+def landed(t: Tables, name: str):
+    return social.read_entity(t.spark, land(t, name), social.ENTITIES[name])
 
 
 @query("social_users", """
@@ -77,3 +98,79 @@ def social_photos(t: Tables):
     select doc_id "TodoID", doc_id "UserID", 'label ' || doc_id "Title", quality = 1 "IsCompleted" from labels""")
 def social_todos(t: Tables):
     return landed(t, "todos")
+
+
+# --- the load as a whole ------------------------------------------------------------------
+
+_LOAD_TIME = datetime(2026, 6, 19, 18, 41)
+
+
+def _run(t: Tables, **changed) -> tuple[str, social.LoadStopped | None]:
+    """Land all entities, ``changed`` ones as given, and load them; the folder of the tables, and what stopped the load."""
+    for control in social.CONTROLS:
+        name = control.target_file
+        if name in changed:
+            write_json_lines(changed[name], f"{t.scratch}/{name}")
+        else:
+            land(t, name)
+    tables = f"{t.scratch}/tables"
+    try:
+        social.run_load(t.spark, t.scratch, _LOAD_TIME,
+                        lambda table, rows, key, required: insert_rows(rows, f"{tables}/{table}", key, required))
+    except social.LoadStopped as stopped:
+        return tables, stopped
+    return tables, None
+
+
+def _report(t: Tables, tables: str):
+    """Rows of each table and the time they were loaded at."""
+    out = None
+    for control in social.CONTROLS:
+        entity, path = social.ENTITIES[control.target_file], f"{tables}/{control.target_table}"
+        if has_files(t.spark, path):
+            rows = t.spark.read.parquet(path).agg(
+                F.lit(control.target_table).alias("table_name"), F.count(F.lit(1)).alias("rows"),
+                F.count_distinct(entity.key).alias("keys"), F.min(social.LOADED_AT).cast("string").alias("loaded_at"))
+            out = rows if out is None else out.union(rows)
+    return out
+
+
+_COUNTS = {
+    "Posts": "count(*), count(distinct doc_id) from documents", "Comments": "count(*), count(distinct conv_id * 1000 + turn) from conversations",
+    "Users": "count(*), count(distinct c_custkey) from customer", "Albums": "count(*), count(distinct page_id) from pages",
+    "Todos": "count(*), count(distinct doc_id) from labels", "Photos": "count(*), count(distinct page_id) from pages",
+}
+
+
+def _counts(*names: str) -> str:
+    return " union all ".join(
+        f"select 'Gold_Social_{n}' as table_name, rows, keys, '2026-06-19 18:41:00' as loaded_at "
+        f"from (select {_COUNTS[n].replace(', ', ' as rows, ', 1).replace(' from', ' as keys from', 1)})" for n in names)
+
+
+@query("run_social_loaded", _counts(*_COUNTS))
+def run_social_loaded(t: Tables):
+    """All six entities by the control list: users flattened, the others copied."""
+    tables, stopped = _run(t)
+    if stopped:
+        raise stopped
+    return _report(t, tables)
+
+
+@query("run_social_users", """
+    select c_custkey id, c_name name, n_name city, cast(cast(c_acctbal / 100 as decimal(9,6)) as double) "geoLat",
+           r_name "companyName", '2026-06-19 18:41:00' loaded_at
+    from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""")
+def run_social_users(t: Tables):
+    """The table of the nested entity after the load."""
+    tables, _ = _run(t)
+    return t.spark.read.parquet(f"{tables}/Gold_Social_Users").select(
+        "id", "name", "city", "geoLat", "companyName", F.col(social.LOADED_AT).cast("string").alias("loaded_at"))
+
+
+@query("run_social_stopped", f"select *, 'Gold_Social_Albums' as stopped_at from ({_counts('Posts', 'Comments', 'Users')})")
+def run_social_stopped(t: Tables):
+    """Albums without a title end the load: the tables before are there, it and those after are not."""
+    albums = t.sql(RAW["albums"]).withColumn("title", F.when(F.col("id") % 7 > 0, F.col("title")))
+    tables, stopped = _run(t, albums=albums)
+    return _report(t, tables).withColumn("stopped_at", F.lit(stopped.table if stopped else None))

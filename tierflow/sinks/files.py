@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
+from tierflow.session import scratch_dir
 from tierflow.sources.files import CSV_NULL
 
 
@@ -46,6 +47,38 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return write_counted(df, lambda w: w.mode(mode).json(path, ignoreNullFields=False))["rows"]
 
 
+def insert_rows(df: DataFrame, path: str, key: str, required: Sequence[str] = ()) -> int:
+    """Append rows to a folder as a table with a primary key would take them: all, or none.
+
+    An error names the columns in ``required`` that lack a value, and a key that comes twice or is in the table
+    already. The rows are written once aside, where missing values are counted, and then appended.
+    """
+    spark = df.sparkSession
+    stage = scratch_dir(spark, "insert")
+    missing = {f"missing_{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(required)}
+    seen = write_counted(df, lambda w: w.parquet(stage), **missing)
+    rows = spark.read.schema(df.schema).parquet(stage)
+    lacking = [c for i, c in enumerate(required) if seen[f"missing_{i}"]]
+    if lacking:
+        raise ValueError(f"no value in {', '.join(lacking)}")
+    keys = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_times"))
+    if has_files(spark, path):
+        held = spark.read.parquet(path).select(F.col(key), F.lit(1).alias("_held"))
+        keys = keys.join(held, key, "left").where("_times > 1 or _held is not null")
+    else:
+        keys = keys.where("_times > 1")
+    twice = keys.select(key).first()
+    if twice is not None:
+        raise ValueError(f"key {twice[0]} of {key} is there already")
+    rows.write.mode("append").parquet(path)
+    return seen["rows"]
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def insert_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
     """Insert-only database sink; the first error stops the job."""
     df.write.jdbc(url, table, mode="append", properties=properties)
