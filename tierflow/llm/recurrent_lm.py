@@ -39,7 +39,7 @@ SHARD_TOKENS, STREAM_TOKENS = 3_200_000, 6_400
 #: Words whose counts every task gets; all others are joined.
 FREQUENT_WORDS = 200_000
 #: Words a worker remembers; tokens and window of one scoring block.
-CACHE_WORDS, BLOCK_TOKENS, SCORE_WINDOW = 300_000, 1_500_000, 128
+CACHE_WORDS, BLOCK_TOKENS, SCORE_WINDOW = 800_000, 1_500_000, 128
 _LN10 = float(np.log(10.0))
 
 
@@ -351,6 +351,18 @@ def learn(coded: DataFrame, vocab: Vocabulary, weights: dict, shards: int, round
     return weights
 
 
+class Places(dict):
+    """Numbers of words in the order in which they are first looked up; ``new`` has those of late."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class Coder:
     """What a worker knows about words, remembered in arrays."""
 
@@ -360,7 +372,7 @@ class Coder:
         self._forget()
 
     def _forget(self):
-        self.place: dict[bytes, int] = {}
+        self.place = Places()
         self.ids = np.empty(0, self.kind)
         self.hash = np.empty(0, np.int64)
         self.count = np.empty(0, np.int64)  # -1: not among the frequent words
@@ -373,21 +385,19 @@ class Coder:
             at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
             same = self.hashes[at] == hashes
             counts[same] = self.counts[at[same]]
-        start = len(self.place)
-        self.place.update(zip(words, range(start, start + len(words))))
         self.ids = np.concatenate([self.ids, ids.astype(self.kind)])
         self.hash = np.concatenate([self.hash, hashes])
         self.count = np.concatenate([self.count, counts])
 
     def places(self, texts: list[list[bytes]]) -> list[np.ndarray]:
         """Where each text's words are remembered."""
-        new = [w for w in set().union(*texts) if w not in self.place]
-        if self.place and len(self.place) + len(new) > CACHE_WORDS:
+        if len(self.place) > CACHE_WORDS:
             self._forget()
-            new = list(set().union(*texts))
-        if new:
-            self.learn_words(new)
-        return [np.fromiter(map(self.place.__getitem__, t), np.int32, len(t)) for t in texts]
+        found = [np.fromiter(map(self.place.__getitem__, t), np.int32, len(t)) for t in texts]
+        if self.place.new:
+            self.learn_words(self.place.new)
+            self.place.new = []
+        return found
 
     def coded(self, places: list[np.ndarray]):
         """Per document: tokens, known words, sum of log10(count + 1), that of words the network does not know, how many
