@@ -69,6 +69,31 @@ def test_triggers_depend_on_the_window_alone():
     assert all(found[0][i] == found[1][i] for i in found[0])
 
 
+def test_a_hot_key_in_many_contexts(docs):
+    """A passage that most texts hold, each after and before other words, and parts of its contexts shared by two."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{rng.randrange(10**6)}" for _ in range(40))
+    texts = []
+    for i in range(120):
+        head, tail = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(0, 12))) for _ in "ht")
+        texts.append(f"{head} {passage} {tail}")
+        if i % 9 == 0:
+            texts.append(f"{head[len(head) // 2:]} {passage} {tail[:len(tail) // 2]}")
+    for limit in (10, 2_000):
+        got = pf.remove_repeats(docs(enumerate(texts), 6), length=150, window=48, limit=limit)
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()}
+        assert [got[i] for i in range(len(texts))] == plain(texts, 150)
+
+
+def test_a_very_long_text(docs):
+    rng = random.Random(6)
+    long = " ".join(f"w{rng.randrange(10**7)}" for _ in range(150_000))
+    part = long[500_000:500_900]
+    got = pf.remove_repeats(docs([(1, long), (2, "x" + part + "y"), (3, long[:399])], 2)).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in got}
+    assert got == {1: (len(long), 900, 1), 2: (902, 900, 1), 3: (399, 0, 0)}
+
+
 def test_edge_rows(docs):
     rows = [(None, "q" * 450), (5, "r" * 399), (5, "r" * 399), (7, None), (8, "")]
     got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in pf.remove_repeats(docs(rows)).collect()), key=repr)

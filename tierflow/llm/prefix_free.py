@@ -6,18 +6,20 @@ of ``LENGTH`` bytes is the end of a phrase (up to its trigger) followed by the s
 that trigger, so windows are equal exactly if both parts are.
 
 1. Windows that share a trigger form a run. A run has a key (hash of the bytes from its trigger that all
-   its windows hold) and a class (hash of all its bytes). A key met once has no repeated window; that ends
-   the work for most of the corpus. A key with one class only, or a class met twice, is repeated whole.
+   its windows hold) and a class (hash of all its bytes). These stand for the numbers that phrases and the parse
+   would get from a dictionary: equal keys are equal starts of the parse, with 64 bits each. A key met once has no
+   repeated window; that ends the work for most of the corpus. A key with one class only, or a class met
+   twice, is repeated whole: key and class together decide, with 128 bits.
 2. What is left are runs whose key is shared by different classes: the borders of repeated passages.
-   They are brought together by key and put into corpus order there: one suffix array over the parse
-   (bytes from the trigger on) and one over the dictionary (phrases read backwards from the trigger),
+   They are brought together by key and sorted there: once by the bytes from the trigger on (as the suffixes of
+   the parse would be) and once by the bytes back from it (as the phrases of the dictionary, read backwards),
    each with the common prefixes of neighbours. For a window that starts ``d`` bytes before its trigger
-   both arrays fall into classes, of ``d`` and of ``LENGTH - d`` common bytes; windows in the same class of
+   both orders fall into classes, of ``d`` and of ``LENGTH - d`` common bytes; windows in the same class of
    both are equal, byte by byte.
 
 Counts are reduced before each shuffle, so a passage found in a third of all documents is one row for
-each task and key. A key with more than ``CLASS_LIMIT`` border runs gives its windows one by one to a
-count by hash instead, which spreads over all tasks.
+each task and key. A key met more than ``CLASS_LIMIT`` times is not brought together: the windows of its border
+runs are told by 128 bits of hash where they are read, and counted by that, which spreads over all tasks.
 """
 
 from __future__ import annotations
@@ -35,7 +37,9 @@ from tierflow.llm.common import bytes_of, staged
 LENGTH = 400
 WINDOW = 128
 GRAM = 8
-CLASS_LIMIT = 20_000
+CLASS_LIMIT = 2_000
+#: Border runs sorted together, of one or several keys.
+HELD_RUNS = 20_000
 #: Bytes handled at once; longer texts go in overlapping pieces.
 BLOCK = 1 << 20
 #: Bits of the filter that spares texts without any repeated run a shuffle; its size is fixed.
@@ -193,7 +197,7 @@ def _borders(length: int):
             tk, size = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for t, s, text, rows in zip(tk, size, bytes_of(batch.column(2)), batch.column(3).to_pylist()):
                 for r in rows or []:
-                    if r["key"] is None or (r["key"], r["klass"]) in seen:
+                    if r["key"] is None or r["hot"] or (r["key"], r["klass"]) in seen:
                         continue
                     if r["whole"]:
                         seen.add((r["key"], r["klass"]))
@@ -209,12 +213,55 @@ def _borders(length: int):
     return run
 
 
-def _settle(length: int, limit: int):
-    """Reads border runs sorted by key; emits repeated windows as spans, or the windows of overlong keys by hash.
+def window_hashes(data: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the windows at ``at``: of their bytes, and of their bytes read backwards."""
+    back = len(data) - at - length
+    return Hashes(data).of(at, at + length), Hashes(data[::-1].copy()).of(back, back + length)
 
-    Holds whole keys of up to ``limit`` runs together.
-    """
-    names = ["hash", "klass", "whole", "tk", "size", "start", "stop"]
+
+def _hot_windows(length: int, block: int):
+    """Windows of the border runs of hot keys by hash; a class already known to be repeated once for each task."""
+    names = ["hash", "check", "klass", "whole", "tk", "size", "start"]
+
+    def windows(t, s, text, runs):
+        low = runs[0]["lo"]
+        at = np.concatenate([np.arange(r["lo"], r["lo"] + r["n"]) for r in runs])
+        many = [r["n"] for r in runs]
+        first, second = window_hashes(np.frombuffer(text, np.uint8)[low:int(at.max()) + length], at - low, length)
+        return (first.view(np.int64), second.view(np.int64), np.repeat(np.array([r["klass"] for r in runs], np.int64), many),
+                np.repeat([r["whole"] for r in runs], many), np.full(len(at), t, np.int64), np.full(len(at), s, np.int32), at.astype(np.int32))
+
+    def run(batches):
+        seen: set[tuple[int, int]] = set()
+        out, held = [], 0
+        for batch in batches:
+            tk, size = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for t, s, text, rows in zip(tk, size, bytes_of(batch.column(2)), batch.column(3).to_pylist()):
+                chosen: list[dict] = []
+                for r in sorted((r for r in rows or [] if r["hot"]), key=lambda r: r["lo"]):
+                    if (r["key"], r["klass"]) in seen:
+                        continue
+                    if r["whole"]:
+                        seen.add((r["key"], r["klass"]))
+                    if chosen and r["lo"] - chosen[0]["lo"] > block:
+                        out.append(windows(t, s, text, chosen))
+                        chosen = []
+                    chosen.append(r)
+                if chosen:
+                    out.append(windows(t, s, text, chosen))
+                    held += len(out[-1][0])
+                if held > block:
+                    yield _columns(*map(np.concatenate, zip(*out)), names=names)
+                    out, held = [], 0
+        if out:
+            yield _columns(*map(np.concatenate, zip(*out)), names=names)
+
+    return run
+
+
+def _settle(length: int, limit: int):
+    """Reads border runs sorted by key; emits repeated windows as spans. Holds whole keys of about ``limit`` runs together."""
+    names = ["tk", "size", "start", "stop"]
 
     def spans_of(rows):
         uniq: dict = {}
@@ -230,43 +277,27 @@ def _settle(length: int, limit: int):
             if not r[2] and hit.any():
                 edge = np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))
                 for a, b in zip(np.nonzero(edge == 1)[0].tolist(), np.nonzero(edge == -1)[0].tolist()):
-                    out.append((None, None, None, r[3], r[4], r[5] + a, r[5] + b - 1 + length))
+                    out.append((r[3], r[4], r[5] + a, r[5] + b - 1 + length))
         return out
 
-    def windows_of(rows):
-        for r in rows:
-            data = np.frombuffer(r[8], np.uint8)
-            at = np.arange(r[6])
-            for o, h in enumerate(Hashes(data).of(at, at + length).view(np.int64).tolist()):
-                yield (h, r[1], r[2], r[3], r[4], r[5] + o, r[5] + o + length)
-
     def packed(out):
-        kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32())
         return _columns(*(pa.array(c, k) for c, k in zip(zip(*out), kinds)), names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, group, over = [], [], False
+        held, group = [], []
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns)):
                 if group and group[-1][0] != r[0]:
-                    if over:
-                        if out := list(windows_of(group)):
-                            yield packed(out)
-                    elif len(group) > 1:
+                    if len(group) > 1:
                         held += group
-                    group, over = [], False
+                    group = []
                     if len(held) >= limit:
                         if out := spans_of(held):
                             yield packed(out)
                         held = []
                 group.append(r)
-                if len(group) > limit:
-                    yield packed(list(windows_of(group[:-1])))
-                    group, over = group[-1:], True
-        if over:
-            if out := list(windows_of(group)):
-                yield packed(out)
-        elif len(group) > 1:
+        if len(group) > 1:
             held += group
         if held and (out := spans_of(held)):
             yield packed(out)
@@ -322,16 +353,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # passage that a third of all texts hold.
     keys = staged(parsed.groupBy("key").agg(
         F.count("*").alias("met"), F.min("klass").alias("low"), F.max("klass").alias("high"),
-    ).where("met >= 2").select("key", (F.col("low") != F.col("high")).alias("border")), "shared-keys")
+    ).where("met >= 2").select("key", (F.col("low") != F.col("high")).alias("border"), (F.col("met") > limit).alias("hot")), "shared-keys")
     shared = staged(parsed.join(keys, "key"), "shared")
     border = shared.where("border")
     twice = staged(border.groupBy("key", "klass").agg(F.count("*").alias("met")).where("met >= 2").select(
         "key", "klass", F.lit(True).alias("whole")), "repeated-classes")
     inner = shared.where("not border").select(
         "tk", "size", F.struct("lo", "n", "before", F.lit(True).alias("whole"), F.lit(None).cast("long").alias("key"),
-                               F.lit(None).cast("long").alias("klass")).alias("run"))
+                               F.lit(None).cast("long").alias("klass"), F.lit(False).alias("hot")).alias("run"))
     outer = border.join(twice, ["key", "klass"], "left").select(
-        "tk", "size", F.struct("lo", "n", "before", F.coalesce("whole", F.lit(False)).alias("whole"), "key", "klass")
+        "tk", "size", F.struct("lo", "n", "before", F.coalesce("whole", F.lit(False)).alias("whole"), "key", "klass", "hot")
         .alias("run"))
     by_text = inner.union(outer).groupBy("tk", "size").agg(F.collect_set("run").alias("runs"))
 
@@ -380,22 +411,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with_runs = staged(
         source.mapInArrow(hit, source.schema).join(by_text, ["tk", "size"], "left"), "texts-with-runs",
     )
-    settled = staged(
-        with_runs.where("exists(runs, r -> r.key is not null)").select("tk", "size", "text", "runs")
-        .mapInArrow(_borders(length),
-                    "key long, klass long, whole boolean, tk long, size int, lo int, n int, before int, span binary")
+    bordered = with_runs.where("exists(runs, r -> r.key is not null)").select("tk", "size", "text", "runs")
+    spans = staged(
+        bordered.mapInArrow(
+            _borders(length),
+            "key long, klass long, whole boolean, tk long, size int, lo int, n int, before int, span binary")
         .repartition("key").sortWithinPartitions("key")
-        .mapInArrow(_settle(length, limit),
-                    "hash long, klass long, whole boolean, tk long, size int, start int, stop int"),
+        .mapInArrow(_settle(length, max(limit, HELD_RUNS)), "tk long, size int, start int, stop int"),
         "settled",
     )
-    spans = settled.where("hash is null").select("tk", "size", "start", "stop")
-    late = settled.where("hash is not null")
-    if not late.isEmpty():
-        again = late.groupBy("hash").agg(
-            F.min("klass").alias("low"), F.max("klass").alias("high"), F.max("whole").alias("any"),
-        ).where("low <> high or any").select("hash")
-        spans = spans.union(late.where("not whole").join(again, "hash").select("tk", "size", "start", "stop"))
+    late = staged(bordered.where("exists(runs, r -> r.hot)").mapInArrow(
+        _hot_windows(length, block), "hash long, check long, klass long, whole boolean, tk long, size int, start int"), "hot-windows")
+    again = staged(late.groupBy("hash", "check").agg(
+        F.min("klass").alias("low"), F.max("klass").alias("high"), F.max("whole").alias("any"),
+    ).where("low <> high or any").select("hash", "check"), "repeated-windows")
+    more = late.where("not whole").join(again, ["hash", "check"]).select(
+        "tk", "size", "start", (F.col("start") + length).cast("int").alias("stop"))
+    spans = spans.union(more)
     fine = spans.groupBy("tk", "size").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     changed = with_runs.join(fine, ["tk", "size"], "left").select("doc_id", "text", "runs", "spans").mapInArrow(cut, result)
     return changed.union(source.mapInArrow(miss, result))
