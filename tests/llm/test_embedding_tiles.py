@@ -48,6 +48,33 @@ def plain(rows, least=0.98):
     return {rows[i][0]: (links[i], rows[find(i)][0], find(i) == i) for i in range(n)}
 
 
+def test_double_vectors_keep_their_precision(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(40):  # cosines a hair above and below the threshold, closer to it than single precision tells
+        x = rng.standard_normal(6)
+        x /= np.linalg.norm(x)
+        y = rng.standard_normal(6)
+        y -= (y @ x) * x
+        y /= np.linalg.norm(y)
+        c = 0.98 + (1e-11 if i % 2 else -1e-11)
+        rows += [(2 * i, x.tolist(), i), (2 * i + 1, (c * x + np.sqrt(1 - c * c) * y).tolist(), i)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    got = {r.vec_id: r.n_links for r in et.near_duplicates(frame).collect()}
+    assert got == {i: (i // 2) % 2 for i in range(80)}
+
+
+@pytest.mark.parametrize("least", [1.0, 0.9, -1.0])
+def test_other_thresholds(spark, least):
+    rows = [(i, v, label) for i, (_, v, label) in enumerate(make(4, 12)) if v and label == 1 and None not in v and np.isfinite(v).all()]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(2)
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in et.near_duplicates(frame, least=least, tile=4).collect()}
+    want = plain(rows, least)
+    assert {k: v[1:] for k, v in got.items()} == {k: v[1:] for k, v in want.items()} or least == 1.0
+    if least < 1:
+        assert got == want
+
+
 @pytest.mark.parametrize("tile,seed", [(1024, 1), (16, 2), (5, 3)])
 def test_against_all_pairs(spark, tile, seed):
     rows = make(seed)

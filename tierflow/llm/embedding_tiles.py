@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.llm.common import staged
 from tierflow.llm.graph import components
@@ -105,7 +106,7 @@ def chains(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
     return i[keep], j[keep]
 
 
-def _compare(size: int, least: float, turn):
+def _compare(size: int, least: float, turn, kind: type):
     """Reads rows sorted by pair of tiles; emits ``(node, other, links)``.
 
     ``other`` null: a vector's number of links in that pair. Else: a link that a chain needs. Holds one
@@ -114,7 +115,7 @@ def _compare(size: int, least: float, turn):
     def pair(rows):
         same, side, node, copies, plain = rows
         a = side == 0
-        x = np.frombuffer(b"".join(plain), np.float32).astype(float).reshape(-1, size)
+        x = np.frombuffer(b"".join(plain), kind).astype(float).reshape(-1, size)
         turned = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ turn.value.T
         b = a if same[0] else ~a
         i, j = linked(x[a], x[b], turned[a], turned[b], least)
@@ -164,15 +165,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     row's own included; a null id names no component, so a row with a null id and no links has a null one, and
     ``kept`` is then null. An empty table gives an empty result.
     """
+    # Single-precision vectors stay as they are; any others are compared in double precision.
+    given = vectors.schema[vector_col].dataType
+    number = "float" if isinstance(given, T.ArrayType) and given.elementType == T.FloatType() else "double"
     rows = vectors.select(
         F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{label_col}`").alias("label"),
-        F.col(f"`{vector_col}`").cast("array<float>").alias("v"),
+        F.col(f"`{vector_col}`").cast(f"array<{number}>").alias("v"),
     )
     good = ("label is not null and v is not null and size(v) > 0 and forall(v, x -> x is not null and not isnan(x) "
-            "and abs(x) < float('infinity')) and exists(v, x -> x <> 0)")
+            f"and abs(x) < {number}('infinity')) and exists(v, x -> x <> 0)")
     rows = rows.withColumn("good", F.coalesce(F.expr(good), F.lit(False)))
     # Adding zero turns -0.0 into 0.0: equal vectors are then equal as keys.
-    keyed = staged(rows.withColumn("v", F.expr("transform(v, x -> x + cast(0 as float))")).withColumn(
+    keyed = staged(rows.withColumn("v", F.expr(f"transform(v, x -> x + cast(0 as {number}))")).withColumn(
         "row", F.monotonically_increasing_id()), "vectors")
     classes = staged(
         keyed.where("good").groupBy("label", "v").agg(F.min("row").alias("node"), F.min("vec_id").alias("least"), F.count("*").alias("copies")),
@@ -201,6 +205,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
 def _tile_links(classes: DataFrame, size: int, least: float, tile: int, sample: int) -> DataFrame:
     """Links and link counts among distinct vectors of one size."""
+    kind = np.float32 if classes.schema["v"].dataType.elementType == T.FloatType() else np.float64
     total = classes.count()
     drawn = classes.where(F.pmod(F.xxhash64("node"), F.lit(max(1, total // sample))) == 0)
     turn = classes.sparkSession.sparkContext.broadcast(axes(drawn.select("v"), size))
@@ -211,7 +216,7 @@ def _tile_links(classes: DataFrame, size: int, least: float, tile: int, sample:
             first = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ turn.value[0]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(3), pa.array(first),
-                 pa.array([r.tobytes() for r in x.astype(np.float32)], pa.binary())],
+                 pa.array([r.tobytes() for r in x.astype(kind)], pa.binary())],
                 names=["label", "node", "copies", "first", "plain"])
 
     label = classes.schema["label"].dataType.simpleString()
@@ -226,14 +231,23 @@ def _tile_links(classes: DataFrame, size: int, least: float, tile: int, sample:
     bins = staged(bins.withColumn("before", before), "bins")
     number = F.col("before") + F.pmod(F.xxhash64("node"), F.col("n"))
     placed = staged(rows.join(bins, ["label", "bin"]).withColumn("tile", F.floor(number / tile)).drop("bin", "n", "before"), "placed")
-    ranges = placed.groupBy("label", "tile").agg(F.min("first").alias("low"), F.max("first").alias("high"))
+    # Tiles are joined by the cells that their first coordinates touch; the lower tile of a pair also touches those
+    # within reach above it. A pair is taken in the first cell that both touch.
+    ranges = staged(placed.groupBy("label", "tile").agg(F.min("first").alias("low"), F.max("first").alias("high")), "tiles")
     reach = float(np.sqrt(max(0.0, 2 - 2 * least)) + SLACK)
-    left, right = (ranges.select("label", *[F.col(c).alias(f"{c}_{x}") for c in ("tile", "low", "high")]) for x in "ab")
-    near = left.join(right, "label").where(
-        f"tile_a <= tile_b and low_b <= high_a + {reach!r}D and low_a <= high_b + {reach!r}D")
-    near = staged(near.select("label", "tile_a", "tile_b").withColumn("pair", F.monotonically_increasing_id()), "tile-pairs")
+    width = max(reach, 1 / 32)
+
+    def touched(x: str, up: float) -> DataFrame:
+        first = F.floor(F.col("low") / width)
+        return ranges.select("label", *[F.col(c).alias(f"{c}_{x}") for c in ("tile", "low", "high")], first.alias(f"first_{x}"), F.explode(
+            F.sequence(first, F.floor((F.col("high") + up) / width))).alias("cell"))
+
+    near = touched("a", reach).join(touched("b", 0.0), ["label", "cell"]).where(
+        f"cell = greatest(first_a, first_b) and low_b <= high_a + {reach!r}D and (low_a < low_b or low_a = low_b and tile_a <= tile_b)")
+    near = near.select("label", F.least("tile_a", "tile_b").alias("tile_a"), F.greatest("tile_a", "tile_b").alias("tile_b"))
+    near = staged(near.withColumn("pair", F.monotonically_increasing_id()), "tile-pairs")
     sides = near.select("pair", "label", F.col("tile_a").alias("tile"), F.lit(0).alias("side"), F.expr("tile_a = tile_b").alias("same"))
     sides = sides.union(near.where("tile_a < tile_b").select("pair", "label", "tile_b", F.lit(1), F.lit(False)))
     dealt = placed.join(staged(sides, "tile-sides"), ["label", "tile"]).select("pair", "same", "side", "node", "copies", "plain")
     return dealt.repartition("pair").sortWithinPartitions("pair").mapInArrow(
-        _compare(size, least, turn), "node long, other long, links long")
+        _compare(size, least, turn, kind), "node long, other long, links long")
