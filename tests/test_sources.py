@@ -31,10 +31,10 @@ def test_missing_empty_and_header_only_inputs_are_skipped(spark, scratch):
 
 
 def test_landing_slot_is_recovered_from_the_file_path(spark, scratch):
-    path = files.landing_path(scratch, "Project2/Orders/", "2026/06/19/18/44/", "Orders")
-    assert path.endswith("/Project2/Orders/2026/06/19/18/44/Orders.csv")
+    path = files.landing_path(scratch, "bank/Orders/", "2026/06/19/18/44/", "Orders")
+    assert path.endswith("/bank/Orders/2026/06/19/18/44/Orders.csv")
     write_csv(spark.range(3), path)
-    df = files.read_csv(spark, f"{scratch}/Project2", "id bigint", recursive=True)
+    df = files.read_csv(spark, f"{scratch}/bank", "id bigint", recursive=True)
     assert df.select(files.slot_of_file(F.col("_metadata.file_path"))).distinct().first()[0] == "2026/06/19/18/44"
     slot = spark.sql("select timestamp '2026-06-19 18:44:31' t").select(files.landing_slot(F.col("t"))).first()[0]
     assert slot == "2026/06/19/18/44"
@@ -98,6 +98,29 @@ def test_database_read_is_split_over_ranges():
     assert kwargs["column"] == "id" and kwargs["numPartitions"] == 8
 
 
+@pytest.mark.parametrize("parts", [1, 4, 50])
+def test_ranges_deal_a_skewed_key_evenly(spark, parts):
+    """Edges and conditions as a database would see them: each row in one range, the hot key in one, NULL in the last."""
+    keys = [7] * 300 + [*range(100, 400)] + [10**6] + [None] * 5
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "i int, k bigint")
+    df.createOrReplaceTempView("skewed")
+    edges = [r.edge for r in spark.sql(
+        "SELECT * FROM " + jdbc.edges_query("(SELECT * FROM skewed)", "k", parts, quote="`")).collect()]
+    found = [[r.i for r in df.where(p).collect()] for p in jdbc.range_predicates(edges, "k", quote="`")]
+    assert sorted(i for part in found for i in part) == list(range(len(keys)))
+    assert all(keys[i] is not None for part in found[:-1] for i in part)
+    if parts > 1:  # equal ranges between the smallest and the largest key would put all but one row into the first
+        assert max(len([i for i in part if keys[i] != 7]) for part in found) <= 2 * 606 / parts
+        assert max(map(len, found)) <= 300 + 606 / parts
+
+
+def test_range_predicates_of_few_edges():
+    assert jdbc.range_predicates([], "k") == ["1 = 1"] == jdbc.range_predicates([5, 5], "k")
+    assert jdbc.range_predicates(["b", "a'"], "k") == ["\"k\" <= 'a" + "'" * 3, "(\"k\" > 'a" + "'" * 3 + " OR \"k\" IS NULL)"]
+    args, kwargs = jdbc.read_ranges(_Session(), "jdbc:x", "(q) src", ["1 = 1"], {"user": "u"})
+    assert args == ("jdbc:x", "(q) src") and kwargs == {"predicates": ["1 = 1"], "properties": {"user": "u"}}
+
+
 def test_formats_globs_and_paths(spark, scratch, rows):
     for month in (1, 2):
         spark.range(month).write.parquet(f"{scratch}/trips_2026-0{month}.parquet")

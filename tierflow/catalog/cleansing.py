@@ -126,8 +126,7 @@ def messy_timestamp_parse(t: Tables):
 def truncated_timestamp_parse(t: Tables):
     """Only the first 19 characters of a padded text are read."""
     text = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit(".12"))
-    return t.orders.select("o_orderkey", F.try_to_timestamp(
-        F.substring(text, 1, 19), F.lit("yyyy-MM-dd HH:mm:ss")).alias("admitted"))
+    return t.orders.select("o_orderkey", fn.truncated_timestamp(text).alias("admitted"))
 
 
 @query("messy_birth_dates", """

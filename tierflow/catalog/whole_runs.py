@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tierflow.catalog.registry import ORACLES, Tables, query
 from tierflow.catalog.star import dimension
 from tierflow.catalog.hospital import RAW as HOSPITAL_RAW
+from tierflow import fixed_values as fx
 from tierflow.control import loads, registry
 from tierflow.control.audit import run_status
 from tierflow.operators.cleanse import Rule
@@ -72,7 +74,11 @@ def banking_run(t: Tables) -> BankingRun:
             return spark.sql(f"SELECT * FROM {subquery.replace('banking.' + source, '{source}')}",
                              source=views[source])
 
-        run = BankingRun(spark, root, run_id, datetime(2024, 1, run_id), read_query, FILE_RULES, quote="`", buckets=4)
+        def read_ranges(subquery: str, predicates: list[str], read_query=read_query):
+            return reduce(DataFrame.union, [read_query(subquery).where(p) for p in predicates])
+
+        run = BankingRun(spark, root, run_id, datetime(2024, 1, run_id), read_query, FILE_RULES, quote="`", buckets=4,
+                         split_by={"transactions": "txn_id"}, connections=4, read_ranges=read_ranges)
         run.run(tables, registry.seed_parameters(spark))
     return run
 
@@ -187,6 +193,57 @@ def run_hospital_gold_encounters(t: Tables):
     return _published(t, "encounters_summary", "encounter_id", "patient_id", "provider_id")
 
 
+_IDS = "count(distinct l_orderkey * 100 + l_linenumber)"
+
+
+@query("run_hospital_refused", f"""
+    select 'departments' table_name, 2 runs, count(*) rows_read, 0 no_key, 0 unreadable_key, 0 repeated,
+           count(*) written, true adds_up from part
+    union all select 'hospitals', 2, count(*), 0, 0, 0, count(*), true from supplier
+    union all select 'physicians', 2, count(*), 0, 0, 0, count(*), true from supplier
+    union all select 'patients', 2, count(*), 0, count(*) filter (c_mktsegment = 'MACHINERY'), 0,
+                     count(*) filter (c_mktsegment <> 'MACHINERY'), true from customer
+    union all select 'encounters', 2, count(*), 0, 0, count(*) - {_IDS}, {_IDS}, true from lineitem join orders on l_orderkey = o_orderkey""")
+def run_hospital_refused(t: Tables):
+    """What both runs read is what they wrote, refused by reason, or had as repeated keys."""
+    run, _ = hospital_run(t)
+    sums = [F.sum(c).alias("rows_read" if c == "read" else c) for c in ("read", "no_key", "unreadable_key", "repeated", "written")]
+    return run.outcomes.read().groupBy("table_name").agg(F.count(F.lit(1)).alias("runs"), *sums).withColumn(
+        "adds_up", F.col("rows_read") == F.col("no_key") + F.col("unreadable_key") + F.col("repeated") + F.col("written"))
+
+
+_SEEDED = {  # rows as the published start values find them: some before, some after
+    "Hospitals": "select 9900000 + s_suppkey `Hospital ID`, s_name name from {supplier}",
+    "Physicians": "select 9991 + s_suppkey `Provider ID`, s_name name from {supplier}",
+    "Patients": "select 107300 + c_custkey `Master Patient ID`, c_name name from {customer}",
+    "Departments": "select p_partkey DepartmentKey, p_name name from {part}",
+    "Encounters": "select o_orderdate + interval '24' year `Patient Admission Datetime`, o_orderkey name from {orders}",
+}
+
+
+@query("run_hospital_seeded", """
+    select 'Hospitals' source_table, count(*) landed, cast(max(9900000 + s_suppkey) as varchar) last_load_value
+      from supplier where 9900000 + s_suppkey > 9900006
+    union all select 'Physicians', count(*), cast(max(9991 + s_suppkey) as varchar) from supplier where 9991 + s_suppkey > 9999
+    union all select 'Patients', count(*), cast(max(107300 + c_custkey) as varchar) from customer where 107300 + c_custkey > 107386
+    union all select 'Departments', count(*), cast(max(p_partkey) as varchar) from part where p_partkey > 64
+    union all select 'Encounters', count(*), strftime(max(o_orderdate + interval 24 year), '%Y-%m-%d %H:%M:%S') from orders
+      where o_orderdate + interval 24 year > timestamp '2021-07-02 14:46:00'""")
+def run_hospital_seeded(t: Tables):
+    """The extract of the control rows with their published start values, and where it leaves them."""
+    sources = {name: t.sql(sql) for name, sql in _SEEDED.items()}
+    control = t.spark.createDataFrame(
+        [(schema, table, folder, column, last) for schema, table, folder, column, last in fx.HOSPITAL_WATERMARKS], CONTROL)
+    run = HospitalRun(t.spark, t.scratch, datetime(2026, 6, 19, 18, 50))
+    moved = run.extract(sources, control)
+    landed = None
+    for name, df in sources.items():
+        rows = read_csv(t.spark, f"{t.scratch}/landing/{name}", text_schema(df.columns), recursive=True)
+        counted = rows.agg(F.lit(name).alias("source_table"), F.count(F.lit(1)).alias("landed"))
+        landed = counted if landed is None else landed.union(counted)
+    return landed.join(moved.select("source_table", "last_load_value"), "source_table")
+
+
 # --- star: dimensions and fact from CSV to the published fact -------------------------------
 
 @query("run_star_fact", """

@@ -20,6 +20,11 @@ def parse_timestamp(text: Column, fmt: str) -> Column:
     return F.try_to_timestamp(squeeze_spaces(F.trim(text)), F.lit(fmt))
 
 
+def truncated_timestamp(text: Column) -> Column:
+    """The first 19 characters as ``yyyy-MM-dd HH:mm:ss``; NULL where they are none."""
+    return F.try_to_timestamp(F.substring(text, 1, 19), F.lit("yyyy-MM-dd HH:mm:ss"))
+
+
 def parse_date(text: Column, formats: Sequence[str]) -> Column:
     """First format that matches, else NULL."""
     return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])

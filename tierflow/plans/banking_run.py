@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +19,7 @@ from tierflow.operators.cleanse import Rule, apply_rules
 from tierflow.plans import banking
 from tierflow.sinks.snapshot import Snapshot
 from tierflow.sources.files import text_schema
-from tierflow.sources.jdbc import slice_query
+from tierflow.sources.jdbc import edges_query, range_predicates, slice_query
 from tierflow.streaming.ingest import STREAM_BATCH, csv_stream, drain
 
 
@@ -40,6 +40,10 @@ class BankingRun:
     quote: str = '"'
     buckets: int = 64
     parallel: int = 4
+    #: Columns by whose ranges tables are extracted over several connections, how many, and the read by conditions.
+    split_by: Mapping[str, str] = field(default_factory=dict)
+    connections: int = 8
+    read_ranges: Callable[[str, list[str]], DataFrame] | None = None
 
     def __post_init__(self) -> None:
         self.audit = Audit(self.spark, f"{self.root}/control/runs")
@@ -69,7 +73,15 @@ class BankingRun:
         column = spec.watermark_column if spec.incremental else None
         query = slice_query(f"{spec.source_schema}.{spec.source_table}", column, last, quote=self.quote,
                             including=spec.load_type == "MERGE")
-        return loads.land_bronze(self.read_query(query), self.bronze_path(spec), self.run_id, self.now)
+        rows = self._extract(query, self.split_by.get(spec.table_name))
+        return loads.land_bronze(rows, self.bronze_path(spec), self.run_id, self.now)
+
+    def _extract(self, query: str, split: str | None) -> DataFrame:
+        """One connection, or one for each of the equal shares of the rows that the database finds by ``split``."""
+        if split is None or self.read_ranges is None:
+            return self.read_query(query)
+        edges = self.read_query(edges_query(query, split, self.connections, self.quote))
+        return self.read_ranges(query, range_predicates([r.edge for r in edges.collect()], split, self.quote))
 
     def _file_columns(self, spec: TableSpec) -> list[str]:
         return [r.source or r.target for r in self.file_rules[spec.table_name]]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow import fixed_values as fx
@@ -42,9 +42,21 @@ class SilverTable:
 
     def clean(self, raw: DataFrame) -> DataFrame:
         """Named and typed columns, rows with a readable first key, one row per key."""
-        typed = raw.select(*[c.alias(n) for n, c in self.columns().items()])
+        return self._one_per_key(raw.select(*[c.alias(n) for n, c in self.columns().items()]))
+
+    def _one_per_key(self, typed: DataFrame) -> DataFrame:
         return keep_latest(typed.filter(F.col(self.keys[0]).isNotNull()), list(self.keys), list(self.latest))
 
+    def clean_counted(self, raw: DataFrame) -> tuple[DataFrame, Observation]:
+        """``clean``, and what it refuses, known once the result is written: rows ``read``, with no text where the first
+        key should be (``no_key``), and with one that cannot be read (``unreadable_key``)."""
+        seen, given = Observation(), F.trim(F.col(f"`{self.header[0]}`"))
+        typed = raw.select(*[c.alias(n) for n, c in self.columns().items()], (F.coalesce(given, F.lit("")) == "").alias("_blank"))
+        typed = typed.observe(
+            seen, F.count(F.lit(1)).alias("read"), F.count_if("_blank").alias("no_key"),
+            F.count_if(~F.col("_blank") & F.col(self.keys[0]).isNull()).alias("unreadable_key"))
+        return self._one_per_key(typed.drop("_blank")), seen
+
 
 # Source headers and the snake_case names and types they become.
 DEPARTMENTS = SilverTable(
@@ -133,16 +145,27 @@ PHYSICIANS = SilverTable(
 SILVER = {t.name: t for t in (DEPARTMENTS, ENCOUNTERS, HOSPITALS, PATIENTS, PHYSICIANS)}
 
 
-def silver_job(
+def silver_outcome(
     spark: SparkSession, table: SilverTable, landing_root: str, slot: str, silver_root: str, now: datetime
-) -> int | None:
-    """Landed CSV of one slot to silver Parquet. None, and an untouched target, without input rows."""
+) -> dict[str, int] | None:
+    """Landed CSV of one slot to silver Parquet: rows ``read``, refused by reason (``no_key``, ``unreadable_key``),
+    ``repeated`` and ``written``, which add up. None, and an untouched target, without input rows."""
     source = landing_path(landing_root, table.folder, slot, table.folder)
     raw = read_csv_if_filled(spark, source, text_schema(table.header))
     if raw is None:
         return None
-    cleaned = table.clean(raw).withColumn("silver_processed_at", F.lit(now))
-    return write_parquet(cleaned, f"{silver_root.rstrip('/')}/{table.name}")
+    cleaned, seen = table.clean_counted(raw)
+    written = write_parquet(cleaned.withColumn("silver_processed_at", F.lit(now)), f"{silver_root.rstrip('/')}/{table.name}")
+    found = seen.get
+    return {**found, "repeated": found["read"] - found["no_key"] - found["unreadable_key"] - written, "written": written}
+
+
+def silver_job(
+    spark: SparkSession, table: SilverTable, landing_root: str, slot: str, silver_root: str, now: datetime
+) -> int | None:
+    """Rows that ``silver_outcome`` wrote."""
+    outcome = silver_outcome(spark, table, landing_root, slot, silver_root, now)
+    return None if outcome is None else outcome["written"]
 
 
 # --- gold ---------------------------------------------------------------------------------

@@ -13,10 +13,13 @@ from tierflow.control import loads
 from tierflow.control.watermarks import set_last_value
 from tierflow.plans import hospital
 from tierflow.sinks.files import write_csv
+from tierflow.sinks.records import Records
 from tierflow.sinks.snapshot import Snapshot
 from tierflow.sources.files import landing_path
 
 CONTROL = "source_schema string, source_table string, folder_name string, watermark_column string, last_load_value string"
+OUTCOME = ("run string, table_name string, read bigint, no_key bigint, unreadable_key bigint, repeated bigint, "
+           "written bigint")
 #: Keys of the gold tables that are merged; the encounters are replaced.
 GOLD_KEYS: Mapping[str, tuple[str, ...]] = {
     "patients_demographics": ("patient_id",),
@@ -35,6 +38,11 @@ class HospitalRun:
     now: datetime
     buckets: int = 16
 
+    @property
+    def outcomes(self) -> Records:
+        """What each run read, refused and wrote for each silver table."""
+        return Records(self.spark, f"{self.root}/control/silver", OUTCOME, ["run", "table_name"])
+
     def extract(self, sources: Mapping[str, DataFrame], control: DataFrame) -> DataFrame:
         """Land the new rows of every control row in the slot of this run; the control rows, moved on."""
         slot = f"{self.now:%Y/%m/%d/%H/%M}"
@@ -52,7 +60,9 @@ class HospitalRun:
         """Silver tables of what this run landed; a table without new rows stays as it was."""
         slot = f"{self.now:%Y/%m/%d/%H/%M}"
         for table in hospital.SILVER.values():
-            hospital.silver_job(self.spark, table, f"{self.root}/landing", slot, f"{self.root}/silver", self.now)
+            outcome = hospital.silver_outcome(self.spark, table, f"{self.root}/landing", slot, f"{self.root}/silver", self.now)
+            if outcome is not None:
+                self.outcomes.put({"run": f"{self.now:%Y%m%d%H%M}", "table_name": table.name, **outcome})
         return {name: self.spark.read.parquet(f"{self.root}/silver/{name}") for name in hospital.SILVER}
 
     def publish(self, silver: Mapping[str, DataFrame]) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,33 @@ def max_query(table: str, column: str, quote: str = '"') -> str:
     return f"(SELECT MAX({quote}{column}{quote}) AS upper_bound FROM {table}) src"
 
 
+def edges_query(query: str, column: str, parts: int, quote: str = '"') -> str:
+    """Largest key of each of ``parts`` equal shares of the rows of a subquery, found by the database."""
+    name = f"{quote}{column}{quote}"
+    shares = f"SELECT {name} AS edge, NTILE({int(parts)}) OVER (ORDER BY {name}) AS part FROM {query} WHERE {name} IS NOT NULL"
+    return f"(SELECT part, MAX(edge) AS edge FROM ({shares}) shares GROUP BY part) src"
+
+
+def range_predicates(edges: Sequence[object], column: str, quote: str = '"') -> list[str]:
+    """Conditions by which each row is in exactly one range: up to the first edge, between two, beyond the last but one.
+
+    Edges that repeat, as those of a key that many rows have, make one range. Rows without a key are in the last.
+    """
+    name = f"{quote}{column}{quote}"
+    bounds = [None, *sorted({e for e in edges if e is not None})[:-1], None]
+    out = []
+    for low, high in zip(bounds, bounds[1:]):
+        parts = [f"{name} > {sql_literal(low)}"] * (low is not None) + [f"{name} <= {sql_literal(high)}"] * (high is not None)
+        text = " AND ".join(parts) or "1 = 1"
+        out.append(text if high is not None or not parts else f"({text} OR {name} IS NULL)")
+    return out
+
+
+def read_ranges(spark: SparkSession, url: str, query: str, predicates: list[str], properties: dict[str, str]) -> DataFrame:
+    """A connection for each condition of ``range_predicates``."""
+    return spark.read.jdbc(url, query, predicates=predicates, properties=properties)
+
+
 def read_slice(
     spark: SparkSession,
     url: str,
