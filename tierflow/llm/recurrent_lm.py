@@ -99,18 +99,22 @@ def fresh_weights(vocab: Vocabulary, others: float = 1.0, ends: float = 1.0, see
     }
 
 
-def _sigmoid(x):
-    return 0.5 * (1 + np.tanh(0.5 * x))
-
-
 def step(w: dict, gates_in: np.ndarray, h: np.ndarray):
-    """One step of the gated unit: ``(new state, update gate, reset gate, candidate, state's part of it)``."""
+    """One step of the gated unit: ``(new state, update and reset gates, candidate, state's part of it)``."""
     n = h.shape[1]
     inner = h @ w["state"]
-    both = _sigmoid(gates_in[:, :2 * n] + inner[:, :2 * n])
-    z, r = both[:, :n], both[:, n:]
-    c = np.tanh(gates_in[:, 2 * n:] + r * inner[:, 2 * n:])
-    return c + z * (h - c), z, r, c, inner[:, 2 * n:]
+    both = gates_in[:, :2 * n] + inner[:, :2 * n]
+    both *= 0.5  # the logistic function by way of tanh
+    np.tanh(both, out=both)
+    both += 1
+    both *= 0.5
+    c = both[:, n:] * inner[:, 2 * n:]
+    c += gates_in[:, 2 * n:]
+    np.tanh(c, out=c)
+    new = h - c
+    new *= both[:, :n]
+    new += c
+    return new, both, c, inner[:, 2 * n:]
 
 
 def _exp(logits: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
@@ -133,13 +137,13 @@ def outputs(w: dict, vocab: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: d
     logits = h @ w["class"]
     logits += w["class_bias"]
     exp = _exp(logits, w["class"], w["class_bias"])
-    total = exp.sum(axis=1)
+    total = exp @ np.ones(exp.shape[1], exp.dtype)  # sums of short rows, by way of a product
     logs = logits[every, target] - np.log(total)
     if grads is not None:
         exp /= total[:, None]
         exp[every, target] -= 1
         grads["class"] += h.T @ exp
-        grads["class_bias"] += exp.sum(axis=0)
+        grads["class_bias"] += np.ones(len(exp), exp.dtype) @ exp
         dh = exp @ w["class"].T
     for c in range(vocab.classes):
         lo, hi = edges[c], edges[c + 1]
@@ -150,13 +154,13 @@ def outputs(w: dict, vocab: Vocabulary, h: np.ndarray, ids: np.ndarray, grads: d
         logits = part @ w["word"][a:b].T
         logits += w["word_bias"][a:b]
         exp = _exp(logits, w["word"][a:b].T, w["word_bias"][a:b])
-        total = exp.sum(axis=1)
+        total = exp @ np.ones(b - a, exp.dtype)
         logs[lo:hi] += logits[every[:hi - lo], place] - np.log(total)
         if grads is not None:
             exp /= total[:, None]
             exp[every[:hi - lo], place] -= 1
             grads["word"][a:b] += exp.T @ part
-            grads["word_bias"][a:b] += exp.sum(axis=0)
+            grads["word_bias"][a:b] += np.ones(hi - lo, exp.dtype) @ exp
             dh[lo:hi] += exp @ w["word"][a:b]
     out = np.empty_like(logs)
     out[order] = logs
@@ -176,29 +180,43 @@ def window_gradient(w: dict, vocab: Vocabulary, ids: np.ndarray, h0: np.ndarray)
     n = h0.shape[1]
     x = w["embed"][ids]
     gates = x @ w["input"] + w["bias"]
-    h, before, trace = h0, [], []
+    alive = (ids != vocab.end)[:, :, None].astype(gates.dtype)
+    before = np.empty((steps, streams, n), gates.dtype)
+    both = np.empty((steps, streams, 2 * n), gates.dtype)
+    c, inner_c = np.empty_like(before), np.empty_like(before)
+    h = h0
     for t in range(steps):
-        before.append(h)
-        new, *rest = step(w, gates[t], h)
-        alive = (ids[t] != vocab.end)[:, None].astype(np.float32)
-        trace.append((rest, alive))
-        h = new * alive
+        before[t] = h
+        h, both[t], c[t], inner_c[t] = step(w, gates[t], h)
+        h *= alive[t]
     grads = {k: np.zeros_like(v) for k, v in w.items()}
-    logp, dh_out = outputs(w, vocab, np.concatenate(before), ids.ravel(), grads)
+    logp, dh_out = outputs(w, vocab, before.reshape(-1, n), ids.ravel(), grads)
     dh_out = dh_out.reshape(steps, streams, n)
+    z, r = both[:, :, :n], both[:, :, n:]
+    # What a gradient of the state is multiplied by to be one of the gates: of all steps at once.
+    to_z = (before - c) * z
+    to_z *= 1 - z
+    to_c = (1 - z) * (1 - c * c)
+    to_r = inner_c * r
+    to_r *= 1 - r
+    to_z *= alive
+    to_c *= alive
+    stay = z * alive
     dh = np.zeros_like(h0)
     d_gates = np.empty_like(gates)
+    d_inner = np.empty_like(gates)
+    back = w["state"].T.copy()
     for t in range(steps - 1, -1, -1):
-        (z, r, c, inner_c), alive = trace[t]
-        prev = before[t]
-        dh = dh * alive
-        dz = dh * (prev - c) * z * (1 - z)
-        dc = dh * (1 - z) * (1 - c * c)
-        dr = dc * inner_c * r * (1 - r)
-        d_gates[t] = np.concatenate([dz, dr, dc], axis=1)
-        d_inner = np.concatenate([dz, dr, dc * r], axis=1)
-        grads["state"] += prev.T @ d_inner
-        dh = dh * z + d_inner @ w["state"].T + dh_out[t]
+        d, e = d_gates[t], d_inner[t]
+        np.multiply(dh, to_z[t], out=d[:, :n])
+        np.multiply(dh, to_c[t], out=d[:, 2 * n:])
+        np.multiply(d[:, 2 * n:], to_r[t], out=d[:, n:2 * n])
+        e[:, :2 * n] = d[:, :2 * n]
+        np.multiply(d[:, 2 * n:], r[t], out=e[:, 2 * n:])
+        dh *= stay[t]
+        dh += e @ back
+        dh += dh_out[t]
+    grads["state"] += before.reshape(-1, n).T @ d_inner.reshape(-1, 3 * n)
     flat = d_gates.reshape(-1, 3 * n)
     grads["bias"] += flat.sum(axis=0)
     grads["input"] += x.reshape(-1, x.shape[2]).T @ flat
