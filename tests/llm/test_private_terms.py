@@ -4,6 +4,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from tierflow.llm import private_terms as pt
 
 
@@ -112,17 +114,23 @@ def document_wide(rows, support=3, low=0.6):
     texts = [t or "" for _, t in rows]
     spans = [plain_spans(t) for t in texts]
     held = [{(k, t[s:e].lower()) for s, k, e in found} for t, found in zip(texts, spans)]
-    places = [[(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W\d_]+", t) if not any(m.start() < e and s < m.end() for s, _, e in found)]
-              for t, found in zip(texts, spans)]
+    places = []
+    for t, found in zip(texts, spans):
+        inside = bytearray(len(t))
+        for s, _, e in found:
+            inside[s:e] = b"\1" * (e - s)
+        places.append([(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W\d_]+", t) if not any(inside[m.start():m.end()])])
     de = Counter(e for es in held for e in es)
     df = Counter(w for t in texts for w in set(re.findall(r"[^\W\d_]+", t.lower())))
     pairs = [{(e, w) for e in es for w, _, _ in ws} for es, ws in zip(held, places)]
     both = Counter(p for ps in pairs for p in ps)
     shown = Counter(p for p, _ in {(p, t) for ps, t in zip(pairs, texts) for p in ps})
     n = len(rows)
-    hit = {(e, w) for (e, w), k in both.items() if shown[e, w] >= support and de[e] < n
-           and math.log2(k * n / (de[e] * df[w])) / math.log2(n / de[e]) >= low}
-    return [sorted((a, b) for w, a, b in ws if any((e, w) in hit for e in es)) for es, ws in zip(held, places)]
+    hit = {}
+    for (e, w), k in both.items():
+        if shown[e, w] >= support and de[e] < n and math.log2(k * n / (de[e] * df[w])) / math.log2(n / de[e]) >= low:
+            hit.setdefault(w, set()).add(e)
+    return [sorted((a, b) for w, a, b in ws if not hit.get(w, set()).isdisjoint(es)) for es, ws in zip(held, places)]
 
 
 def test_terms_are_found_over_whole_documents(docs):
@@ -144,3 +152,20 @@ def test_terms_are_found_over_whole_documents(docs):
     assert got == {i: p for (i, _), p in zip(rows, want)} and len(want[0]) >= 2
     texts = {r.doc_id: r.text for r in pt.sanitise(docs(rows, 4)).collect()}
     assert all("zorblax" not in texts[i].lower() for i in range(0, 60, 6)) and texts[61] == "Zorblax alone"
+
+
+@pytest.mark.parametrize("at_once", [1_000_000, 50_000])
+def test_a_log_with_ten_thousand_entities(docs, monkeypatch, at_once):
+    monkeypatch.setattr(pt, "PAIRS_AT_ONCE", at_once)
+    rng = random.Random(10)
+    names = ["".join(rng.choice("abcdefghij") for _ in range(9)) for _ in range(10_000)]
+    words = [f"log{''.join(rng.choice('klmnop') for _ in range(4))}" for _ in range(200)]
+    log = " ".join(f"{n}@ex.org {words[i % 200]}" for i, n in enumerate(names))
+    rows = [(0, log), (1, log + " Logcopy")]
+    for i in range(40):
+        mine = names[i % 20 * 500:i % 20 * 500 + (500 if i < 30 else 60)]
+        rows.append((10 + i, " ".join(f"{n}@ex.org" for n in mine) + f" group{chr(97 + i % 20)}x common words stand here {words[i]}"))
+    rows += [(100 + i, f"nobody writes group{chr(97 + i % 3)}y common words {words[i % 200]}") for i in range(100)]
+    want = document_wide(rows)
+    got = {r.doc_id: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("term")] for r in pt.find(docs(rows, 4)).collect()}
+    assert got == {i: p for (i, _), p in zip(rows, want)} and any(want[2:42])

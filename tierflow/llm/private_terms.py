@@ -22,7 +22,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,6 +42,8 @@ SUPPORT = 3
 #: Shares of an entity's information from which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.6, 0.8
 FILTER_BITS = 1 << 24
+#: Pairs of an entity and a term that a row forms in one deal.
+PAIRS_AT_ONCE = 1_000_000
 CACHE_WORDS = 400_000
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -211,6 +213,30 @@ def _words(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "row long, tk long, most double, term string")
 
 
+def _pairs(held: DataFrame, rare: DataFrame, support: int) -> DataFrame:
+    """``row, tk, term, df, entity, de``: each rare term of a row with each entity of it, where ``support`` texts can show them.
+
+    A pair needs that many different texts, so all but its entity's ``support - 1`` texts with most terms hold it, too:
+    pairs are formed there, and looked up in the largest. A row with many entities and many terms is dealt out by entity.
+    """
+    sizes = rare.groupBy("row", "tk").agg(F.count("*").alias("terms"))
+    texts = held.select("entity", "tk").distinct().join(sizes.groupBy("tk").agg(F.max("terms").alias("terms")), "tk")
+    first = F.row_number().over(Window.partitionBy("entity").orderBy(F.desc("terms"), "tk"))
+    largest = staged(texts.withColumn("place", first).where(F.col("place") < support).select("entity", "tk"), "largest-texts")
+    # Terms are repeated for as many deals as keep a deal's pairs below the bound; few rows have more than one.
+    small = held.join(largest, ["entity", "tk"], "left_anti")
+    pairs = F.col("entities") * F.col("terms")
+    deals = small.groupBy("row").agg(F.count("*").alias("entities")).join(sizes.select("row", "terms"), "row").select(
+        "row", F.ceil(pairs / PAIRS_AT_ONCE).cast("int").alias("deals"))
+    dealt = small.join(deals, "row").withColumn("deal", F.pmod(F.xxhash64("entity"), F.col("deals")).cast("int"))
+    spread = rare.join(deals, "row").withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
+    columns = ["row", "tk", "term", "df", "entity", "de"]
+    formed = staged(dealt.drop("tk", "deals").join(spread.drop("deals"), ["row", "deal"]).where(
+        F.col("df") <= F.col("most")).select(*columns), "formed-pairs")
+    asked = held.join(largest, ["entity", "tk"], "left_semi").join(formed.select("entity", "term").distinct(), "entity")
+    return formed.union(asked.join(rare.select("row", "term", "df"), ["row", "term"]).select(*columns))
+
+
 def _disclosed(docs: DataFrame, text_col: str, found: DataFrame, names: dict[str, str], support: int, low: float, high: float) -> DataFrame:
     """``row``, ``terms``: the terms that disclose an entity of the row, and whether they are removed."""
     held = found.where(F.size(names["entities"]) > 0).select(
@@ -223,16 +249,15 @@ def _disclosed(docs: DataFrame, text_col: str, found: DataFrame, names: dict[str
     entities = staged(entities.select("entity", "de", most.alias("most")), "entities")
     if entities.isEmpty():
         return held.where("false").select("row", F.array(F.struct(F.lit("").alias("term"), F.lit(False).alias("removed"))).alias("terms"))
-    by_row = staged(held.join(entities, "entity").groupBy("row").agg(
-        F.first("tk").alias("tk"), F.max("most").alias("most"), F.collect_list(F.struct("entity", "de", "most")).alias("held")), "entity-rows")
+    held = staged(held.join(entities, "entity").select("row", "tk", "entity", "de", "most"), "entity-rows")
+    by_row = held.groupBy("row").agg(F.first("tk").alias("tk"), F.max("most").alias("most"))
     texts = found.select(F.col(names["row"]).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(names["spans"]).alias("spans"))
-    words = staged(_words(texts.join(by_row.drop("held"), "row").select("row", "tk", "most", "text", "spans")), "entity-words")
+    words = staged(_words(texts.join(by_row, "row").select("row", "tk", "most", "text", "spans")), "entity-words")
     terms = words.groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= support).select("term")
     frequencies = staged(_frequencies(docs, text_col, staged(terms, "terms")), "term-frequencies")
     rare = words.join(frequencies.where(F.col("df") >= support), "term").where(F.col("df") <= F.col("most"))
-    pairs = staged(rare.select("row", "tk", "term", "df").join(by_row.select("row", "held"), "row").select(
-        "row", "tk", "term", "df", F.explode("held").alias("e")).where(F.col("df") <= F.col("e.most")).select(
-        "row", "tk", "term", "df", "e.entity", "e.de"), "entity-terms")
+    rare = staged(rare.select("row", "tk", "term", "df"), "rare-terms")
+    pairs = staged(_pairs(held, rare, support), "entity-terms")
     shown = pairs.groupBy("entity", "term", "df", "de", "tk").agg(F.count("*").alias("rows"))
     shown = shown.groupBy("entity", "term", "df", "de").agg(F.count("*").alias("texts"), F.sum("rows").alias("both")).where(F.col("texts") >= support)
     share = F.log2(F.col("both") * total / (F.col("de") * F.col("df"))) / F.log2(total / F.col("de"))
