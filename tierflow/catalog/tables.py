@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierflow.catalog.registry import Tables, query
 from tierflow.sinks import catalog
-from tierflow.sinks.files import write_csv, write_parquet, write_partitioned
+from tierflow.sinks.files import write_csv, write_json_lines, write_parquet, write_partitioned
 from tierflow.sinks.snapshot import Snapshot
 from tierflow.sources.files import (
-    landing_path, load, query_path, read_csv, read_csv_if_filled, read_parquet, slot_of_file, text_schema,
+    landing_path, landing_slot, load, query_path, read_csv, read_csv_if_filled, read_json, read_parquet, slot_of_file, text_schema,
 )
 from tierflow.streaming import ingest
 
@@ -50,6 +51,40 @@ def csv_reordered_columns(t: Tables):
     return read_csv(t.spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double")
 
 
+@query("preview_rows", """
+    select 'json' preview, least(100, count(*)) as rows from events union all select 'path', least(7, count(*)) from events""")
+def preview_rows(t: Tables):
+    """Previews of a landed folder: declared JSON with a limit, and SQL over its path."""
+    path = f"{t.scratch}/events"
+    write_json_lines(t.events.select("event_id", "event_type"), path)
+    previews = {"json": read_json(t.spark, path, "event_id bigint, event_type string", limit=100),
+                "path": query_path(t.spark, "json", path, "event_id is not null", 7)}
+    counts = [df.agg(F.lit(name).alias("preview"), F.count(F.lit(1)).alias("rows")) for name, df in previews.items()]
+    return counts[0].union(counts[1])
+
+
+@query("landing_slots", """
+    select strftime(o_orderdate, '%Y/%m/%d/%H/%M') slot, count(*) orders from orders where o_orderdate is not null group by 1""")
+def landing_slots(t: Tables):
+    """The folder of each order's time."""
+    return t.orders.groupBy(landing_slot(F.col("o_orderdate")).alias("slot")).agg(F.count(F.lit(1)).alias("orders")).where("slot is not null")
+
+
+@query("stream_followed", "select event_id, event_type, true as dated from events")
+def stream_followed(t: Tables):
+    """A continuous stream over two arrivals, stopped by its caller when nothing is left to read."""
+    landing, bronze = f"{t.scratch}/landing", f"{t.scratch}/bronze"
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("event_type", T.StringType())])
+    even = F.col("event_id") % 2 == 0
+    write_json_lines(t.events.select("event_id", "event_type").filter(even), landing)
+    running = ingest.follow(ingest.json_stream(t.spark, landing, schema), bronze, f"{t.scratch}/checkpoint")
+    running.processAllAvailable()
+    write_json_lines(t.events.select("event_id", "event_type").filter(~even), landing, mode="append")
+    running.processAllAvailable()
+    running.stop()
+    return ingest.landed(t.spark, bronze).select("event_id", "event_type", F.col("ingested_at").isNotNull().alias("dated"))
+
+
 @query("stream_csv_rescue", """
     select cast(event_id as varchar) event_id, event_type, cast(null as varchar) channel,
            case when user_id is null then null else '{"user_id":"' || user_id || '"}' end _rescued_data
