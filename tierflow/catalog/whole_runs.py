@@ -13,7 +13,7 @@ from tierflow.catalog.star import dimension
 from tierflow.catalog.hospital import RAW as HOSPITAL_RAW
 from tierflow import fixed_values as fx
 from tierflow.control import loads, registry
-from tierflow.control.audit import run_status
+from tierflow.control.audit import run_report, run_status
 from tierflow.operators.cleanse import Rule
 from tierflow.plans import hospital, star
 from tierflow.plans.banking_run import BankingRun
@@ -53,8 +53,9 @@ _GROWS_BY = {"accounts": "updated_at", "transactions": "txn_timestamp"}
 _FIRST_FILES = {"credit_bureau_reports": "report_id % 3 <> 1", "payment_gateway_logs": "txn_id % 2 = 0"}
 
 
-def banking_run(t: Tables) -> BankingRun:
-    """The database is played by views; the pushed subquery runs on them as it would there."""
+def banking_run(t: Tables, unreachable: str | None = None) -> BankingRun:
+    """The database is played by views; the pushed subquery runs on them as it would there. A table that is
+    ``unreachable`` fails in the second run."""
     spark, root = t.spark, t.scratch
     tables = registry.seed_registry(spark, f"{root}/landing")
     run = None
@@ -69,8 +70,10 @@ def banking_run(t: Tables) -> BankingRun:
             arrived = _FIRST_FILES[name] if run_id == 1 else f"not ({_FIRST_FILES[name]})"
             t.sql(text).filter(arrived).write.mode("append").csv(f"{root}/landing/{name}", header=True)
 
-        def read_query(subquery: str, views=views):
+        def read_query(subquery: str, views=views, run_id=run_id):
             source = subquery.split(" FROM banking.")[1].split(" ")[0].rstrip(")")
+            if run_id == 2 and source == unreachable:
+                raise ConnectionError(f"no answer from {source}")
             return spark.sql(f"SELECT * FROM {subquery.replace('banking.' + source, '{source}')}",
                              source=views[source])
 
@@ -96,6 +99,21 @@ def run_banking_status(t: Tables):
     return run_status(banking_run(t).audit.read())
 
 
+@query("run_banking_failed", """
+    select run_id, if(run_id = 1, 11, 6) total_tables, if(run_id = 1, 0, 1) failed_tables,
+           if(run_id = 1, 'SUCCESS', 'FAILED') overall_status, case run_id when 2 then 'branches: no answer from branches' end failure,
+           (select count(*) from nation) gold_branches
+    from (values (1), (2)) runs(run_id)""")
+def run_banking_failed(t: Tables):
+    """A source that does not answer: the other tables load, gold stays that of the run before, the run counts as failed."""
+    run = banking_run(t, unreachable="branches")
+    audit = run.audit.read()
+    failed = run_report(audit, registry.seed_registry(t.spark, t.scratch)).where("status = 'FAILED'").select(
+        "run_id", F.concat_ws(": ", "table_name", "error_message").alias("failure"))
+    branches = run.gold("branch_performance").count()
+    return run_status(audit).join(failed, "run_id", "left").withColumn("gold_branches", F.lit(branches))
+
+
 # --- hospital: bounded extract, dated CSV, silver, gold, insight ----------------------------
 
 @query("run_hospital_longest_stay", """
