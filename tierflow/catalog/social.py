@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tierflow.catalog.registry import Tables, query
@@ -34,13 +36,20 @@ RAW = {
 }
 
 
-def land_array(rows, path: str, id_: str = "id") -> None:
-    """One file that holds one array, with a byte-order mark in front."""
-    text = rows.select(F.col(id_).alias("_at"), F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("_text"))
-    low, high = text.agg(F.min("_at"), F.max("_at")).first()
-    line = F.concat(F.when(F.col("_at") == low, F.lit("\ufeff[\n")).otherwise(F.lit("")), "_text",
-                    F.when(F.col("_at") == high, F.lit("\n]")).otherwise(F.lit(",")))
-    text.select("_at", line.alias("value")).orderBy("_at").coalesce(1).select("value").write.text(path)
+def land_array(rows, path: str) -> None:
+    """Files that each hold one array, with a byte-order mark in front: one from each task, so no task writes them all."""
+    def as_array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "\ufeff[\n"
+        for batch in batches:
+            lines = []
+            for text in batch.column(0).to_pylist():
+                lines.append(before + text)
+                before = ","
+            yield pa.record_batch({"value": pa.array(lines, pa.string())})
+        yield pa.record_batch({"value": pa.array(["]" if before == "," else "[]"], pa.string())})
+
+    text = rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value"))
+    text.mapInArrow(as_array, "value string").write.text(path)
 
 
 def land(t: Tables, name: str) -> str:
