@@ -81,7 +81,8 @@ def banking_run(t: Tables, unreachable: str | None = None) -> BankingRun:
             return reduce(DataFrame.union, [read_query(subquery).where(p) for p in predicates])
 
         run = BankingRun(spark, root, run_id, datetime(2024, 1, run_id), read_query, FILE_RULES, quote="`", buckets=4,
-                         split_by={"transactions": "txn_id"}, connections=4, read_ranges=read_ranges)
+                         split_by={"transactions": "txn_id"}, connections=4, read_ranges=read_ranges,
+                         quantile="approx_percentile({key}, {share}D, 10000)")
         run.run(tables, registry.seed_parameters(spark))
     return run
 

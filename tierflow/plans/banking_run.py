@@ -44,6 +44,8 @@ class BankingRun:
     split_by: Mapping[str, str] = field(default_factory=dict)
     connections: int = 8
     read_ranges: Callable[[str, list[str]], DataFrame] | None = None
+    #: The source database's aggregate that finds shares of a large table, see ``edges_query``.
+    quantile: str | None = None
 
     def __post_init__(self) -> None:
         self.audit = Audit(self.spark, f"{self.root}/control/runs")
@@ -80,7 +82,7 @@ class BankingRun:
         """One connection, or one for each of the equal shares of the rows that the database finds by ``split``."""
         if split is None or self.read_ranges is None:
             return self.read_query(query)
-        edges = self.read_query(edges_query(query, split, self.connections, self.quote))
+        edges = self.read_query(edges_query(query, split, self.connections, self.quote, self.quantile))
         return self.read_ranges(query, range_predicates([r.edge for r in edges.collect()], split, self.quote))
 
     def _file_columns(self, spec: TableSpec) -> list[str]:

@@ -52,11 +52,22 @@ def max_query(table: str, column: str, quote: str = '"') -> str:
     return f"(SELECT MAX({quote}{column}{quote}) AS upper_bound FROM {table}) src"
 
 
-def edges_query(query: str, column: str, parts: int, quote: str = '"') -> str:
-    """Largest key of each of ``parts`` equal shares of the rows of a subquery, found by the database."""
-    name = f"{quote}{column}{quote}"
-    shares = f"SELECT {name} AS edge, NTILE({int(parts)}) OVER (ORDER BY {name}) AS part FROM {query} WHERE {name} IS NOT NULL"
-    return f"(SELECT part, MAX(edge) AS edge FROM ({shares}) shares GROUP BY part) src"
+def edges_query(query: str, column: str, parts: int, quote: str = '"', quantile: str | None = None) -> str:
+    """Largest key of each of ``parts`` equal shares of the rows of a subquery, found by the database.
+
+    ``NTILE`` sorts all keys, which some databases do in one worker. ``quantile`` is the aggregate of a database that
+    has one for large tables, with ``{key}`` and ``{share}`` (0 to 1): then no key is sorted or sent, and shares are
+    equal as far as that aggregate is exact. Ranges hold every row in either case, see ``range_predicates``.
+    """
+    name, parts = f"{quote}{column}{quote}", int(parts)
+    if quantile is None:
+        shares = f"SELECT {name} AS edge, NTILE({parts}) OVER (ORDER BY {name}) AS part FROM {query} WHERE {name} IS NOT NULL"
+        return f"(SELECT part, MAX(edge) AS edge FROM ({shares}) shares GROUP BY part) src"
+    inner = [f"{quantile.format(key=name, share=i / parts)} AS edge_{i}" for i in range(1, parts)]
+    edges = f"SELECT {', '.join([*inner, f'MAX({name}) AS edge_{parts}'])} FROM {query} WHERE {name} IS NOT NULL"
+    each = " ".join(f"WHEN {i} THEN edge_{i}" for i in range(1, parts + 1))
+    numbers = ", ".join(f"({i})" for i in range(1, parts + 1))
+    return f"(SELECT part, CASE part {each} END AS edge FROM ({edges}) edges CROSS JOIN (VALUES {numbers}) parts(part)) src"
 
 
 def range_predicates(edges: Sequence[object], column: str, quote: str = '"') -> list[str]:
