@@ -37,6 +37,8 @@ class HospitalRun:
     root: str
     now: datetime
     buckets: int = 16
+    #: Rows of a landed file, which is compressed.
+    file_rows: int = 500_000
 
     @property
     def outcomes(self) -> Records:
@@ -49,7 +51,8 @@ class HospitalRun:
         rows = control.collect()  # one row for each source table
         moved = loads.bounded_extracts(
             sources, [(r.source_table, r.watermark_column, r.last_load_value) for r in rows],
-            lambda table, part: write_csv(part, landing_path(f"{self.root}/landing", table, slot, table)),
+            lambda table, part: write_csv(
+                part, landing_path(f"{self.root}/landing", table, slot, table), compressed_rows=self.file_rows),
         )
         for r in rows:
             if moved[r.source_table] != r.last_load_value:

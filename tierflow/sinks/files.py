@@ -34,10 +34,14 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> int:
     return write_counted(spread, lambda w: w.mode("overwrite").partitionBy(*by).parquet(path))["rows"]
 
 
-def write_csv(df: DataFrame, path: str, quote_all: bool = True) -> int:
+def write_csv(df: DataFrame, path: str, quote_all: bool = True, compressed_rows: int | None = None) -> int:
     """Quoted text with a header row in every part file. Blanks around a text are part of it, an empty
-    text and a missing one are told apart, and line breaks stay (to be read with ``multi_line``)."""
-    return write_counted(df, lambda w: w.mode("overwrite").csv(
+    text and a missing one are told apart, and line breaks stay (to be read with ``multi_line``).
+
+    With ``compressed_rows`` files are compressed and hold at most that many rows each: one task reads a whole one.
+    """
+    packed = {"compression": "gzip", "maxRecordsPerFile": compressed_rows} if compressed_rows else {}
+    return write_counted(df, lambda w: w.mode("overwrite").options(**packed).csv(
         path, header=True, quoteAll=quote_all, escape="\\", nullValue=CSV_NULL,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     ))["rows"]
