@@ -2,9 +2,10 @@
 
 A file is read in ranges, as any text is, and cut at a mark: the line break of a CSV file, the closing brace of a
 JSON document. Whether a mark ends a record depends on what stands before it: an odd number of quotes, or open braces.
-So each range is summed up first (its quotes, then its braces and ends), the sums of the ranges before are added, of
-which there is one row for each range, and then each piece knows its state and the number of its record. Pieces that
-are whole records are passed on as they are; others are joined by file and number.
+So each range is cut into chunks of at most 256 pieces, each chunk is summed up first (its quotes, then its braces and
+ends), the sums of the chunks before are added, of which there is one row for each chunk, and then each piece knows its
+state and the number of its record. A task gets chunks, not a whole range. Pieces that are whole records are passed on as
+they are; others are joined by file and number.
 """
 
 from __future__ import annotations
@@ -14,13 +15,15 @@ from pyspark.sql import functions as F
 
 from tierflow.session import scratch_dir
 
-_RANGE = ["file", "range"]
+_CHUNK = ["file", "range", "chunk"]
+_CHUNK_BITS = 8
 
 
 def _pieces(spark: SparkSession, path: str, mark: str, recursive: bool) -> DataFrame:
     return spark.read.text(path, lineSep=mark, recursiveFileLookup=recursive).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"),
-        F.monotonically_increasing_id().alias("at"))  # rising within a range
+        F.monotonically_increasing_id().alias("at")  # rising within a range
+    ).withColumn("chunk", F.shiftright("at", _CHUNK_BITS))
 
 
 def _carried(pieces: DataFrame, column: str, name: str) -> DataFrame:
@@ -28,10 +31,10 @@ def _carried(pieces: DataFrame, column: str, name: str) -> DataFrame:
     def before(window, c: str) -> Column:
         return F.coalesce(F.sum(c).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    sums = pieces.groupBy(*_RANGE).agg(F.sum(column).alias("_sum"))
-    ranges = sums.withColumn("_before", before(Window.partitionBy("file").orderBy("range"), "_sum")).drop("_sum")
-    within = before(Window.partitionBy(*_RANGE).orderBy("at"), column)
-    return pieces.join(ranges, _RANGE).withColumn(name, F.col("_before") + within).drop("_before")
+    sums = pieces.groupBy(*_CHUNK).agg(F.sum(column).alias("_sum"))
+    chunks = sums.withColumn("_before", before(Window.partitionBy("file").orderBy("range", "chunk"), "_sum")).drop("_sum")
+    within = before(Window.partitionBy(*_CHUNK).orderBy("at"), column)
+    return pieces.join(chunks, _CHUNK).withColumn(name, F.col("_before") + within).drop("_before")
 
 
 def _staged(df: DataFrame, label: str) -> DataFrame:
