@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tierflow.session import scratch_dir
 from tierflow.sources.files import CSV_NULL
 
+#: How tables are written. Numbers without a dictionary, such as sorted keys, are stored as differences.
+PARQUET = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
+
 
 def write_counted(
     df: DataFrame, save: Callable[[DataFrameWriter], None], **metrics: Column
@@ -24,7 +27,7 @@ def write_counted(
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> int:
-    return write_counted(df, lambda w: w.mode(mode).parquet(path))["rows"]
+    return write_counted(df, lambda w: w.mode(mode).options(**PARQUET).parquet(path))["rows"]
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> int:

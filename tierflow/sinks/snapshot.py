@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierflow.operators.dedup import keep_latest
-from tierflow.sinks.files import write_counted
+from tierflow.sinks.files import PARQUET, write_counted
 
 BUCKET = "_bucket"
 
@@ -130,9 +130,9 @@ class Snapshot:
         folder = uuid.uuid4().hex
         target = f"{self.path}/data/{folder}"
         if buckets == 1:
-            seen = write_counted(df, lambda w: w.mode("error").parquet(target), **metrics)
+            seen = write_counted(df, lambda w: w.mode("error").options(**PARQUET).parquet(target), **metrics)
             return {"0": [folder]}, seen
-        seen = write_counted(df, lambda w: w.mode("error").partitionBy(BUCKET).parquet(target), **metrics)
+        seen = write_counted(df, lambda w: w.mode("error").options(**PARQUET).partitionBy(BUCKET).parquet(target), **metrics)
         names = [s.getPath().getName() for s in self._fs.listStatus(self._new_path(target))]
         found = sorted(n for n in names if n.startswith(f"{BUCKET}="))
         return {n.split("=")[1]: [f"{folder}/{n}"] for n in found}, seen
