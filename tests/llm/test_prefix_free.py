@@ -99,3 +99,38 @@ def test_edge_rows(docs):
     got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in pf.remove_repeats(docs(rows)).collect()), key=repr)
     assert got == [(5, 399, 0, 0), (5, 399, 0, 0), (7, 0, 0, 0), (8, 0, 0, 0), (None, 450, 450, 1)]
     assert pf.remove_repeats(docs([(1, "x")]).limit(0)).count() == 0
+
+
+def test_a_text_of_many_copies_is_split(docs, spark, monkeypatch):
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4000", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in limits}
+    rng, plans, written = random.Random(3), {}, pf.staged
+    words = lambda k: " ".join(f"{rng.randrange(1 << 30):x}" for _ in range(k))
+    passage, copied = words(20), words(80)
+    texts = [f"{words(20)} {passage} {words(20)}" if i % 8 == 0 else copied for i in range(1600)]
+
+    def recorded(df, label):
+        out = written(df, label)
+        if label == "texts-with-runs":
+            df.collect()
+            plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return out
+
+    monkeypatch.setattr(pf, "staged", recorded)
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        removed = pf.remove_repeats(docs(enumerate(texts), 8), length=100, window=32).select("doc_id", "n_removed", "n_bytes")
+        rows = removed.collect()
+        assert "skew=true" in plans["texts-with-runs"]
+        assert "skew=true" in removed._jdf.queryExecution().executedPlan().toString()
+        want = plain(texts, 100)
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in rows) == [(i, w[0], w[1]) for i, w in enumerate(want)]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
